@@ -104,16 +104,26 @@ class TfidfModel:
         norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key_col)))
         return w.select(key_col, "term", "idx", (F.col("w") / norm).alias("w"))
 
-    def vectors(self, df: DataFrame, text_col: str = "clean_code", key_col: str = "doc_id",
-                keep_cols=(), out_col: str = "features") -> DataFrame:
-        """one MLlib SparseVector per input row (empty when no kept term);
-        ``keep_cols`` of the input are carried along."""
+    def sparse_arrays(self, df: DataFrame, text_col: str = "clean_code", key_col: str = "doc_id",
+                      keep_cols=()) -> DataFrame:
+        """Per input row: ``indices`` (sorted) and ``values`` arrays; both
+        empty when the row has no kept term (left join back)."""
         base = _by_key(df.select(key_col, text_col, *keep_cols), key_col)
         w = self.weights(base, text_col, key_col, clustered=True)
         per_doc = w.groupBy(key_col).agg(F.sort_array(F.collect_list(F.struct("idx", "w"))).alias("_e"))
         out = base.join(per_doc, key_col, "left")
+        empty_i = F.array().cast("array<int>")
+        empty_d = F.array().cast("array<double>")
         return out.select(key_col, *keep_cols,
-                          _to_sparse(F.lit(self.size), F.col("_e.idx"), F.col("_e.w")).alias(out_col))
+                          F.coalesce(F.col("_e.idx"), empty_i).alias("indices"),
+                          F.coalesce(F.col("_e.w"), empty_d).alias("values"))
+
+    def vectors(self, df: DataFrame, text_col: str = "clean_code", key_col: str = "doc_id",
+                keep_cols=(), out_col: str = "features") -> DataFrame:
+        """one MLlib SparseVector per input row (empty when no kept term);
+        ``keep_cols`` of the input are carried along."""
+        a = self.sparse_arrays(df, text_col, key_col, keep_cols)
+        return a.select(key_col, *keep_cols, _to_sparse(F.lit(self.size), "indices", "values").alias(out_col))
 
     # ------------------------------------------------------- persistence --
     def save(self, path: str) -> None:
