@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_eval, q_features, q_io, q_models, q_neural, q_text  # noqa: F401
+from . import q_eval, q_features, q_io, q_models, q_neural, q_stream, q_text  # noqa: F401
 
 
 def flagship(spark, sf_dir):
