@@ -183,16 +183,21 @@ def q_balance_classes(spark, sf):
     return balanced(spark, sf).select("doc_id", "language")
 
 
-@query("balance_classes_lineitem", sql="""SELECT l_orderkey, l_linenumber, l_returnflag FROM (
-  SELECT l_orderkey, l_linenumber, l_returnflag,
-    row_number() OVER (PARTITION BY l_returnflag ORDER BY md5('7:' || CAST(l_orderkey * 10 + l_linenumber AS VARCHAR)), l_orderkey * 10 + l_linenumber) AS rn
+LI_KEY_SQL = "concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+
+
+@query("balance_classes_lineitem", sql=f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY md5('7:' || {LI_KEY_SQL}), {LI_KEY_SQL}) AS rn
   FROM lineitem)
 WHERE rn <= (SELECT greatest(least(min(c), 5000), 2) FROM (SELECT count(*) AS c FROM lineitem GROUP BY l_returnflag))""")
 def q_balance_classes_lineitem(spark, sf):
+    """A5 at volume: 5,000 rows per return flag, keyed by a unique composite
+    key (order, line, part, supplier)."""
     li = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_returnflag",
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("k"))
-    return S.balance_classes(li, "l_returnflag", "k", 5000, 2, seed=7).select("l_orderkey", "l_linenumber", "l_returnflag")
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
+        F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("k"))
+    out = S.balance_classes(li, "l_returnflag", "k", 5000, 2, seed=7)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
 
 
 @query("encode_labels", sql="""SELECT doc_id, lang AS language,
