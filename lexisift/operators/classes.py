@@ -151,3 +151,9 @@ def fill_missing_classes(primary: DataFrame | None, fallback: DataFrame, label_c
     missing = missing_classes(primary, label_col, classes)
     return primary.unionByName(join_small(fallback, missing, label_col, "left_semi",
                                           row_bound=len(classes or LANGUAGES)))
+
+
+def tokenize_column(df: DataFrame, column: str = "code", drop_whitespace: bool = False) -> DataFrame:
+    """Add ``{column}_tokens`` (code tokens, whitespace kept by default)."""
+    from ..functions.tokens import code_tokens
+    return df.withColumn(f"{column}_tokens", code_tokens(column, drop_whitespace))

@@ -158,3 +158,16 @@ def q_predict_proba(spark, sf):
     nb = trained.predict_proba(te, "NaiveBayes").withColumn("model", F.lit("NaiveBayes"))
     svm = trained.predict_proba(te, "SVM").withColumn("model", F.lit("SVM"))
     return nb.unionByName(svm)
+
+
+@query("train_baseline")
+def q_train_baseline(spark, sf):
+    """The whole baseline run from raw documents (clean, balance, split,
+    TF-IDF, train, evaluate, 3-fold CV) through ``plans.pipeline``."""
+    from .pipeline import preprocess, train_baseline
+    from .q_text import docs
+    prep = preprocess(docs(spark, sf), "code", "language", "doc_id", classes=None,
+                      n_samples_per_class=400, max_features=2000)
+    cfg = M.ModelConfig(models=["NaiveBayes", "LogisticRegression"], **QUICK)
+    _, _, metrics, _, cv = train_baseline(prep, "language", "doc_id", cfg, cv_folds=3)
+    return metrics.join(cv, "model")

@@ -91,7 +91,7 @@ def q_tokenize(spark, sf):
 FROM (SELECT unnest({T.sql_code_tokens('text')}) AS token FROM documents) GROUP BY token""")
 def q_tokenize_column(spark, sf):
     d = docs(spark, sf).transform(lambda x: spread(x, "doc_id"))
-    return (d.withColumn("code_tokens", T.code_tokens("code"))
+    return (K.tokenize_column(d, "code")
             .select(F.explode("code_tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("count")))
 
 

@@ -47,3 +47,26 @@ def save_model(model, path: str) -> str:
 def load_model(loader_cls, path: str):
     """K6: ``loader_cls`` is the model class (e.g. ``NaiveBayesModel``)."""
     return loader_cls.load(path)
+
+
+def convert_to_format(spark: SparkSession, input_dir: str, output_path: str) -> str | None:
+    """The first CSV found under ``input_dir`` (paths sorted, so the
+    choice is deterministic) re-written under a canonical name; columns are
+    kept as they are.  ``None`` when there is no CSV."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(input_dir)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    found = []
+    it = fs.listFiles(root, True)
+    while it.hasNext():
+        p = it.next().getPath().toString()
+        if p.endswith(".csv"):
+            found.append(p)
+    if not found:
+        return None
+    first = sorted(found)[0]
+    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(first)
+    write_snapshot_csv(df, output_path)
+    return first

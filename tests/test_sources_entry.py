@@ -59,3 +59,15 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert df.count() > 0 and df.columns == ["language", "term", "weight", "rank"]
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_convert_to_format(spark, tmp_path):
+    src = tmp_path / "in" / "sub"
+    src.mkdir(parents=True)
+    (src / "b.csv").write_text("code,language\nx,go\n")
+    (tmp_path / "in" / "a.csv").write_text("code,language\ny,sql\n")
+    first = W.convert_to_format(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert first.endswith("a.csv")
+    back = spark.read.option("header", True).csv(str(tmp_path / "out"))
+    assert [tuple(r) for r in back.collect()] == [("y", "sql")]
+    assert W.convert_to_format(spark, str(tmp_path / "none"), str(tmp_path / "o2")) is None
