@@ -47,6 +47,19 @@ def filter_nonempty(df: DataFrame, text_col: str = "clean_code") -> DataFrame:
     return df.filter(F.length(F.col(text_col)) > 0)
 
 
+def with_nonempty(df: DataFrame, expr: Column, out_col: str = "clean_code") -> DataFrame:
+    """P7 fused with the expression that makes the text: add ``out_col`` and
+    keep only rows where it is non-empty.
+
+    A plain ``withColumn`` + ``filter`` lets the optimizer push the filter
+    below the projection by inlining the expression, so an expensive one (the
+    cleaning chain) runs twice, the first time before any repartition.  A
+    one-element ``explode`` computes it once; a filter on a generated column
+    is never pushed below the generator."""
+    kept = F.filter(F.array(expr), lambda x: F.length(x) > 0)
+    return df.select("*", F.explode(kept).alias(out_col))
+
+
 def first_per_key(df: DataFrame, targets: list[tuple[str, str]], name_col: str = "language_name",
                   value_cols=("program",), order_cols=None, out_col: str = "language") -> DataFrame:
     """For each requested name (in ``targets`` order) the first matching

@@ -15,8 +15,6 @@ deterministic", not numpy's generator.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -180,7 +178,3 @@ def sql_fold_of(rank0: str, start: str, size: str, k: int) -> str:
         cum = f"({cum} + ({upto(f'({start} + {size})', j)} - {upto(start, j)}))"
         parts.append(f"(CASE WHEN {cum} <= {rank0} THEN 1 ELSE 0 END)")
     return "CAST(" + " + ".join(parts) + " AS INTEGER)"
-
-
-def ceil_test(n: int, test_size: float) -> int:
-    return math.ceil(test_size * n)

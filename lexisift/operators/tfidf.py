@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyspark import StorageLevel
 from pyspark.ml.linalg import VectorUDT
 
 from ..functions.tokens import ngrams, word_tokens
@@ -97,6 +98,12 @@ class TfidfModel:
         """F7/F8 long form: ``(key, term, idx, w)``, L2-normalised per row;
         terms outside the vocabulary are dropped (a row may have none)."""
         tf = term_frequency(df, text_col, key_col, self.n_min, self.n_max, clustered)
+        return self.weights_from_tf(tf, key_col)
+
+    def weights_from_tf(self, tf: DataFrame, key_col: str = "doc_id") -> DataFrame:
+        """Weights from an existing ``(key, term, tf)`` table (partitioned by
+        key, as :func:`term_frequency` leaves it: the norm window then needs
+        no exchange)."""
         vocab = self.vocabulary.select("term", "idx", "idf")
         j = join_small(tf, vocab, "term", "inner", row_bound=self.max_features)
         raw = (F.lit(1.0) + F.log(F.col("tf").cast("double"))) if self.sublinear_tf else F.col("tf").cast("double")
@@ -105,11 +112,13 @@ class TfidfModel:
         return w.select(key_col, "term", "idx", (F.col("w") / norm).alias("w"))
 
     def sparse_arrays(self, df: DataFrame, text_col: str = "clean_code", key_col: str = "doc_id",
-                      keep_cols=()) -> DataFrame:
+                      keep_cols=(), tf: DataFrame | None = None) -> DataFrame:
         """Per input row: ``indices`` (sorted) and ``values`` arrays; both
-        empty when the row has no kept term (left join back)."""
-        base = _by_key(df.select(key_col, text_col, *keep_cols), key_col)
-        w = self.weights(base, text_col, key_col, clustered=True)
+        empty when the row has no kept term (left join back).  ``tf`` (the
+        term counts of these rows, e.g. kept from the fit) skips tokenising
+        again."""
+        base = _by_key(df.select(key_col, *([] if tf is not None else [text_col]), *keep_cols), key_col)
+        w = self.weights_from_tf(tf, key_col) if tf is not None else self.weights(base, text_col, key_col, clustered=True)
         per_doc = w.groupBy(key_col).agg(F.sort_array(F.collect_list(F.struct("idx", "w"))).alias("_e"))
         out = base.join(per_doc, key_col, "left")
         empty_i = F.array().cast("array<int>")
@@ -143,11 +152,19 @@ class TfidfModel:
 
 def fit_tfidf(df: DataFrame, text_col: str = "clean_code", key_col: str = "doc_id",
               max_features: int | None = 10000, min_df: int = 2, n_min: int = 1, n_max: int = 3,
-              sublinear_tf: bool = True, smooth_idf: bool = True) -> TfidfModel:
-    """Fit the vocabulary and idf on ``df`` (every row counts in ``n``)."""
+              sublinear_tf: bool = True, smooth_idf: bool = True, return_tf: bool = False):
+    """Fit the vocabulary and idf on ``df`` (every row counts in ``n``).
+
+    With ``return_tf`` the per-row term counts are persisted (memory and
+    disk; recomputed from the input on executor loss) and returned as well,
+    so that transforming the fitted rows does not tokenise them again:
+    ``(model, tf)``; call ``tf.unpersist()`` when done."""
     n_docs = df.count()
     tf = term_frequency(df, text_col, key_col, n_min, n_max)
+    if return_tf:
+        tf = tf.persist(StorageLevel.MEMORY_AND_DISK)
     vocab = cut_lineage(select_vocabulary(document_frequency(tf, key_col), n_docs, min_df,
-                                          max_features, smooth_idf))
+                                          max_features, smooth_idf), "vocabulary")
     size = vocab.count()
-    return TfidfModel(vocab, n_docs, size, n_min, n_max, sublinear_tf, max_features)
+    model = TfidfModel(vocab, n_docs, size, n_min, n_max, sublinear_tf, max_features)
+    return (model, tf) if return_tf else model

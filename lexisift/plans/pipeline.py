@@ -41,13 +41,19 @@ def preprocess(df: DataFrame, text_col: str = "code", label_col: str = "language
                seed: int = 42, fit_on: str = "all") -> Prepared:
     d = spread(df.select(key_col, text_col, label_col), key_col)
     d = K.filter_known_classes(d, label_col, classes) if classes else d       # pushed below cleaning
-    c = K.filter_nonempty(d.withColumn("clean_code", clean_text(text_col)), "clean_code")
+    c = K.with_nonempty(d, clean_text(text_col), "clean_code")
     c = cut_lineage(c)
     b = cut_lineage(S.balance_classes(c, label_col, key_col, n_samples_per_class, min_samples_per_class, seed))
     sp = cut_lineage(S.stratified_split(b, label_col, key_col, test_size, seed))
-    fit_rows = sp if fit_on == "all" else sp.filter(F.col("split") == "train")
-    model = TF.fit_tfidf(fit_rows, "clean_code", key_col, max_features=max_features, min_df=min_df)
-    arrays = cut_lineage(model.sparse_arrays(sp, "clean_code", key_col, keep_cols=(label_col, "split")))
+    if fit_on == "all":      # fitted on every row: reuse the fit's term counts
+        model, tf = TF.fit_tfidf(sp, "clean_code", key_col, max_features=max_features, min_df=min_df,
+                                 return_tf=True)
+        arrays = cut_lineage(model.sparse_arrays(sp, "clean_code", key_col, keep_cols=(label_col, "split"), tf=tf))
+        tf.unpersist()
+    else:
+        model = TF.fit_tfidf(sp.filter(F.col("split") == "train"), "clean_code", key_col,
+                             max_features=max_features, min_df=min_df)
+        arrays = cut_lineage(model.sparse_arrays(sp, "clean_code", key_col, keep_cols=(label_col, "split")))
     return Prepared(arrays, model, b)
 
 

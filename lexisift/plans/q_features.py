@@ -75,8 +75,10 @@ def q_idf(spark, sf):
 
 @query("tfidf", sql=f"SELECT doc_id, term, round(w, 6) AS w FROM ({sql_weights(SQL_TF)})")
 def q_tfidf(spark, sf):
-    b, m = fitted(spark, sf)
-    return m.weights(b, "clean_code", "doc_id").select("doc_id", "term", F.round("w", 6).alias("w"))
+    """fit + transform of the same rows: the term counts of the fit are kept."""
+    b = balanced_table(spark, sf)
+    m, tf = TF.fit_tfidf(b, "clean_code", "doc_id", max_features=MAX_FEATURES, min_df=MIN_DF, return_tf=True)
+    return m.weights_from_tf(tf, "doc_id").select("doc_id", "term", F.round("w", 6).alias("w"))
 
 
 @query("tfidf_transform", sql=f"""SELECT item_id, term, round(w, 6) AS w
@@ -91,8 +93,10 @@ def q_tfidf_transform(spark, sf):
 FROM ({SQL_BALANCED}) d LEFT JOIN (
   SELECT doc_id, count(*) AS n, sum(w * w) AS s FROM ({sql_weights(SQL_TF)}) GROUP BY doc_id) x ON d.doc_id = x.doc_id""")
 def q_tfidf_vectors(spark, sf):
-    b, m = fitted(spark, sf)
-    v = m.vectors(b, "clean_code", "doc_id")
+    b = balanced_table(spark, sf)
+    m, tf = TF.fit_tfidf(b, "clean_code", "doc_id", max_features=MAX_FEATURES, min_df=MIN_DF, return_tf=True)
+    v = m.sparse_arrays(b, "clean_code", "doc_id", tf=tf) \
+        .select("doc_id", TF._to_sparse(F.lit(m.size), "indices", "values").alias("features"))
     nnz = F.udf(lambda x: int(x.numNonzeros()), "int")
     sq = F.udf(lambda x: float(x.dot(x)), "double")
     return v.select("doc_id", nnz("features").alias("nnz"), F.round(sq("features"), 6).alias("norm2"))

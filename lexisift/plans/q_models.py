@@ -27,9 +27,11 @@ def feature_table(spark, sf, max_features=10000):
     """(doc_id, language, split, indices, values), written once."""
     b = balanced_table(spark, sf)
     sp = S.stratified_split(b, "language", "doc_id", 0.2, 42)
-    model = TF.fit_tfidf(b, "clean_code", "doc_id", max_features=max_features, min_df=2)
-    arrays = model.sparse_arrays(sp, "clean_code", "doc_id", keep_cols=("language", "split"))
-    return cut_lineage(arrays), model
+    model, tf = TF.fit_tfidf(b, "clean_code", "doc_id", max_features=max_features, min_df=2, return_tf=True)
+    arrays = cut_lineage(model.sparse_arrays(sp, "clean_code", "doc_id", keep_cols=("language", "split"), tf=tf),
+                         "features")
+    tf.unpersist()
+    return arrays, model
 
 
 def _one(name, max_features=2000, **over):

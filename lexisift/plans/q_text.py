@@ -27,7 +27,7 @@ def cleaned(spark, sf):
     """Cleaned, non-empty documents, written once to the checkpoint folder
     (several aggregates read it)."""
     d = spread(docs(spark, sf), "doc_id")
-    return cut_lineage(K.filter_nonempty(d.withColumn("clean_code", C.clean_text("code")), "clean_code"))
+    return cut_lineage(K.with_nonempty(d, C.clean_text("code"), "clean_code"))
 
 
 def balanced(spark, sf, n=400):
@@ -73,8 +73,7 @@ def q_clean_text(spark, sf):
 @query("clean_and_filter", sql=f"SELECT doc_id, language, clean_code FROM ({SQL_CLEANED_NONEMPTY})")
 def q_clean_and_filter(spark, sf):
     d = docs(spark, sf).transform(lambda x: spread(x, "doc_id"))
-    return K.filter_nonempty(d.withColumn("clean_code", C.clean_text("code")), "clean_code") \
-        .select("doc_id", "language", "clean_code")
+    return K.with_nonempty(d, C.clean_text("code"), "clean_code").select("doc_id", "language", "clean_code")
 
 
 # ---------------------------------------------------------------- tokens --
