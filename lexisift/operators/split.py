@@ -15,6 +15,8 @@ deterministic", not numpy's generator.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,11 +29,26 @@ def seeded_hash(key_col: str, seed: str | int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key_col).cast("string")))
 
 
-# Number of order buckets for ranks in key order (quantile boundaries).
-KEY_BUCKETS = 512
-# Hex digits of the seeded hash used as the bucket for ranks in hash order
-# (16**4 = 65,536 buckets; md5 is uniform, so buckets are even).
-HASH_BUCKET_DIGITS = 4
+# Buckets are sized so that one (label, bucket) group holds about this many
+# rows of the largest class; the group is the unit one task sorts.
+ROWS_PER_BUCKET = 100_000
+MAX_HASH_DIGITS = 6          # 16**6 = 16.7M buckets per class at most
+MAX_KEY_BUCKETS = 65_536
+
+
+def _largest_class(df: DataFrame, label_col: str) -> int:
+    return class_counts(df, label_col).agg(F.max("n_class")).first()[0] or 0
+
+
+def hash_digits(largest_class: int) -> int:
+    """Hex digits of the hash prefix: enough that the largest class spreads
+    over buckets of about ``ROWS_PER_BUCKET`` rows."""
+    need = max(1, math.ceil(largest_class / ROWS_PER_BUCKET))
+    return min(MAX_HASH_DIGITS, max(2, math.ceil(math.log(need, 16)) if need > 1 else 2))
+
+
+def key_buckets(largest_class: int) -> int:
+    return min(MAX_KEY_BUCKETS, max(16, math.ceil(largest_class / ROWS_PER_BUCKET)))
 
 
 def rank_within_class(df: DataFrame, label_col: str, order_cols: list, bucket: Column,
@@ -56,20 +73,30 @@ def rank_within_class(df: DataFrame, label_col: str, order_cols: list, bucket: C
             .drop("_bucket", "_before", "_rn"))
 
 
-def hash_rank(df: DataFrame, label_col: str, key_col: str, seed, out_col: str = "rank") -> DataFrame:
-    """Rank inside each class in seeded-hash order (ties by key)."""
+def hash_rank(df: DataFrame, label_col: str, key_col: str, seed, out_col: str = "rank",
+              largest_class: int | None = None) -> DataFrame:
+    """Rank inside each class in seeded-hash order (ties by key).  md5 is
+    uniform, so a hash prefix gives even buckets; its length follows the
+    largest class (counted when not given)."""
+    if largest_class is None:
+        largest_class = _largest_class(df, label_col)
     h = seeded_hash(key_col, seed)
-    return rank_within_class(df, label_col, [h, key_col], F.substring(h, 1, HASH_BUCKET_DIGITS), out_col)
+    return rank_within_class(df, label_col, [h, key_col], F.substring(h, 1, hash_digits(largest_class)), out_col)
 
 
 def key_rank(df: DataFrame, label_col: str, key_col: str, out_col: str = "rank",
-             buckets: int = KEY_BUCKETS) -> DataFrame:
-    """Rank inside each class in key order.  Buckets are ranges of the key
-    between approximate quantiles (a list of ``buckets`` numbers, the only
-    thing that reaches the driver); exact ranks do not depend on them."""
+             buckets: int | None = None, largest_class: int | None = None) -> DataFrame:
+    """Rank inside each class in key order.  Buckets are key ranges between
+    approximate quantiles (a list of ``buckets`` numbers, the only thing that
+    reaches the driver; their count follows the largest class); exact ranks
+    do not depend on them."""
     from pyspark.ml.feature import Bucketizer
+    if buckets is None:
+        if largest_class is None:
+            largest_class = _largest_class(df, label_col)
+        buckets = key_buckets(largest_class)
     probs = [i / buckets for i in range(1, buckets)]
-    qs = df.approxQuantile(key_col, probs, 1.0 / (4 * buckets)) if buckets > 1 else []
+    qs = df.approxQuantile(key_col, probs, 1.0 / (2 * buckets)) if buckets > 1 else []
     splits = [float("-inf")] + sorted(set(float(q) for q in qs)) + [float("inf")]
     keyed = df.withColumn("_kd", F.col(key_col).cast("double"))
     bucketed = Bucketizer(splits=splits, inputCol="_kd", outputCol="_kb", handleInvalid="keep").transform(keyed)
@@ -84,14 +111,15 @@ def balance_classes(df: DataFrame, label_col: str = "language", key_col: str = "
     class (classes at or below the target are kept whole), chosen by seeded
     hash order."""
     kept = drop_rare_classes(df, label_col, min_samples_per_class)
-    row = class_counts(kept, label_col).agg(F.min("n_class").alias("m"), F.count(F.lit(1)).alias("k")).first()
+    row = class_counts(kept, label_col).agg(F.min("n_class").alias("m"), F.max("n_class").alias("mx"),
+                                            F.count(F.lit(1)).alias("k")).first()
     k = row["k"]
     cap = row["m"] if n_samples_per_class is None else min(n_samples_per_class, row["m"])
     target = max(cap, min_samples_per_class)      # A4, same rule as balance_target
     # rank on the narrow (key, label) projection; the wide rows never shuffle,
     # they are semi-joined with the chosen keys (at most target * k of them)
     narrow = kept.select(key_col, label_col)
-    chosen = hash_rank(narrow, label_col, key_col, seed, "_rank").filter(F.col("_rank") <= F.lit(target))
+    chosen = hash_rank(narrow, label_col, key_col, seed, "_rank", row["mx"]).filter(F.col("_rank") <= F.lit(target))
     return join_small(kept, chosen.select(key_col), key_col, "left_semi", row_bound=target * k)
 
 
@@ -119,10 +147,10 @@ def stratified_split(df: DataFrame, label_col: str = "language", key_col: str =
                      test_size: float = 0.2, seed: int | str = 42, split_col: str = "split") -> DataFrame:
     """Adds ``split`` = 'train' / 'test' with exact per-class sizes."""
     plan = split_plan(df, label_col, test_size)
-    small = plan.filter(F.col("n_class") < 2).limit(1).count()
-    if small:
+    stats = plan.agg(F.min("n_class").alias("mn"), F.max("n_class").alias("mx")).first()
+    if stats["mn"] is None or stats["mn"] < 2:
         raise ValueError("every class needs at least 2 rows for a stratified split")
-    ranked = hash_rank(df, label_col, key_col, f"{seed}:split", "_rank")
+    ranked = hash_rank(df, label_col, key_col, f"{seed}:split", "_rank", stats["mx"])
     out = join_small(ranked, plan.select(label_col, "n_train"), label_col, "inner")
     return (out.withColumn(split_col, F.when(F.col("_rank") <= F.col("n_train"), "train").otherwise("test"))
             .drop("_rank", "n_train"))
@@ -154,9 +182,10 @@ def stratified_folds(df: DataFrame, label_col: str = "language", key_col: str =
                      k: int = 5, fold_col: str = "fold") -> DataFrame:
     """Unshuffled stratified k-fold; rows keep key order inside a class."""
     plan = fold_plan(df, label_col)
-    if plan.agg(F.max("n_class")).first()[0] < k:
+    largest = plan.agg(F.max("n_class")).first()[0]
+    if largest is None or largest < k:
         raise ValueError(f"k={k} is larger than every class")
-    ranked = key_rank(df, label_col, key_col, "_rank")
+    ranked = key_rank(df, label_col, key_col, "_rank", largest_class=largest)
     out = join_small(ranked, plan, label_col, "inner")
     return (out.withColumn(fold_col, _fold_of(F.col("_rank") - 1, F.col("start"), F.col("n_class"), k))
             .drop("_rank", "start", "n_class"))
