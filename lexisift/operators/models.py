@@ -231,12 +231,26 @@ def cross_validate(arrays_with_folds: DataFrame, size: int, label_col: str = "la
         F.transform(F.sort_array(F.collect_list(F.struct("fold", "acc"))), lambda x: x["acc"]).alias("scores"))
 
 
+# Rows per training partition: iterative fitters run one job per iteration,
+# so tiny partitions cost more in scheduling than in work.
+TRAIN_ROWS_PER_PARTITION = 20_000
+
+
+def right_size(df: DataFrame, n_rows: int) -> DataFrame:
+    """Partitions for an iterative fit: about ``TRAIN_ROWS_PER_PARTITION``
+    rows each, at most one per core (large sets keep full parallelism)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    want = max(1, min(cores, math.ceil(n_rows / TRAIN_ROWS_PER_PARTITION)))
+    return df.repartition(want) if df.rdd.getNumPartitions() != want else df
+
+
 def _fit_only(train_arrays: DataFrame, label_col: str, size: int, cfg: ModelConfig) -> TrainedModels:
     train, classes = labelled_features(train_arrays, size, label_col)
     n_train = train.count()
     gamma = gamma_scale(train_arrays, size) if "SVM" in cfg.models and cfg.svm_kernel == "rbf" else None
     trained = TrainedModels({}, classes, cfg, size, gamma)
     lab = train_arrays.join(F.broadcast(classes), label_col).withColumnRenamed("label_index", "label")
+    lab = right_size(lab, n_train)
     for name in cfg.models:
         trained.models[name] = estimator(name, cfg, n_train).fit(trained.features_for(name, lab))
     return trained

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import join_small
-from .classes import class_counts, drop_rare_classes
+from .classes import class_counts
 
 
 def seeded_hash(key_col: str, seed: str | int) -> Column:
@@ -110,17 +110,19 @@ def balance_classes(df: DataFrame, label_col: str = "language", key_col: str = "
     """A3-A5: drop rare classes, then keep exactly ``target`` rows of each
     class (classes at or below the target are kept whole), chosen by seeded
     hash order."""
-    kept = drop_rare_classes(df, label_col, min_samples_per_class)
-    row = class_counts(kept, label_col).agg(F.min("n_class").alias("m"), F.max("n_class").alias("mx"),
-                                            F.count(F.lit(1)).alias("k")).first()
-    k = row["k"]
+    valid = class_counts(df, label_col).filter(F.col("n_class") >= min_samples_per_class)
+    row = valid.agg(F.min("n_class").alias("m"), F.max("n_class").alias("mx"),
+                    F.count(F.lit(1)).alias("k")).first()          # one job: A3 + A4 inputs
+    if not row["k"]:
+        raise ValueError(f"no class has at least {min_samples_per_class} rows")
+    kept = join_small(df, valid.select(label_col), label_col, "left_semi", row_bound=row["k"])
     cap = row["m"] if n_samples_per_class is None else min(n_samples_per_class, row["m"])
     target = max(cap, min_samples_per_class)      # A4, same rule as balance_target
     # rank on the narrow (key, label) projection; the wide rows never shuffle,
     # they are semi-joined with the chosen keys (at most target * k of them)
     narrow = kept.select(key_col, label_col)
     chosen = hash_rank(narrow, label_col, key_col, seed, "_rank", row["mx"]).filter(F.col("_rank") <= F.lit(target))
-    return join_small(kept, chosen.select(key_col), key_col, "left_semi", row_bound=target * k)
+    return join_small(kept, chosen.select(key_col), key_col, "left_semi", row_bound=target * row["k"])
 
 
 def split_plan(df: DataFrame, label_col: str = "language", test_size: float = 0.2) -> DataFrame:

@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.tokens import WORD_TOKEN_PATTERN, word_tokens
+from ..functions.tokens import WORD_TOKEN_PATTERN
 from ..operators import classes as K
 from ..operators import evaluation as EV
-from ..session import join_small, spread
+from ..session import spread
 from .q_text import docs
 from .registry import query, table
 
@@ -30,17 +30,22 @@ PAIR = ("en", "fr")
 
 
 def stopword_predictions(spark, sf):
-    sw = spark.createDataFrame([(w, lang) for lang, ws in STOPWORDS.items() for w in ws],
-                               "word string, sw_lang string")
-    d = spread(docs(spark, sf), "doc_id")
-    toks = d.select("doc_id", F.explode(word_tokens("code")).alias("word"))
-    n_words = sum(len(v) for v in STOPWORDS.values())
-    hits = join_small(toks, sw, "word", "inner", row_bound=n_words).groupBy("doc_id", "sw_lang").count()
-    best = hits.groupBy("doc_id").agg(F.min(F.struct((-F.col("count")).alias("neg"), "sw_lang")).alias("b"))
-    return (d.join(best, "doc_id", "left")
-            .select(F.lit("stopwords").alias("model"), F.col("doc_id").alias("key"),
-                    F.col("language").alias("label"),
-                    F.coalesce(F.col("b.sw_lang"), F.lit("en")).alias("prediction")))
+    """Hits are counted inside each row with one regex per language (a stop
+    word as a whole token of 2+ word characters, like the word tokeniser),
+    so there is no explode, join or shuffle; argmax by (hits desc, name)."""
+    d = docs(spark, sf).transform(lambda x: spread(x, "doc_id"))
+    low = F.lower(F.coalesce(F.col("code"), F.lit("")))
+    wc = r"[\p{L}\p{N}_]"
+    scores = []
+    for lang in sorted(STOPWORDS):
+        words = [w for w in STOPWORDS[lang] if len(w) >= 2]      # 1-char words are never tokens
+        pat = rf"(?<!{wc})(?:{'|'.join(words)})(?!{wc})"
+        hits = F.size(F.regexp_extract_all(low, F.lit(pat), F.lit(0)))
+        scores.append(F.struct((-hits).alias("neg"), F.lit(lang).alias("lang")))
+    best = F.array_min(F.array(*scores))
+    pred = F.when(best["neg"] < 0, best["lang"]).otherwise(F.lit("en"))
+    return d.select(F.lit("stopwords").alias("model"), F.col("doc_id").alias("key"),
+                    F.col("language").alias("label"), pred.alias("prediction"))
 
 
 def predictions(spark, sf):

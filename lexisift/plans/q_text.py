@@ -27,7 +27,7 @@ def cleaned(spark, sf):
     """Cleaned, non-empty documents, written once to the checkpoint folder
     (several aggregates read it)."""
     d = spread(docs(spark, sf), "doc_id")
-    return cut_lineage(K.with_nonempty(d, C.clean_text("code"), "clean_code"))
+    return cut_lineage(K.with_nonempty(d, C.clean_text("code"), "clean_code").drop("code"), "cleaned")
 
 
 def balanced(spark, sf, n=400):
