@@ -7,18 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions import tokens as T
 from ..operators import tfidf as TF
-from ..session import cut_lineage
-from .q_text import SQL_BALANCED, SQL_NGRAM_LIST, balanced
+from .q_text import SQL_BALANCED, SQL_NGRAM_LIST, balanced_table
 from .registry import query, table
 
 MAX_FEATURES = 10000
 MIN_DF = 2
 
 
-def balanced_table(spark, sf):
-    return cut_lineage(balanced(spark, sf).select("doc_id", "language", "clean_code"))
-
-
 def fitted(spark, sf, max_features=MAX_FEATURES):
     b = balanced_table(spark, sf)
     return b, TF.fit_tfidf(b, "clean_code", "doc_id", max_features=max_features, min_df=MIN_DF)

@@ -15,8 +15,8 @@ from ..operators import models as M
 from ..operators import split as S
 from ..operators import tfidf as TF
 from ..session import cut_lineage
-from .q_features import SQL_VOCAB, balanced_table, sql_weights, SQL_TF
-from .q_text import SQL_SPLIT
+from .q_features import SQL_TF, SQL_VOCAB, sql_weights
+from .q_text import SQL_SPLIT, balanced_table
 from .registry import query
 
 QUICK = dict(svm_components=256, svm_max_iter=50, rf_trees=20, rf_depth=10, gbt_rounds=5, gbt_depth=3,

@@ -9,8 +9,8 @@ from ..functions.arrays import argmax, dot, softmax
 from ..functions.tokens import word_tokens
 from ..operators import neural as N
 from ..operators import split as S
-from .q_features import SQL_VOCAB, balanced_table, fitted
-from .q_text import SQL_BALANCED
+from .q_features import SQL_VOCAB, fitted
+from .q_text import SQL_BALANCED, balanced_table
 from .registry import query, table
 
 N_CLASSES, DIM = 10, 64
