@@ -71,7 +71,7 @@ def first_per_key(df: DataFrame, targets: list[tuple[str, str]], name_col: str =
     order_cols = list(order_cols or [])
     # one row per requested name: the minimum over the ordering key, computed
     # by aggregation (no group is ever gathered into one task)
-    keyed = df.join(F.broadcast(t), name_col, "inner")
+    keyed = join_small(df, t, name_col, "inner", row_bound=len(targets))
     order_struct = F.struct(*[F.col(c) for c in order_cols], *[F.col(c) for c in value_cols])
     first = keyed.groupBy(name_col, out_col, "target_pos").agg(F.min(order_struct).alias("_first"))
     return first.select("target_pos", out_col, *[F.col(f"_first.{c}").alias(c) for c in value_cols])

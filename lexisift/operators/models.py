@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage, join_small
 from .classes import class_index
 from .evaluation import metrics
 
@@ -67,8 +68,9 @@ def labelled_features(arrays: DataFrame, size: int, label_col: str = "language",
     """(key, label DOUBLE, features SparseVector, ...) from ``indices/values``
     arrays; classes indexed alphabetically (``classes`` reused when given)."""
     from .tfidf import _to_sparse
-    classes = classes if classes is not None else class_index(arrays, label_col)
-    out = arrays.join(F.broadcast(classes), label_col, "inner") \
+    if classes is None:      # k rows, written once and counted: a proven bound
+        classes = cut_lineage(class_index(arrays, label_col), "classes")
+    out = join_small(arrays, classes, label_col, "inner", row_bound=classes.count()) \
         .withColumnRenamed("label_index", "label") \
         .withColumn("features", _to_sparse(F.lit(size), "indices", "values"))
     return out, classes
@@ -164,7 +166,8 @@ class TrainedModels:
             out = part if out is None else out.unionByName(part)
         names_tbl = self.classes.select(F.col("label_index").alias("prediction"),
                                         F.col(self.classes.columns[0]).alias("_name"))
-        out = out.join(F.broadcast(names_tbl), "prediction", "inner")   # k rows: index -> name
+        # index -> name: one row per class, bounded by the models' output size
+        out = join_small(out, names_tbl, "prediction", "inner", row_bound=self.classes.count())
         return out.select("model", "key", "label", F.col("_name").alias("prediction"))
 
     def predict_proba(self, arrays: DataFrame, name: str, key_col: str = "doc_id") -> DataFrame:
@@ -249,7 +252,8 @@ def _fit_only(train_arrays: DataFrame, label_col: str, size: int, cfg: ModelConf
     n_train = train.count()
     gamma = gamma_scale(train_arrays, size) if "SVM" in cfg.models and cfg.svm_kernel == "rbf" else None
     trained = TrainedModels({}, classes, cfg, size, gamma)
-    lab = train_arrays.join(F.broadcast(classes), label_col).withColumnRenamed("label_index", "label")
+    k = classes.count()
+    lab = join_small(train_arrays, classes, label_col, "inner", row_bound=k).withColumnRenamed("label_index", "label")
     lab = right_size(lab, n_train)
     for name in cfg.models:
         trained.models[name] = estimator(name, cfg, n_train).fit(trained.features_for(name, lab))
@@ -268,7 +272,8 @@ def grid_search(train_arrays: DataFrame, size: int, label_col: str = "language",
     gamma = gamma_scale(train_arrays, size)
     out = []
     for kernel in kernels:
-        lab = train_arrays.join(F.broadcast(classes), label_col).withColumnRenamed("label_index", "label")
+        lab = join_small(train_arrays, classes, label_col, "inner", row_bound=classes.count()) \
+            .withColumnRenamed("label_index", "label")
         tm = TrainedModels({}, classes, ModelConfig(svm_kernel=kernel, svm_components=cfg.svm_components,
                                                      seed=cfg.seed), size, gamma)
         feats = tm.features_for("SVM", lab).withColumn(fold_col, F.col(fold_col).cast("int"))

@@ -9,6 +9,7 @@ from ..functions.arrays import argmax, dot, softmax
 from ..functions.tokens import word_tokens
 from ..operators import neural as N
 from ..operators import split as S
+from ..session import join_small
 from .q_features import SQL_VOCAB, fitted
 from .q_text import SQL_BALANCED, balanced_table
 from .registry import query, table
@@ -84,4 +85,5 @@ def q_train_embedding_mlp(spark, sf):
     te = sp.filter(F.col("split") == "test").withColumn("_words", word_tokens("clean_code"))
     pred = model.transform(te)
     names = classes.select(F.col("label_index").alias("prediction"), F.col("language").alias("predicted"))
-    return pred.join(F.broadcast(names), "prediction").select("doc_id", "language", "predicted")
+    return join_small(pred, names, "prediction", "inner", row_bound=classes.count()) \
+        .select("doc_id", "language", "predicted")

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import join_small
+
 SNIPPET_SCHEMA = T.StructType([T.StructField("code", T.StringType()), T.StructField("language", T.StringType())])
 REQUIRED = ("code", "language")
 
@@ -114,7 +116,7 @@ def template_expand(spark: SparkSession, templates: DataFrame, n_per_class: int
     n_lang = langs.count()
     ids = spark.range(n_lang * n_per_class).select(
         (F.col("id") / n_per_class).cast("long").alias("lang_pos"), (F.col("id") % n_per_class).alias("i"))
-    rows = ids.join(F.broadcast(langs), "lang_pos").withColumn("idx", F.col("i") % F.col("n_templates"))
+    rows = join_small(ids, langs, "lang_pos", "inner", row_bound=n_lang).withColumn("idx", F.col("i") % F.col("n_templates"))
     ranked = templates.withColumn("idx", F.row_number().over(
         Window.partitionBy("language").orderBy("idx")) - 1)
     out = rows.join(ranked, ["language", "idx"])
