@@ -168,7 +168,7 @@ def q_confusion_errors(spark, sf):
 
 @query("top_confusions", sql=f"""WITH {SQL_PRED} SELECT * FROM (
   SELECT model, actual, predicted, count, round(percentage, 6) AS percentage,
-    row_number() OVER (PARTITION BY model ORDER BY count DESC, actual, predicted) AS rank
+    CAST(row_number() OVER (PARTITION BY model ORDER BY count DESC, actual, predicted) AS INTEGER) AS rank
   FROM ({SQL_ERRORS})) WHERE rank <= 15""")
 def q_top_confusions(spark, sf):
     t = EV.top_confusions(predictions(spark, sf), 15)
