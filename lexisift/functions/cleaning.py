@@ -14,6 +14,11 @@ two places that matter here:
   U+2028 and U+2029).
 * the quoted-literal patterns must be possessive: the backtracking form
   recurses once per escape and overflows the stack on long inputs.
+
+Two Spark-side patterns are cheaper equivalents of the oracle's: the line
+right-strip is possessive (a shorter blank run is never followed by a line
+end, so backtracking cannot find a match), and the final strip is a trim of
+newlines (see ``_apply``).
 """
 
 from __future__ import annotations
@@ -51,7 +56,7 @@ STEPS: tuple[Step, ...] = (
     Step("single_quoted", r"(?d)'[^'\\]*+(?:\\.[^'\\]*+)*+'", r"'[^'\\]*(?:\\.[^'\\]*)*'", "''"),
     Step("squeeze_newlines", r"\n{3,}", r"\n{3,}", "\n\n"),
     Step("line_lstrip", rf"(?md)^[{_WSN_JAVA}]+", rf"(?m)^[{_WSN_RE2}]+", ""),
-    Step("line_rstrip", rf"(?md)[{_WSN_JAVA}]+$", rf"(?m)[{_WSN_RE2}]+$", ""),
+    Step("line_rstrip", rf"(?md)[{_WSN_JAVA}]++$", rf"(?m)[{_WSN_RE2}]+$", ""),
     Step("strip", rf"\A[{_WS_JAVA}]+|[{_WS_JAVA}]+\z", rf"\A[{_WS_RE2}]+|[{_WS_RE2}]+\z", ""),
 )
 
@@ -66,8 +71,16 @@ STEP_GROUPS: dict[str, tuple[str, ...]] = {
 
 def _apply(col: Column, names) -> Column:
     by_name = {s.name: s for s in STEPS}
-    for name in names:
+    names = list(names)
+    for i, name in enumerate(names):
         s = by_name[name]
+        if name == "strip" and names[i - 2:i] == ["line_lstrip", "line_rstrip"]:
+            # After both per-line strips every line is empty or starts and
+            # ends with a non-space, so the only whitespace left at either
+            # end of the text is newlines (leading / trailing empty lines):
+            # a linear trim of '\n' is the same as the full strip.
+            col = F.btrim(col, F.lit("\n"))
+            continue
         col = F.regexp_replace(col, F.lit(s.java), F.lit(s.replacement))
     return col
 

@@ -145,6 +145,7 @@ class TrainedModels:
     size: int
     gamma: float | None = None
     best_name: str | None = None
+    n_classes: int | None = None
 
     def features_for(self, name: str, arrays: DataFrame) -> DataFrame:
         if name == "SVM" and self.cfg.svm_kernel == "rbf":
@@ -167,7 +168,8 @@ class TrainedModels:
         names_tbl = self.classes.select(F.col("label_index").alias("prediction"),
                                         F.col(self.classes.columns[0]).alias("_name"))
         # index -> name: one row per class, bounded by the models' output size
-        out = join_small(out, names_tbl, "prediction", "inner", row_bound=self.classes.count())
+        k = self.n_classes if self.n_classes is not None else self.classes.count()
+        out = join_small(out, names_tbl, "prediction", "inner", row_bound=k)
         return out.select("model", "key", "label", F.col("_name").alias("prediction"))
 
     def predict_proba(self, arrays: DataFrame, name: str, key_col: str = "doc_id") -> DataFrame:
@@ -248,12 +250,12 @@ def right_size(df: DataFrame, n_rows: int) -> DataFrame:
 
 
 def _fit_only(train_arrays: DataFrame, label_col: str, size: int, cfg: ModelConfig) -> TrainedModels:
-    train, classes = labelled_features(train_arrays, size, label_col)
-    n_train = train.count()
-    gamma = gamma_scale(train_arrays, size) if "SVM" in cfg.models and cfg.svm_kernel == "rbf" else None
-    trained = TrainedModels({}, classes, cfg, size, gamma)
+    classes = cut_lineage(class_index(train_arrays, label_col), "classes")   # k rows, written once
     k = classes.count()
     lab = join_small(train_arrays, classes, label_col, "inner", row_bound=k).withColumnRenamed("label_index", "label")
+    n_train = lab.count()
+    gamma = gamma_scale(train_arrays, size) if "SVM" in cfg.models and cfg.svm_kernel == "rbf" else None
+    trained = TrainedModels({}, classes, cfg, size, gamma, n_classes=k)
     lab = right_size(lab, n_train)
     for name in cfg.models:
         trained.models[name] = estimator(name, cfg, n_train).fit(trained.features_for(name, lab))
