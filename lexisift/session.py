@@ -91,3 +91,28 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, key) if key else df.repartition(cores)
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2,
+               min_partitions: int = 200) -> dict[str, str]:
+    """Session settings for a run over ``input_bytes`` of input (e.g. 100 TB
+    on a large cluster).  Scans are split at ``target_partition_bytes``; the
+    first shuffle of a stage starts with as many partitions as the input has
+    splits and AQE coalesces small ones and splits skewed ones at run time,
+    so a partition stays near the target size in executor memory."""
+    splits = max(min_partitions, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(splits),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(splits),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)
