@@ -8,8 +8,7 @@ document frequency, then the ``max_features`` terms of highest corpus count
 ``ln((1+n)/(1+df)) + 1`` with ``n`` = every fitted row, sublinear tf
 ``1 + ln(tf)``, L2 norm per row.
 
-Physical plan: the documents are hash-partitioned by key once (nothing is
-added when they already are), so the per-document term counts and the
+Physical plan: the documents are hash-partitioned by key once, so the per-document term counts and the
 per-document norm (a window by key) need no further exchange; the document
 frequency is a partial (map-side) aggregation by term; the fitted vocabulary
 is bounded by ``max_features``, written to the checkpoint folder, and
@@ -22,20 +21,20 @@ import json
 import os
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pyspark import StorageLevel
-from pyspark.ml.linalg import VectorUDT
-
 from ..functions.tokens import ngrams, word_tokens
 from ..session import cut_lineage, join_small
 
 
 def _by_key(df: DataFrame, key_col: str) -> DataFrame:
-    """Cluster rows by key unless the plan already is (one shuffle of the
-    text; every later per-document step reuses it)."""
+    """Cluster rows by key (one shuffle of the text; every later
+    per-document step reuses it).  Callers whose rows are already clustered
+    pass ``clustered=True`` and skip it."""
     return df.repartition(key_col)
 
 

@@ -71,3 +71,10 @@ def test_convert_to_format(spark, tmp_path):
     back = spark.read.option("header", True).csv(str(tmp_path / "out"))
     assert [tuple(r) for r in back.collect()] == [("y", "sql")]
     assert W.convert_to_format(spark, str(tmp_path / "none"), str(tmp_path / "o2")) is None
+
+
+def test_scale_conf():
+    from lexisift.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4)
+    assert c["spark.sql.shuffle.partitions"] == "409600"
+    assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"
