@@ -25,7 +25,7 @@ from ..operators import evaluation as EV
 from ..operators import models as M
 from ..operators import split as S
 from ..operators import tfidf as TF
-from ..session import cut_lineage, spread
+from ..session import cut_lineage, release, spread
 
 
 @dataclass
@@ -38,7 +38,7 @@ class Prepared:
 def preprocess(df: DataFrame, text_col: str = "code", label_col: str = "language", key_col: str = "doc_id",
                classes=None, n_samples_per_class: int | None = 400, min_samples_per_class: int = 2,
                max_features: int | None = 10000, min_df: int = 2, test_size: float = 0.2,
-               seed: int = 42, fit_on: str = "all") -> Prepared:
+               seed: int = 42, fit_on: str = "all", keep_intermediate: bool = False) -> Prepared:
     d = spread(df.select(key_col, text_col, label_col), key_col)
     d = K.filter_known_classes(d, label_col, classes) if classes else d       # pushed below cleaning
     c = K.with_nonempty(d, clean_text(text_col), "clean_code")
@@ -54,6 +54,9 @@ def preprocess(df: DataFrame, text_col: str = "code", label_col: str = "language
         model = TF.fit_tfidf(sp.filter(F.col("split") == "train"), "clean_code", key_col,
                              max_features=max_features, min_df=min_df)
         arrays = cut_lineage(model.sparse_arrays(sp, "clean_code", key_col, keep_cols=(label_col, "split")))
+    if not keep_intermediate:           # the feature table holds what later steps read
+        for t in (c, sp):
+            release(t)
     return Prepared(arrays, model, b)
 
 

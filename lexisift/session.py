@@ -116,3 +116,22 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2,
 def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
     for k, v in conf.items():
         spark.conf.set(k, v)
+
+
+def release(df: DataFrame) -> None:
+    """Delete the folder behind a table written by :func:`cut_lineage` once
+    nothing reads it any more (intermediate tables of a run do not pile up
+    in the shared folder).  Works through Hadoop FS on any cluster store."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    roots = set()
+    for f in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(f).getParent()
+        roots.add(p.toString())
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    for r in roots:
+        if base.split(":", 1)[-1] not in r:      # only our own written tables
+            continue
+        path = jvm.org.apache.hadoop.fs.Path(r)
+        path.getFileSystem(conf).delete(path, True)

@@ -50,3 +50,13 @@ def test_stream_equals_batch(spark, tmp_path):
     arrays = prep.tfidf.sparse_arrays(batch_in, "_text", "doc_id")
     batch = {r.key: r.prediction for r in trained.predict(arrays, "doc_id", None, names=["NaiveBayes"]).collect()}
     assert streamed == batch and len(streamed) == raw.count()
+
+
+def test_release_written_table(spark):
+    from lexisift.session import cut_lineage, release
+    t = cut_lineage(spark.range(10), "scratch")
+    files = t.inputFiles()
+    assert files
+    release(t)
+    import os
+    assert not any(os.path.exists(f.replace("file:", "")) for f in files)
