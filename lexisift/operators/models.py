@@ -172,14 +172,20 @@ class TrainedModels:
         out = join_small(out, names_tbl, "prediction", "inner", row_bound=k)
         return out.select("model", "key", "label", F.col("_name").alias("prediction"))
 
-    def predict_proba(self, arrays: DataFrame, name: str, key_col: str = "doc_id") -> DataFrame:
-        """Class probabilities as an array; models without a
-        probability column (one-vs-rest) use the softmax of raw scores."""
+    def predict_proba(self, arrays: DataFrame, name: str, key_col: str = "doc_id",
+                      fallback: str = "softmax") -> DataFrame:
+        """Class probabilities as an array.  Models without a
+        probability column (one-vs-rest) fall back to the raw decision
+        values: their softmax (default) or their absolute values
+        (``fallback="abs"``, as the reference does)."""
         p = self.models[name].transform(self.features_for(name, arrays))
         if "probability" in p.columns:
             return p.select(key_col, vector_to_array("probability").alias("probability"))
+        raw = vector_to_array("rawPrediction")
+        if fallback == "abs":
+            return p.select(key_col, F.transform(raw, lambda x: F.abs(x)).alias("probability"))
         from ..functions.arrays import softmax
-        return p.select(key_col, softmax(vector_to_array("rawPrediction")).alias("probability"))
+        return p.select(key_col, softmax(raw).alias("probability"))
 
     def save_best(self, directory: str) -> str:
         """K7: ``baseline_{best}`` via the MLlib writer."""
@@ -290,3 +296,24 @@ def grid_search(train_arrays: DataFrame, size: int, label_col: str = "language",
             out.append((kernel, float(c), float(score)))
     spark = train_arrays.sparkSession
     return spark.createDataFrame(out, "kernel string, C double, mean_accuracy double")
+
+
+def manual_check(trained: "TrainedModels", tfidf, samples: DataFrame, text_col: str = "code",
+                 label_col: str = "language", key_col: str = "sample_id", clean: bool = False,
+                 names=None) -> tuple[DataFrame, DataFrame]:
+    """Score labelled samples with every model.  Texts are vectorised
+    raw by default (as the reference does; ``clean=True`` cleans first).
+    Returns per-sample rows ``(model, key, label, prediction, correct,
+    preview)`` and the summary ``(model, accuracy_pct, n_correct, n)``."""
+    from ..functions.cleaning import clean_text
+    from .evaluation import text_preview
+    s = samples.withColumn("_text", clean_text(text_col) if clean else F.col(text_col))
+    arr = tfidf.sparse_arrays(s, "_text", key_col, keep_cols=(label_col,))
+    pred = trained.predict(arr, key_col, label_col, names)
+    previews = samples.select(F.col(key_col).alias("key"), text_preview(text_col, 80).alias("preview"))
+    rows = pred.withColumn("correct", F.col("label") == F.col("prediction")).join(previews, "key", "left")
+    summary = rows.groupBy("model").agg(
+        (100 * F.avg(F.col("correct").cast("double"))).alias("accuracy_pct"),
+        F.sum(F.col("correct").cast("int")).alias("n_correct"),
+        F.count(F.lit(1)).alias("n"))
+    return rows, summary

@@ -178,9 +178,5 @@ def q_manual_check(spark, sf):
     trained, _ = M.train_all(arrays.filter(F.col("split") == "train"), "language", model.size, cfg)
     samples = R.explode_samples(_samples_map(spark, sf))
     samples = samples.withColumn("sample_id", F.xxhash64("code", "language"))
-    arr = model.sparse_arrays(samples, "code", "sample_id", keep_cols=("language",))
-    pred = trained.predict(arr, "sample_id", "language")
-    return pred.groupBy("model").agg(
-        (100 * F.avg((F.col("label") == F.col("prediction")).cast("double"))).alias("accuracy_pct"),
-        F.sum((F.col("label") == F.col("prediction")).cast("int")).alias("n_correct"),
-        F.count(F.lit(1)).alias("n"))
+    _, summary = M.manual_check(trained, model, samples, "code", "language", "sample_id", clean=False)
+    return summary

@@ -228,6 +228,14 @@ def q_stratified_split(spark, sf):
     return S.stratified_split(balanced_table(spark, sf), "language", "doc_id", 0.2, 42).select("doc_id", "language", "split")
 
 
+@query("train_label_counts", sql=f"""SELECT language, count(*) AS count FROM ({SQL_SPLIT})
+WHERE split = 'train' GROUP BY language""")
+def q_train_label_counts(spark, sf):
+    """A10: label counts of the training rows."""
+    sp = S.stratified_split(balanced_table(spark, sf), "language", "doc_id", 0.2, 42)
+    return K.class_distribution(sp.filter(F.col("split") == "train"), "language")
+
+
 @query("split_overlap", sql=f"""SELECT count(*) AS n_shared_texts FROM (
   SELECT DISTINCT clean_code FROM ({SQL_SPLIT}) WHERE split = 'train'
   INTERSECT SELECT DISTINCT clean_code FROM ({SQL_SPLIT}) WHERE split = 'test')""")
