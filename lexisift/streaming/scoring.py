@@ -3,8 +3,9 @@
 The scorer needs per-document aggregation and a broadcast join against the
 vocabulary, which a streaming plan cannot hold as a window; each micro-batch
 is therefore scored as a static DataFrame inside ``foreachBatch`` and
-appended to a parquet sink.  Progress and exactly-once file output come from
-the checkpoint location (under the cluster's checkpoint folder by default).
+appended to a parquet sink.  Progress comes from the checkpoint location (under the cluster's checkpoint
+folder by default); each micro-batch overwrites its own ``batch_id=<n>``
+folder, so a replayed batch leaves exactly one copy of its rows.
 """
 
 from __future__ import annotations
@@ -38,8 +39,10 @@ def score_stream(spark: SparkSession, source_dir: str, schema, tfidf, trained, s
     def score(batch: DataFrame, batch_id: int) -> None:
         arrays = tfidf.sparse_arrays(batch, "_text", key_col)
         pred = trained.predict(arrays, key_col, None, names=[model_name])
-        (pred.select(F.col("key").alias(key_col), "prediction", F.lit(batch_id).alias("batch_id"))
-         .write.mode("append").parquet(sink_dir))
+        # one folder per micro-batch, overwritten: a batch replayed after a
+        # failure replaces its own output (exactly-once), never duplicates it
+        (pred.select(F.col("key").alias(key_col), "prediction")
+         .write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}"))
 
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     w = stream.writeStream.foreachBatch(score).option("checkpointLocation", ckpt)
