@@ -138,3 +138,32 @@ def test_split_on_documents_partition(spark):
     d = spark.read.parquet(f"{SF_MED}/documents.parquet").select("doc_id", F.col("lang").alias("language"))
     sp = S.stratified_split(d, "language", "doc_id")
     assert sp.count() == d.count() == sp.select("doc_id").distinct().count()
+
+
+def test_fold_allotment_random_configs(spark):
+    """The k-fold formula against the numpy statement on many random class
+    size configurations at once (each configuration is its own table)."""
+    import random
+
+    import numpy as np
+    rng = random.Random(11)
+    expected, rows = {}, []
+    for cfg in range(40):
+        k = rng.choice([2, 3, 5, 7])
+        sizes = [rng.randint(k, 40) for _ in range(rng.randint(1, 5))]
+        labels = [f"l{j}" for j in range(len(sizes))]
+        y = np.repeat(np.arange(len(sizes)), sizes)
+        alloc = np.asarray([np.bincount(y[i::k], minlength=len(sizes)) for i in range(k)])
+        for c, n in enumerate(sizes):
+            folds = np.arange(k).repeat(alloc[:, c])
+            start = int(sum(sizes[:c]))
+            for r in range(n):
+                expected[(cfg, c, r)] = int(folds[r])
+                rows.append((cfg, k, c, r, start, n))
+    df = spark.createDataFrame(rows, "cfg int, k int, c int, r int, start long, n long")
+    got = {}
+    for kk in (2, 3, 5, 7):
+        part = df.filter(F.col("k") == kk).select(
+            "cfg", "c", "r", S._fold_of(F.col("r"), F.col("start"), F.col("n"), kk).alias("fold")).collect()
+        got.update({(x.cfg, x.c, x.r): x.fold for x in part})
+    assert got == expected
