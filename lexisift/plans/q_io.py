@@ -17,8 +17,9 @@ from ..session import ensure_checkpoint_dir
 from ..sources import readers as R
 from ..sources import writers as W
 from .q_eval import SQL_PRED, predictions
-from .q_features import fitted, sql_tf, sql_weights
+from .q_features import SQL_TF, SQL_VOCAB, fitted, sql_tf, sql_weights
 from .q_models import SQL_NB, feature_table
+from .q_text import SQL_SPLIT
 from .registry import query, table
 
 SQL_DOCS_MD5 = "SELECT md5(text) AS code_md5, lang AS language FROM documents"
@@ -177,6 +178,47 @@ def q_manual_check(spark, sf):
     cfg = M.ModelConfig(models=["NaiveBayes", "LogisticRegression"], lr_max_iter=200)
     trained, _ = M.train_all(arrays.filter(F.col("split") == "train"), "language", model.size, cfg)
     samples = R.explode_samples(_samples_map(spark, sf))
-    samples = samples.withColumn("sample_id", F.xxhash64("code", "language"))
+    samples = samples.withColumn("sample_id", F.xxhash64("language", "position"))
     _, summary = M.manual_check(trained, model, samples, "code", "language", "sample_id", clean=False)
     return summary
+
+
+SQL_MANUAL_NB = f"""WITH sp AS (SELECT doc_id, language, split FROM ({SQL_SPLIT})),
+vocab AS ({SQL_VOCAB}),
+w AS ({sql_weights(SQL_TF)}),
+tr AS (SELECT w.idx, w.w, sp.language FROM w JOIN sp ON w.doc_id = sp.doc_id WHERE split = 'train'),
+S AS (SELECT language, idx, sum(w) AS s FROM tr GROUP BY language, idx),
+Tc AS (SELECT language, sum(w) AS t FROM tr GROUP BY language),
+Nc AS (SELECT language, count(*) AS nc FROM sp WHERE split = 'train' GROUP BY language),
+N AS (SELECT sum(nc) AS n, count(*) AS k FROM Nc),
+D AS (SELECT count(*) AS d FROM vocab),
+smp AS (SELECT doc_id, lang, text FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS r FROM documents) WHERE r <= 2),
+aw AS ({sql_weights(sql_tf('SELECT doc_id, text FROM smp', 'doc_id', 'text'))}),
+te AS (SELECT doc_id, lang AS label FROM smp),
+wsums AS (SELECT doc_id, sum(w) AS wsum FROM aw GROUP BY doc_id),
+base AS (SELECT te.doc_id, te.label, Nc.language,
+           ln(nc + 1) - ln(n + k) - ln(coalesce(t, 0) + d) * coalesce(wsum, 0) AS b
+         FROM te CROSS JOIN Nc CROSS JOIN N CROSS JOIN D
+         LEFT JOIN Tc ON Tc.language = Nc.language LEFT JOIN wsums ON wsums.doc_id = te.doc_id),
+part AS (SELECT aw.doc_id, S.language, sum(aw.w * ln(S.s + 1)) AS p
+         FROM aw JOIN S ON S.idx = aw.idx GROUP BY aw.doc_id, S.language),
+score AS (SELECT base.doc_id, base.label, base.language, b + coalesce(p, 0) AS score
+          FROM base LEFT JOIN part ON part.doc_id = base.doc_id AND part.language = base.language),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, language) AS rn
+         FROM score) WHERE rn = 1)
+SELECT 'NaiveBayes' AS model, round(100 * avg(CASE WHEN language = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy_pct,
+  CAST(sum(CASE WHEN language = label THEN 1 ELSE 0 END) AS BIGINT) AS n_correct, count(*) AS n FROM best"""
+
+
+@query("manual_check_nb", sql=SQL_MANUAL_NB)
+def q_manual_check_nb(spark, sf):
+    """E13 with the naive Bayes model only, so that a SQL twin exists: two
+    raw (uncleaned) texts per language, vectorised with the TF-IDF fitted on
+    the balanced table, scored, accuracy in percent."""
+    arrays, model = feature_table(spark, sf, 10000)
+    trained, _ = M.train_all(arrays.filter(F.col("split") == "train"), "language", model.size,
+                             M.ModelConfig(models=["NaiveBayes"]))
+    samples = R.explode_samples(_samples_map(spark, sf)).withColumn("sample_id", F.xxhash64("language", "position"))
+    _, summary = M.manual_check(trained, model, samples, "code", "language", "sample_id", clean=False)
+    return summary.select("model", F.round("accuracy_pct", 6).alias("accuracy_pct"), "n_correct", "n")

@@ -126,9 +126,11 @@ def template_expand(spark: SparkSession, templates: DataFrame, n_per_class: int
 
 
 def explode_samples(samples: DataFrame, map_col: str = "samples") -> DataFrame:
-    """``MAP<language, ARRAY<code>>`` -> ``(language, code)`` rows."""
+    """``MAP<language, ARRAY<code>>`` -> ``(language, position, code)``
+    rows (``position`` inside the language's list, so equal texts stay
+    distinct samples)."""
     one = samples.select(F.explode(map_col).alias("language", "codes"))
-    return one.select("language", F.explode("codes").alias("code"))
+    return one.select("language", F.posexplode("codes").alias("position", "code"))
 
 
 def collect_data(spark: SparkSession, source: str, **kw) -> DataFrame:

@@ -45,7 +45,8 @@ def test_template_expand_and_samples(spark):
     assert all("unknown" not in c for _, c in got)            # failing substitution skipped
     assert ("sql", "SELECT $x FROM User") in got and len([g for g in got if g[0] == "sql"]) == 4
     s = spark.createDataFrame([({"go": ["a", "b"], "sql": ["c"]},)], "samples map<string, array<string>>")
-    assert sorted(tuple(r) for r in R.explode_samples(s).collect()) == [("go", "a"), ("go", "b"), ("sql", "c")]
+    got = sorted(tuple(r) for r in R.explode_samples(s).collect())
+    assert got == [("go", 0, "a"), ("go", 1, "b"), ("sql", 0, "c")]
 
 
 def test_json_roundtrip(spark, tmp_path):
