@@ -52,7 +52,7 @@ def key_buckets(largest_class: int) -> int:
 
 
 def rank_within_class(df: DataFrame, label_col: str, order_cols: list, bucket: Column,
-                      out_col: str = "rank") -> DataFrame:
+                      out_col: str = "rank", max_rank: int | None = None) -> DataFrame:
     """1-based ``row_number() over (partition by label order by order_cols)``
     without a per-class window (skew-safe).
 
@@ -60,28 +60,36 @@ def rank_within_class(df: DataFrame, label_col: str, order_cols: list, bucket: C
     is the class's row count in earlier buckets (from a small
     ``(label, bucket)`` count table) plus the row number inside its
     ``(label, bucket)`` group; no group is larger than one bucket.
-    ``order_cols`` must make the order total (end with a unique key)."""
+    ``order_cols`` must make the order total (end with a unique key).
+
+    With ``max_rank`` only rows of rank ``<= max_rank`` are returned, and
+    buckets that start at or after that rank are dropped by the join with
+    the count table before anything is shuffled: sampling a few rows per
+    class moves about that many rows, not the class."""
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     b = df.withColumn("_bucket", bucket)
     stats = b.groupBy(label_col, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(label_col).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.select(label_col, "_bucket", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_before"))
+    if max_rank is not None:
+        stats = stats.filter(F.col("_before") < F.lit(max_rank))
+    joined = join_small(b, stats, [label_col, "_bucket"], "inner")
     inner = Window.partitionBy(label_col, "_bucket").orderBy(*order_cols)
-    ranked = b.withColumn("_rn", F.row_number().over(inner))
-    out = join_small(ranked, stats, [label_col, "_bucket"], "inner")
-    return (out.withColumn(out_col, (F.col("_before") + F.col("_rn")).cast("long"))
-            .drop("_bucket", "_before", "_rn"))
+    out = (joined.withColumn(out_col, (F.col("_before") + F.row_number().over(inner)).cast("long"))
+           .drop("_bucket", "_before"))
+    return out if max_rank is None else out.filter(F.col(out_col) <= F.lit(max_rank))
 
 
 def hash_rank(df: DataFrame, label_col: str, key_col: str, seed, out_col: str = "rank",
-              largest_class: int | None = None) -> DataFrame:
+              largest_class: int | None = None, max_rank: int | None = None) -> DataFrame:
     """Rank inside each class in seeded-hash order (ties by key).  md5 is
     uniform, so a hash prefix gives even buckets; its length follows the
     largest class (counted when not given)."""
     if largest_class is None:
         largest_class = _largest_class(df, label_col)
     h = seeded_hash(key_col, seed)
-    return rank_within_class(df, label_col, [h, key_col], F.substring(h, 1, hash_digits(largest_class)), out_col)
+    return rank_within_class(df, label_col, [h, key_col], F.substring(h, 1, hash_digits(largest_class)), out_col,
+                             max_rank)
 
 
 def key_rank(df: DataFrame, label_col: str, key_col: str, out_col: str = "rank",
@@ -118,10 +126,11 @@ def balance_classes(df: DataFrame, label_col: str = "language", key_col: str = "
     kept = join_small(df, valid.select(label_col), label_col, "left_semi", row_bound=row["k"])
     cap = row["m"] if n_samples_per_class is None else min(n_samples_per_class, row["m"])
     target = max(cap, min_samples_per_class)      # A4, same rule as balance_target
-    # rank on the narrow (key, label) projection; the wide rows never shuffle,
-    # they are semi-joined with the chosen keys (at most target * k of them)
+    # rank the narrow (key, label) projection, and only in the buckets that can
+    # hold one of the first ``target`` rows; the wide rows never shuffle, they
+    # are semi-joined with the chosen keys (at most target * k of them)
     narrow = kept.select(key_col, label_col)
-    chosen = hash_rank(narrow, label_col, key_col, seed, "_rank", row["mx"]).filter(F.col("_rank") <= F.lit(target))
+    chosen = hash_rank(narrow, label_col, key_col, seed, "_rank", row["mx"], max_rank=target)
     return join_small(kept, chosen.select(key_col), key_col, "left_semi", row_bound=target * row["k"])
 
 

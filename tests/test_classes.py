@@ -167,3 +167,10 @@ def test_fold_allotment_random_configs(spark):
             "cfg", "c", "r", S._fold_of(F.col("r"), F.col("start"), F.col("n"), kk).alias("fold")).collect()
         got.update({(x.cfg, x.c, x.r): x.fold for x in part})
     assert got == expected
+
+
+def test_hash_rank_max_rank(spark):
+    df = _skewed(spark)
+    full = {r.k: r.rank for r in S.hash_rank(df, "label", "k", 5, largest_class=100_000_000).collect()}
+    top = {r.k: r.rank for r in S.hash_rank(df, "label", "k", 5, largest_class=100_000_000, max_rank=7).collect()}
+    assert top == {k: v for k, v in full.items() if v <= 7}
