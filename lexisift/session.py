@@ -4,6 +4,7 @@ and a size-checked broadcast."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -36,10 +37,12 @@ def local_session(cpus: int | str = "*", app: str = "lexisift",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a fresh scratch folder
-    created and registered; on a cluster the configured shared path is used.
+    Only a session whose executors run in this process or on this machine
+    (``local[...]``, as in tests) gets a scratch folder when it names none; on
+    a cluster a missing setting is an error, since executors would each write
+    to their own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.match(r"local(\[[^\]]*\])?$", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="lexisift-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -60,7 +65,9 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
 
 
 # Sides up to this many rows may be broadcast on a proven bound.
@@ -119,19 +126,13 @@ def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
 
 
 def release(df: DataFrame) -> None:
-    """Delete the folder behind a table written by :func:`cut_lineage` once
-    nothing reads it any more (intermediate tables of a run do not pile up
-    in the shared folder).  Works through Hadoop FS on any cluster store."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    roots = set()
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f).getParent()
-        roots.add(p.toString())
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    for r in roots:
-        if base.split(":", 1)[-1] not in r:      # only our own written tables
-            continue
-        path = jvm.org.apache.hadoop.fs.Path(r)
-        path.getFileSystem(conf).delete(path, True)
+    """Delete a table written by :func:`cut_lineage` once nothing reads it any
+    more, so that the intermediate tables of a run do not pile up in the shared
+    folder.  Works through Hadoop FS on any cluster store; any other DataFrame
+    is left alone."""
+    path = getattr(df, "written_to", None)
+    if path is None:
+        return
+    sc = df.sparkSession.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
