@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, simhash
+import corpus_pipeline
+
+from . import decontaminate, embeddings, html_text, langid, language_model, licenses, mixing, quality, simhash, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -23,11 +25,67 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-@query("op5_decontaminate")
+@query("op1_toxicity")
+def op1(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_language_model")
+def op2(spark, sf_dir):
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
+@query("op3_quality")
+def op3(spark, sf_dir):
+    """The source is the host; the language is its first directory, as in the pages' urls."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op4_html_text")
+def op4(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
+        r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query("op5_decontaminate", sql=f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({WORDS.format('text')}, []) AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS.format('text')} AS w FROM benchmark),
+win AS (SELECT DISTINCT item, least(13, len(w)) AS n, array_to_string(list_slice(w, p, p + least(13, len(w)) - 1), ' ') AS win
+        FROM i, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS u(p) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM win),
+pos AS (SELECT r, n, p, array_to_string(list_slice(w, p, p + n - 1), ' ') AS win
+        FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS u(p) WHERE len(w) >= n),
+found AS (SELECT r, p, n, item FROM pos JOIN win USING (n, win)),
+hit AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT DISTINCT r, p, n FROM found) f, unnest(range(p, p + n)) AS u(q) GROUP BY r),
+its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)""")
 def op5(spark, sf_dir):
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op6_langid")
+def op6(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op7_embeddings", sql="""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+         AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+         WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(node, seen) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.node, l.b FROM reach r JOIN link l ON l.a = r.seen)
+SELECT v.vec_id, (SELECT count(*) FROM link WHERE link.a = v.vec_id) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v JOIN (SELECT node, min(seen) AS component_id FROM reach GROUP BY node) c ON c.node = v.vec_id""")
+def op7(spark, sf_dir):
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op8_simhash")
 def op8(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -36,3 +94,17 @@ def op8(spark, sf_dir):
 @query("op9_mixing")
 def op9(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op10_licenses")
+def op10(spark, sf_dir):
+    """The path of a document is source/lang/doc_id.txt."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat(F.coalesce("source", F.lit("")), F.lit("/"), F.coalesce("lang", F.lit("")), F.lit("/"),
+                    F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(".txt"))
+    return licenses.scan(docs, path)
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
