@@ -108,17 +108,20 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     written to the shared folder, nothing is collected but a checksum.
     """
     def stars(e: DataFrame) -> DataFrame:
+        # the minima are written, so that both sides of each join are plain shuffles and a hot node can be split
         both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(
-            F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        large = (both.join(low, F.col("a") == F.col("u")).filter("b > a")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")))
+        low = written(both.groupBy("a").agg(F.min("b").alias("m")).select(
+            F.col("a").alias("u"), F.least("a", "m").alias("m")), "minima")
+        # large star: neighbours above the node to the smallest of all its neighbours
+        down = written(e.join(low, e.b == low.u).select("a", F.col("m").alias("b")), "large-star")
         # small star: neighbours below the node, and the node itself, to the smallest of them
-        down = large.filter("a > b").distinct()
-        least = down.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m")
+        least = written(down.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m"), "minima")
         moved = down.join(least, F.col("a") == F.col("u")).filter("b > m").select(
             F.col("b").alias("a"), F.col("m").alias("b"))
-        return moved.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
+        out = written(moved.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct(), "edges")
+        for t in (low, down, least):
+            release(t)
+        return out
 
     e = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                 .filter("a > b").distinct(), "edges")
@@ -126,7 +129,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if not mark[0]:
             break
-        nxt = written(stars(e), "edges")
+        nxt = stars(e)
         again = _mark(nxt)
         release(e)
         e = nxt
