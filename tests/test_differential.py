@@ -8,7 +8,7 @@ import re
 from lexisift.functions import cleaning as C
 from lexisift.functions import tokens as T
 
-from test_cleaning import py_clean
+from test_cleaning import rules_in_python
 
 PIECES = ["/", "*", "/*", "*/", "//", "#", '"', "'", '"""', "'''", "\\", "\\\"", "\\'", "<!--", "-->",
           "\n", "\n\n\n", " ", "  ", "\t", "\r", "\x0b", "\x0c", "\x1c", "\xa0", " ", "　", "\x85",
@@ -25,10 +25,10 @@ def test_clean_and_tokens_match_python(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, t string")
     rows = df.select("id", C.clean_text("t").alias("c"), T.code_tokens("t").alias("k"),
                      T.word_tokens("t").alias("w")).collect()
-    code_pat = re.compile(r"[a-zA-Z_][a-zA-Z0-9_]*|[0-9]+|[^\\s\\w]")
-    word_pat = re.compile(r"(?u)\b\w\w+\b")
+    code_pat = re.compile(T.CODE_TOKEN_PATTERN)
+    word_pat = re.compile(r"\w{2,}")          # a maximal run of two or more word characters
     for r in rows:
         t = texts[r.id]
-        assert r.c == py_clean(t), (repr(t), r.c)
+        assert r.c == rules_in_python(t), (repr(t), r.c)
         assert r.k == code_pat.findall(t), repr(t)
         assert r.w == word_pat.findall(t.lower()), repr(t)
