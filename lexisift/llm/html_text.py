@@ -6,7 +6,8 @@ closed ``article`` element: how much likelier a token is inside it than
 outside); the contiguous run of tokens with the largest sum, found in one scan,
 is the content.  Elements that never are content (menus, forms, adverts, reader
 comments and the like, by tag, role or class) are taken out first, so those
-inside the article go too.
+inside the article go too; an element that holds the page's first article or
+main element is never one of them.
 
 Pages are mapped one by one, so nothing is shuffled but the weights' counts, a
 few rows a task.  The scanner is linear in the page, also on unclosed tags,
@@ -41,6 +42,7 @@ NOISE_CLASSES = frozenset((
     "breadcrumb breadcrumbs sidebar widget widgets footer masthead topbar comment comments commentlist discussion respond reply "
     "replies disqus notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login "
     "share sharing social related recommended recommendations pagination pager copyright toolbar alert announcement").split())
+SITE_HEADER = frozenset("header site page top global main wrap wrapper container".split())
 KNOWN = BLOCK | NOISE | VOID | frozenset("a b i em strong span u s small sub sup code kbd q cite abbr time mark font tt".split())
 DEFAULT_WORD, DEFAULT_TAG, LEAST = 1.0, -2.0, 0.05
 
@@ -60,9 +62,11 @@ def is_noise(tag: str, attrs: str, in_article: bool) -> bool:
         elif name == "role":
             if value in NOISE_ROLES:
                 return True
-        elif tag not in ("html", "body", "article", "main"):
-            words = set(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", a or b or c).lower()))
-            if words & NOISE_CLASSES or ("header" in words and not in_article):
+        elif tag not in ("html", "body", "main"):
+            words = set(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", a or b or c).lower())) - {""}
+            if words & {"has", "with", "no", "without"}:
+                continue
+            if words & NOISE_CLASSES or ("header" in words and words <= SITE_HEADER and not in_article):
                 return True
     return False
 
@@ -120,6 +124,7 @@ class Page:
     def __init__(self, page: str):
         self.kind, self.tag, self.text, self.context = [], [], [], []
         spans, stack, open_tags, articles = [], [], {}, []
+        self.main = None                                          # first article or main that is not noise itself
         for kind, tag, body in scan(page):
             i = len(self.kind)
             if kind == "o" and tag in BLOCK and open_tags.get("p"):
@@ -130,14 +135,15 @@ class Page:
             self.context.append(stack[-1][1] if stack else "")
             if kind == "o" and tag not in VOID:
                 noise = is_noise(tag, body, bool(open_tags.get("article")))
+                if tag in ("article", "main") and not noise and self.main is None:
+                    self.main = i
                 stack.append((tag, tag if tag in BLOCK or tag == "a" else self.context[-1], i, noise))
                 open_tags[tag] = open_tags.get(tag, 0) + 1
             elif kind == "c" and open_tags.get(tag):
                 self._leave(tag, stack, open_tags, i, spans, articles)
         n = len(self.kind)
-        first_block = None
         for tag, _, at, noise in reversed(stack):                 # never closed
-            if tag == "article":
+            if tag == "article" and not noise:
                 articles.append((at, None))
             if noise:
                 if tag in ("head", "title") or tag in RAW:
@@ -147,6 +153,8 @@ class Page:
                 spans.append((at, end))
         self.noise = np.zeros(n + 1, np.int64)
         for a, b in spans:
+            if self.main is not None and a < self.main < b and self.tag[a] not in RAW:
+                continue                                          # it holds the page's content
             self.noise[a] += 1
             self.noise[b] -= 1
         self.noise = np.cumsum(self.noise[:-1]) > 0 if n else np.zeros(0, bool)
@@ -166,7 +174,7 @@ class Page:
             open_tags[name] -= 1
             if noise:
                 spans.append((at, i + 1 if name == tag else i))
-            if name == "article":
+            if name == "article" and not noise:
                 articles.append((at, i))
             if name == tag:
                 return

@@ -27,6 +27,10 @@ CASES = [
     ("<p>text</p><!-- never closed <p>x</p>", "text"), ("<p>text</p><script>never closed", "text"), ("<p>a < b and 3<4</p><p clas", "a < b and 3<4"),
     ("<article><header><h1>Title</h1></header><p>body</p></article>", "Title\n\nbody"),
     ("<header><h1>Site</h1></header><article><p>body</p></article>", "body"),
+    ("<form><article><p>body</p></article><p>out</p></form>", "body\n\nout"),
+    ("<div class='page with-sidebar'><p>body text</p><div class='Sidebar'><p>side</p></div></div>", "body text"),
+    ("<article><p>body</p></article><section class='comments'><article><p>me too</p></article></section>", "body"),
+    ("<div class='site-header'><p>brand</p></div><div class='post-header'><h1>Title</h1></div><p>body text here</p>", "Title\n\nbody text here"),
     ("<p hidden>no</p><p style='display: none'>no</p><p>yes</p>", "yes"), ("<p></p><br><hr>", ""), ("</p></div>x", "x"),
 ]
 
