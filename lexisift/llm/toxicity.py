@@ -21,10 +21,11 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, fold, fresh, map_texts, starts_of, sum_by_document
+from .common import WORD_BYTES, fold, fresh, map_texts, release, starts_of, sum_by_document, written
 
 BUCKETS = 1 << 24
 SAMPLE = {1: 4000, 0: 8000}
@@ -86,28 +87,15 @@ def logistic(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -500, 500)))
 
 
-def fit(sets: list[np.ndarray], y: np.ndarray, weight: np.ndarray, rate: float, seed: int = 0,
+def fit(buckets: np.ndarray, sets: list[np.ndarray], y: np.ndarray, weight: np.ndarray, rate: float, seed: int = 0,
         epochs: int = 40, batch: int = 256, step: float = 0.05, decay: float = 2e-4) -> Model:
-    """Adam on the weighted log-loss; ``sets`` are the term buckets of each text."""
-    bias = float(np.log(rate / (1 - rate)))
-    flat, sizes = (np.concatenate(sets) if len(sets) else np.zeros(0, np.int64)), np.array([len(s) for s in sets], np.int64)
-    row = np.repeat(np.arange(len(sets)), sizes)
-    buckets, at = np.unique(flat, return_inverse=True)
-    n1, n0 = max(1, y.sum()), max(1, (1 - y).sum())
-    c1 = np.bincount(at, weights=y[row], minlength=len(buckets)) if len(flat) else np.zeros(0)
-    c0 = np.bincount(at, minlength=len(buckets)) - c1 if len(flat) else np.zeros(0)
-    p1, p0, p = c1 / n1, c0 / n0, (c1 + c0) / (n1 + n0)
-    z = np.abs(p1 - p0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0) + 1e-12)
-    keep = np.flatnonzero(c1 + c0 >= 3)
-    keep = np.sort(keep[np.lexsort((keep, -z[keep]))[:TERMS]])
-    w, rng = np.zeros(len(keep)), np.random.default_rng(seed)
-    v = rng.normal(0, 0.01, (len(keep), FACTORS))
-    if len(keep) and 0 < y.sum() < len(y):
-        new = np.full(len(buckets), -1)
-        new[keep] = np.arange(len(keep))
-        mine = new[at]
-        flat, row = mine[mine >= 0], row[mine >= 0]
-        starts = starts_of(np.bincount(row, minlength=len(sets)))
+    """Adam on the weighted log-loss; ``sets`` are each text's terms, as places in ``buckets``."""
+    bias, k = float(np.log(rate / (1 - rate))), len(buckets)
+    starts = starts_of(np.array([len(s) for s in sets], np.int64))
+    flat = np.concatenate(sets).astype(np.int64) if len(sets) else np.zeros(0, np.int64)
+    w, rng = np.zeros(k), np.random.default_rng(seed)
+    v = rng.normal(0, 0.01, (k, FACTORS))
+    if k and 0 < y.sum() < len(y):
         params = [np.array([bias]), w, v]
         m1, m2, t = [np.zeros_like(x) for x in params], [np.zeros_like(x) for x in params], 0
         for _ in range(epochs):
@@ -131,7 +119,7 @@ def fit(sets: list[np.ndarray], y: np.ndarray, weight: np.ndarray, rate: float,
                     m2[k] = 0.999 * m2[k] + 0.001 * grad ** 2
                     params[k] = params[k] - step * (m1[k] / (1 - 0.9 ** t)) / (np.sqrt(m2[k] / (1 - 0.999 ** t)) + 1e-8)
         bias, w, v = float(params[0][0]), params[1], params[2]
-    return Model(buckets[keep], bias, w, v)
+    return Model(buckets, bias, w, v)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="toxic",
@@ -152,7 +140,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     n = sum(total.values())
     rate = (total.get(1, 0) + 0.01) / (n + 1)
     if not picked:
-        return fit([], np.zeros(0), np.zeros(0), rate)
+        return fit(np.zeros(0, np.int64), [], np.zeros(0), np.zeros(0), rate)
     spark = docs.sparkSession
     ids = spark.createDataFrame(picked, f"id {labels.schema[id_col].dataType.simpleString()}, y int")
     texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -161,13 +149,41 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     def buckets(arr):
         return [[sorted({b for w in words_of(t) for b in terms_of(w)}) for t in arr.to_pylist()]]
 
-    got = map_texts(texts, buckets, "terms array<int>").orderBy("id").toArrow()
+    rows = written(map_texts(texts, buckets, "terms array<int>"), "terms")
+    keep = np.array(sorted(select_terms(rows)), np.int64)
+    shared = spark.sparkContext.broadcast(keep)
+
+    def places(batches):
+        known = shared.value
+        for b in batches:
+            lists = b.column(2)
+            flat, size = lists.flatten().to_numpy().astype(np.int64), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            at = np.minimum(np.searchsorted(known, flat), max(0, len(known) - 1))
+            ok = known[at] == flat if len(known) else np.zeros(len(flat), bool)
+            row = np.repeat(np.arange(len(size)), size)[ok]
+            ends = starts_of(np.bincount(row, minlength=len(size))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(ends, at[ok].astype(np.int32))],
+                                             names=["id", "y", "terms"])
+
+    # bounded: the sampled rows with at most TERMS small numbers each
+    got = rows.mapInArrow(places, rows.schema).orderBy("id").toArrow()
+    release(rows)
     y = got["y"].to_numpy().astype(float)
     part = {c: max(1, (y == c).sum()) for c in (0, 1)}
     weight = np.where(y == 1, total.get(1, 0) / part[1], total.get(0, 0) / part[0])
-    lists = got["terms"].combine_chunks()
-    flat, starts = lists.flatten().to_numpy().astype(np.int64), starts_of(np.diff(lists.offsets.to_numpy()))
-    return fit([flat[a:b] for a, b in zip(starts[:-1], starts[1:])], y, weight, rate)
+    return fit(keep, [np.array(x, np.int64) for x in got["terms"].to_pylist()], y, weight, rate)
+
+
+def select_terms(rows: DataFrame) -> list[int]:
+    """Buckets of the ``TERMS`` terms whose shares in both classes differ most
+    against their spread (z value), of those in at least three texts."""
+    n = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    n1, n0 = max(1, n.get(1, 0)), max(1, n.get(0, 0))
+    t = rows.select("y", F.explode("terms").alias("b")).groupBy("b").agg(F.sum("y").alias("c1"), F.count("*").alias("c")).filter("c >= 3")
+    p = F.col("c") / (n1 + n0)
+    gap = F.abs(F.col("c1") / n1 - (F.col("c") - F.col("c1")) / n0)
+    z = gap / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * (1 / n1 + 1 / n0))
+    return [r.b for r in t.select("b", z.alias("z")).orderBy(F.desc("z"), "b").limit(TERMS).collect()]
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", held_out=HELD_OUT) -> DataFrame:
