@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import LANGUAGES, map_tag, normalize_label
-from ..session import join_small
+from ..session import cut_lineage, join_small
 
 
 # ---------------------------------------------------------------- filters --
@@ -119,10 +119,40 @@ def balance_target(df: DataFrame, label_col: str = "language", n_samples_per_cla
 
 
 def encode_labels(df: DataFrame, label_col: str = "language", out_col: str = "label") -> DataFrame:
-    """Sorted distinct labels -> 0..k-1 as DOUBLE (MLlib's label type).
-    The class table has one row per class, so it is broadcast after a check."""
-    classes = class_index(df, label_col)
-    return join_small(df, classes.withColumnRenamed("label_index", out_col), label_col, "inner")
+    """Sorted distinct labels -> 0..k-1 as DOUBLE (MLlib's label type); a
+    null label raises."""
+    return LabelEncoder.fit(df, label_col).transform(df, label_col, out_col)
+
+
+class LabelEncoder:
+    """A6 fitted: a table (name, label_index) of one row per class."""
+
+    def __init__(self, classes: DataFrame):
+        self.classes = classes
+
+    @classmethod
+    def fit(cls, df: DataFrame, label_col: str = "language") -> "LabelEncoder":
+        return cls(cut_lineage(class_index(df, label_col).withColumnRenamed(label_col, "name"), "classes"))
+
+    def transform(self, df: DataFrame, label_col: str = "language", out_col: str = "label") -> DataFrame:
+        """Index of every label; a null or unseen one raises when it is read."""
+        side = self.classes.select(F.col("name").alias("_name"), F.col("label_index").alias("_index"))
+        j = df.join(side, F.col(label_col) == F.col("_name"), "left")
+        wrong = F.raise_error(F.concat(F.lit("unseen label "), F.coalesce(F.col(label_col), F.lit("null")))).cast("double")
+        return j.withColumn(out_col, F.coalesce("_index", wrong)).drop("_name", "_index")
+
+    def inverse(self, df: DataFrame, index_col: str = "label", out_col: str = "language") -> DataFrame:
+        """Name of every index; an unknown index raises."""
+        side = self.classes.select(F.col("name").alias("_name"), F.col("label_index").alias("_index"))
+        j = df.join(side, F.col(index_col) == F.col("_index"), "left")
+        return j.withColumn(out_col, F.coalesce("_name", F.raise_error(F.lit("unknown label index")))).drop("_name", "_index")
+
+    def save(self, path: str) -> None:
+        self.classes.write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark, path: str) -> "LabelEncoder":
+        return cls(spark.read.parquet(path))
 
 
 def class_index(df: DataFrame, label_col: str = "language") -> DataFrame:

@@ -103,41 +103,56 @@ def classification_report(pred: DataFrame, **kw) -> DataFrame:
 
 
 def report_text(report: DataFrame) -> DataFrame:
-    """The report as the fixed-width text block of the reference's JSON
-    report (one string per model, built with ``format_string``)."""
-    fmt_row = F.format_string("%12s %9.2f %9.2f %9.2f %9d", "row", "precision", "recall", "f1", "support")
-    acc_row = F.format_string("%12s %9s %9s %9.2f %9d", "row", F.lit(""), F.lit(""), "f1", "support")
-    line = F.when(F.col("row") == "accuracy", acc_row).otherwise(fmt_row)
-    lines = report.select("model", "row_order", "row", line.alias("line"))
-    agg = lines.groupBy("model").agg(F.sort_array(F.collect_list(F.struct("row_order", "row", "line"))).alias("l"))
-    header = F.format_string("%12s %9s %9s %9s %9s", F.lit(""), F.lit("precision"), F.lit("recall"),
-                             F.lit("f1-score"), F.lit("support"))
+    """The report as one text block per model: names right-aligned to the
+    longest of them, two decimals (half to even, as Python prints), a blank line
+    after the header and before ``accuracy``."""
+    wide = Window.partitionBy("model")
+    name = F.lpad("row", F.max(F.length("row")).over(wide).cast("int"), " ")
+    num = lambda c: F.coalesce(F.lpad(F.format_number(c, 2), 10, " "), F.lit(" " * 10))
+    line = F.concat(F.when(F.col("row") == "accuracy", "\n").otherwise(""), name, F.lit(" "), num("precision"), num("recall"),
+                    num("f1"), F.format_string(" %9d", "support"))
+    head = F.concat(F.lpad(F.lit(""), F.max(F.length("row")).over(wide).cast("int"), " "),
+                    F.lit("  precision    recall  f1-score   support\n\n"))
+    lines = report.select("model", "row_order", "row", line.alias("line"), head.alias("head"))
+    agg = lines.groupBy("model", "head").agg(F.sort_array(F.collect_list(F.struct("row_order", "row", "line"))).alias("l"))
     body = F.array_join(F.transform("l", lambda x: x["line"]), "\n")
-    return agg.select("model", F.concat(header, F.lit("\n\n"), body, F.lit("\n")).alias("classification_report"))
+    return agg.select("model", F.concat("head", body, F.lit("\n")).alias("classification_report"))
+
+
+def confusion_dense(pred: DataFrame, **kw) -> DataFrame:
+    """E7 (long form, every cell): the k x k cells of each model's classes (true
+    or predicted), zeros filled."""
+    cells = _cells(pred, **kw)
+    names = cells.select("model", F.col("actual").alias("class")).union(cells.select("model", "predicted")).distinct()
+    grid = names.withColumnRenamed("class", "actual").join(names.withColumnRenamed("class", "predicted"), "model")
+    return grid.join(cells, ["model", "actual", "predicted"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
 
 
 def confusion_normalized(pred: DataFrame, **kw) -> DataFrame:
-    """Each cell over its (model, actual) row total."""
-    cells = confusion_matrix(pred, **kw)
+    """Each cell over its (model, actual) row total; null in the row of a
+    class without true rows."""
+    cells = confusion_dense(pred, **kw)
     row_total = F.sum("count").over(Window.partitionBy("model", "actual"))
     return cells.withColumn("fraction", F.col("count") / F.nullif(row_total, F.lit(0)))
 
 
-def confusion_errors(pred: DataFrame, **kw) -> DataFrame:
-    """Off-diagonal cells with their percentage of the actual row,
-    most frequent first (ties: actual, predicted)."""
+def _errors(pred: DataFrame, **kw) -> DataFrame:
     n = confusion_normalized(pred, **kw)
     return (n.filter((F.col("actual") != F.col("predicted")) & (F.col("count") > 0))
             .select("model", "actual", "predicted", F.col("count").cast("long").alias("count"),
-                    (F.col("fraction") * 100).alias("percentage"))
-            .orderBy(F.desc("count"), "actual", "predicted"))
+                    (F.col("fraction") * 100).alias("percentage")))
+
+
+def confusion_errors(pred: DataFrame, **kw) -> DataFrame:
+    """Off-diagonal cells with their percentage of the actual row,
+    most frequent first (ties: actual, predicted)."""
+    return _errors(pred, **kw).orderBy(F.desc("count"), "actual", "predicted")
 
 
 def top_confusions(pred: DataFrame, k: int = 15, **kw) -> DataFrame:
     """E9 printed view: the first ``k`` errors per model."""
-    e = confusion_errors(pred, **kw)
     w = Window.partitionBy("model").orderBy(F.desc("count"), "actual", "predicted")
-    return e.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return _errors(pred, **kw).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def confusion_over_threshold(pred: DataFrame, threshold: float = 0.1, **kw) -> DataFrame:

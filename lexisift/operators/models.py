@@ -22,12 +22,15 @@ never shipped from the driver).
 
 from __future__ import annotations
 
+import json
 import math
-from dataclasses import dataclass, field
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass, field
 
 import numpy as np
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes,
-                                       OneVsRest, RandomForestClassifier)
+from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, LogisticRegressionModel, NaiveBayes,
+                                       NaiveBayesModel, OneVsRest, OneVsRestModel, RandomForestClassificationModel,
+                                       RandomForestClassifier)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +39,7 @@ from pyspark.sql import types as T
 from ..session import cut_lineage, join_small
 from .classes import class_index
 from .evaluation import metrics
+from .tfidf import vector_table
 
 MODEL_NAMES = ["SVM", "RandomForest", "LogisticRegression", "GradientBoosting", "NaiveBayes"]
 
@@ -59,21 +63,26 @@ class ModelConfig:
     nb_alpha: float = 1.0
     seed: int = 42
     parallelism: int = 4
+    platt: bool = False
     models: list = field(default_factory=lambda: list(MODEL_NAMES))
 
 
 # ---------------------------------------------------------------- features --
+def with_vectors(arrays: DataFrame, size: int) -> DataFrame:
+    """``arrays`` with MLlib vectors in ``features`` (as they are if present)."""
+    return arrays if "features" in arrays.columns else vector_table(arrays, size)
+
+
 def labelled_features(arrays: DataFrame, size: int, label_col: str = "language",
                       classes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(key, label DOUBLE, features SparseVector, ...) from ``indices/values``
-    arrays; classes indexed alphabetically (``classes`` reused when given)."""
-    from .tfidf import _to_sparse
+    """(key, label DOUBLE, features SparseVector, ...) and the class table.
+    Classes are indexed alphabetically (``classes`` reused when given); a null
+    or unknown label raises."""
     if classes is None:      # k rows, written once and counted: a proven bound
         classes = cut_lineage(class_index(arrays, label_col), "classes")
-    out = join_small(arrays, classes, label_col, "inner", row_bound=classes.count()) \
-        .withColumnRenamed("label_index", "label") \
-        .withColumn("features", _to_sparse(F.lit(size), "indices", "values"))
-    return out, classes
+    out = join_small(with_vectors(arrays, size), classes, label_col, "left", row_bound=classes.count())
+    wrong = F.raise_error(F.concat(F.lit("unknown label "), F.coalesce(F.col(label_col), F.lit("null")))).cast("double")
+    return out.withColumn("label", F.coalesce("label_index", wrong)).drop("label_index"), classes
 
 
 def gamma_scale(arrays: DataFrame, size: int) -> float:
@@ -91,29 +100,39 @@ def gamma_scale(arrays: DataFrame, size: int) -> float:
 def random_fourier_features(arrays: DataFrame, size: int, gamma: float, components: int = 512,
                             seed: int = 42, out_col: str = "features") -> DataFrame:
     """z(x) = sqrt(2/D) cos(x W + b), W ~ N(0, 2*gamma), b ~ U(0, 2*pi):
-    inner products of z approximate the RBF kernel.  W is regenerated from
-    the seed inside each task (d x D doubles), so nothing large is shipped."""
-    in_fields = [f for f in arrays.schema.fields if f.name not in ("indices", "values")]
+    inner products of z approximate the RBF kernel.  Row j of W is drawn from
+    the seed (seed, j), only for the columns that a batch uses, so neither the
+    driver nor a task ever holds the whole matrix; rows are projected in chunks
+    of bounded size."""
+    drop = {"indices", "values", out_col}
+    in_fields = [f for f in arrays.schema.fields if f.name not in drop]
     schema = T.StructType(in_fields + [T.StructField("_z", T.ArrayType(T.DoubleType()))])
     keep = [f.name for f in in_fields]
 
     def project(batches):
-        rng = np.random.default_rng(seed)
-        w = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(size, components))
-        b = rng.uniform(0.0, 2.0 * math.pi, size=components)
-        scale = math.sqrt(2.0 / components)
+        b = np.random.default_rng(seed).uniform(0.0, 2.0 * math.pi, size=components)
+        sigma, scale = math.sqrt(2.0 * gamma), math.sqrt(2.0 / components)
         for pdf in batches:
-            z = np.empty((len(pdf), components))
-            for i, (idx, val) in enumerate(zip(pdf["indices"], pdf["values"])):
-                idx = np.asarray(idx, dtype=np.int64)
-                val = np.asarray(val, dtype=np.float64)
-                z[i] = val @ w[idx] if len(idx) else 0.0
-            z = scale * np.cos(z + b)
+            sizes = pdf["indices"].map(len).to_numpy()
+            starts = np.concatenate([[0], np.cumsum(sizes)])
+            flat = np.concatenate(pdf["indices"].tolist()).astype(np.int64) if starts[-1] else np.zeros(0, np.int64)
+            vals = np.concatenate(pdf["values"].tolist()).astype(np.float64) if starts[-1] else np.zeros(0)
+            used, at = np.unique(flat, return_inverse=True)
+            w = np.stack([np.random.default_rng([seed, int(j)]).normal(0.0, sigma, components) for j in used]) if len(used) else None
+            z, lo = np.zeros((len(pdf), components)), 0
+            while lo < len(pdf):
+                hi = max(lo + 1, int(np.searchsorted(starts, starts[lo] + 8192, side="right")) - 1)
+                full = np.flatnonzero(sizes[lo:hi]) + lo
+                if len(full):
+                    span = slice(starts[lo], starts[hi])
+                    z[full] = np.add.reduceat(vals[span, None] * w[at[span]], starts[full] - starts[lo], axis=0)
+                lo = hi
             out = pdf[keep].copy()
-            out["_z"] = list(z)
+            out["_z"] = list(scale * np.cos(z + b))
             yield out
 
-    return arrays.mapInPandas(project, schema).withColumn(out_col, array_to_vector("_z")).drop("_z")
+    return (arrays.select(*keep, "indices", "values").mapInPandas(project, schema)
+            .withColumn(out_col, array_to_vector("_z")).drop("_z"))
 
 
 # -------------------------------------------------------------- estimators --
@@ -146,21 +165,30 @@ class TrainedModels:
     gamma: float | None = None
     best_name: str | None = None
     n_classes: int | None = None
+    platt: dict = field(default_factory=dict)      # model -> per class (slope, intercept)
 
     def features_for(self, name: str, arrays: DataFrame) -> DataFrame:
         if name == "SVM" and self.cfg.svm_kernel == "rbf":
             return random_fourier_features(arrays, self.size, self.gamma, self.cfg.svm_components, self.cfg.seed)
-        from .tfidf import _to_sparse
-        return arrays.withColumn("features", _to_sparse(F.lit(self.size), "indices", "values"))
+        return with_vectors(arrays, self.size)
+
+    def _best(self, name: str | None) -> str:
+        """The named model, else the best one; an error before training."""
+        if name is None and self.best_name is None:
+            raise ValueError("train and evaluate the models first")
+        name = name or self.best_name
+        if name not in self.models:
+            raise ValueError(f"{name} is not trained")
+        return name
 
     def predict(self, arrays: DataFrame, key_col: str = "doc_id", label_col: str | None = "language",
                 names=None) -> DataFrame:
-        """Predictions long table ``(model, key, label, prediction)``
-        with class names (index -> name via the class table)."""
+        """Predictions of every (named) model, long table ``(model, key,
+        label, prediction)`` with class names (index -> name via the class table)."""
         out = None
         for name in names or list(self.models):
             feats = self.features_for(name, arrays)
-            p = self.models[name].transform(feats)
+            p = self.models[self._best(name)].transform(feats)
             lab = F.col(label_col) if label_col else F.lit(None).cast("string")
             part = p.select(F.lit(name).alias("model"), F.col(key_col).alias("key"), lab.alias("label"),
                             F.col("prediction"))
@@ -172,34 +200,79 @@ class TrainedModels:
         out = join_small(out, names_tbl, "prediction", "inner", row_bound=k)
         return out.select("model", "key", "label", F.col("_name").alias("prediction"))
 
-    def predict_proba(self, arrays: DataFrame, name: str, key_col: str = "doc_id",
-                      fallback: str = "softmax") -> DataFrame:
-        """Class probabilities as an array.  Models without a
-        probability column (one-vs-rest) fall back to the raw decision
-        values: their softmax (default) or their absolute values
-        (``fallback="abs"``, as the reference does)."""
+    def predict_best(self, arrays: DataFrame, key_col: str = "doc_id", label_col: str | None = None) -> DataFrame:
+        """Predictions of the best model; ``ValueError`` before evaluation."""
+        return self.predict(arrays, key_col, label_col, [self._best(None)])
+
+    def fit_platt(self, train: DataFrame) -> None:
+        """Platt scaling of the models without probabilities: per class a
+        logistic regression of (label is the class) on its decision value over
+        the training rows (label DOUBLE)."""
+        for name, model in self.models.items():
+            p = model.transform(self.features_for(name, train))
+            if "probability" in p.columns:
+                continue
+            rows = cut_lineage(p.select("label", vector_to_array("rawPrediction").alias("raw")), "margins")
+            fits = []
+            for c in range(self.n_classes):
+                one = rows.select((F.col("label") == c).cast("double").alias("label"),
+                                  array_to_vector(F.array(F.get("raw", F.lit(c)))).alias("features"))
+                m = LogisticRegression(maxIter=100, standardization=False, family="binomial").fit(one)
+                fits.append((float(m.coefficients[0]), float(m.intercept)))
+            self.platt[name] = fits
+
+    def predict_proba(self, arrays: DataFrame, name: str | None = None, key_col: str = "doc_id",
+                      fallback: str = "platt") -> DataFrame:
+        """Class probabilities as an array, of the best model by default.
+        Models without a probability column (one-vs-rest) give the normalised
+        Platt probabilities of their decision values, the values' softmax
+        (``fallback="softmax"``) or their absolute values (``"abs"``)."""
+        name = self._best(name)
         p = self.models[name].transform(self.features_for(name, arrays))
         if "probability" in p.columns:
             return p.select(key_col, vector_to_array("probability").alias("probability"))
         raw = vector_to_array("rawPrediction")
         if fallback == "abs":
             return p.select(key_col, F.transform(raw, lambda x: F.abs(x)).alias("probability"))
+        if fallback == "platt" and name in self.platt:
+            parts = F.array(*(1.0 / (1.0 + F.exp(-(F.lit(a) * F.get(raw, F.lit(c)) + F.lit(b))))
+                              for c, (a, b) in enumerate(self.platt[name])))
+            one = p.select(key_col, parts.alias("_p"))
+            total = F.aggregate("_p", F.lit(0.0), lambda x, y: x + y)
+            return one.withColumn("_t", total).select(key_col, F.transform("_p", lambda x: x / F.col("_t")).alias("probability"))
         from ..functions.arrays import softmax
         return p.select(key_col, softmax(raw).alias("probability"))
 
     def save_best(self, directory: str) -> str:
-        """K7: ``baseline_{best}`` via the MLlib writer."""
-        if self.best_name is None:
-            raise ValueError("evaluate before saving the best model")
-        path = f"{directory.rstrip('/')}/baseline_{self.best_name}"
-        self.models[self.best_name].write().overwrite().save(path)
+        """K7: ``baseline_{best}``: the MLlib model, the class table, and the
+        parameters that scoring needs (gamma, seed, sizes, Platt fits)."""
+        name = self._best(None)
+        path = f"{directory.rstrip('/')}/baseline_{name}"
+        self.models[name].write().overwrite().save(f"{path}/model")
+        self.classes.write.mode("overwrite").parquet(f"{path}/classes")
+        state = json.dumps({"name": name, "size": self.size, "gamma": self.gamma, "platt": self.platt.get(name),
+                            "cfg": asdict(self.cfg)})
+        self.classes.sparkSession.createDataFrame([(state,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/state")
         return path
 
 
+LOADERS = {"SVM": OneVsRestModel, "RandomForest": RandomForestClassificationModel, "LogisticRegression": LogisticRegressionModel,
+           "GradientBoosting": OneVsRestModel, "NaiveBayes": NaiveBayesModel}
+
+
+def load_best(spark, path: str) -> TrainedModels:
+    """A saved best model, ready to predict."""
+    state = json.loads(spark.read.text(f"{path}/state").first()[0])
+    name, classes = state["name"], spark.read.parquet(f"{path}/classes")
+    return TrainedModels({name: LOADERS[name].load(f"{path}/model")}, classes, ModelConfig(**state["cfg"]), state["size"],
+                         state["gamma"], name, classes.count(), {name: state["platt"]} if state["platt"] else {})
+
+
 def train_all(train_arrays: DataFrame, label_col: str = "language", size: int = 0,
               cfg: ModelConfig | None = None) -> tuple[TrainedModels, DataFrame]:
-    """Fit every configured model on one cached training table; returns
-    the models and ``(model, train_accuracy)``."""
+    """Fit every configured model on one written training table (vectors
+    and label indices are made once); returns the models and ``(model,
+    train_accuracy)``."""
     cfg = cfg or ModelConfig()
     trained = _fit_only(train_arrays, label_col, size, cfg)
     preds = trained.predict(train_arrays, label_col=label_col)
@@ -224,16 +297,16 @@ def cross_validate(arrays_with_folds: DataFrame, size: int, label_col: str = "la
     """K-fold accuracy of every model on the given folds: ``model,
     mean_accuracy, std_accuracy (population), scores``."""
     cfg = cfg or ModelConfig()
-    rows = []
-    base = arrays_with_folds.persist()
-    for f in range(k):
-        tr = base.filter(F.col(fold_col) != f)
-        te = base.filter(F.col(fold_col) == f)
-        trained_f = _fit_only(tr, label_col, size, cfg)
-        preds = trained_f.predict(te, label_col=label_col)
+    base = with_vectors(arrays_with_folds, size)
+
+    def one(f):
+        trained_f = _fit_only(base.filter(F.col(fold_col) != f), label_col, size, cfg)
+        preds = trained_f.predict(base.filter(F.col(fold_col) == f), label_col=label_col)
         acc = preds.groupBy("model").agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("acc"))
-        rows.append(acc.withColumn("fold", F.lit(f)))
-    base.unpersist()
+        # computed here: a row per model, so the fold's features and models can go
+        return cut_lineage(acc.withColumn("fold", F.lit(f)), "fold")
+
+    rows = in_threads(one, range(k), cfg.parallelism)
     allf = rows[0]
     for r in rows[1:]:
         allf = allf.unionByName(r)
@@ -242,29 +315,40 @@ def cross_validate(arrays_with_folds: DataFrame, size: int, label_col: str = "la
         F.transform(F.sort_array(F.collect_list(F.struct("fold", "acc"))), lambda x: x["acc"]).alias("scores"))
 
 
+def in_threads(fn, items, n: int) -> list:
+    """``fn`` of every item, ``n`` at a time: an iterative fit is a chain of
+    small jobs that leaves most of the cluster idle, so several run side by side."""
+    with ThreadPoolExecutor(max(1, n)) as pool:
+        return list(pool.map(fn, items))
+
+
 # Rows per training partition: iterative fitters run one job per iteration,
 # so tiny partitions cost more in scheduling than in work.
 TRAIN_ROWS_PER_PARTITION = 20_000
 
 
 def right_size(df: DataFrame, n_rows: int) -> DataFrame:
-    """Partitions for an iterative fit: about ``TRAIN_ROWS_PER_PARTITION``
-    rows each, at most one per core (large sets keep full parallelism)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    want = max(1, min(cores, math.ceil(n_rows / TRAIN_ROWS_PER_PARTITION)))
-    return df.repartition(want) if df.rdd.getNumPartitions() != want else df
+    """Tiny sets in fewer partitions (merged, not shuffled); a set with more
+    than ``TRAIN_ROWS_PER_PARTITION`` rows per partition keeps its own."""
+    return df.coalesce(max(1, math.ceil(n_rows / TRAIN_ROWS_PER_PARTITION)))
 
 
 def _fit_only(train_arrays: DataFrame, label_col: str, size: int, cfg: ModelConfig) -> TrainedModels:
-    classes = cut_lineage(class_index(train_arrays, label_col), "classes")   # k rows, written once
-    k = classes.count()
-    lab = join_small(train_arrays, classes, label_col, "inner", row_bound=k).withColumnRenamed("label_index", "label")
+    lab, classes = labelled_features(train_arrays, size, label_col)
     n_train = lab.count()
     gamma = gamma_scale(train_arrays, size) if "SVM" in cfg.models and cfg.svm_kernel == "rbf" else None
-    trained = TrainedModels({}, classes, cfg, size, gamma, n_classes=k)
-    lab = right_size(lab, n_train)
-    for name in cfg.models:
-        trained.models[name] = estimator(name, cfg, n_train).fit(trained.features_for(name, lab))
+    trained = TrainedModels({}, classes, cfg, size, gamma, n_classes=classes.count())
+    lab = cut_lineage(right_size(lab, n_train), "training")
+
+    def fit(name):
+        feats = trained.features_for(name, lab)
+        if name == "SVM" and cfg.svm_kernel == "rbf":
+            feats = cut_lineage(feats, "fourier")
+        return estimator(name, cfg, n_train).fit(right_size(feats, n_train))
+
+    trained.models = dict(zip(cfg.models, in_threads(fit, cfg.models, cfg.parallelism)))
+    if cfg.platt:
+        trained.fit_platt(lab)
     return trained
 
 
@@ -280,11 +364,10 @@ def grid_search(train_arrays: DataFrame, size: int, label_col: str = "language",
     gamma = gamma_scale(train_arrays, size)
     out = []
     for kernel in kernels:
-        lab = join_small(train_arrays, classes, label_col, "inner", row_bound=classes.count()) \
-            .withColumnRenamed("label_index", "label")
         tm = TrainedModels({}, classes, ModelConfig(svm_kernel=kernel, svm_components=cfg.svm_components,
                                                      seed=cfg.seed), size, gamma)
-        feats = tm.features_for("SVM", lab).withColumn(fold_col, F.col(fold_col).cast("int"))
+        feats = right_size(tm.features_for("SVM", feats_base), n).withColumn(fold_col, F.col(fold_col).cast("int"))
+        feats = cut_lineage(feats, "grid")
         svc = LinearSVC(maxIter=cfg.svm_max_iter, standardization=False)
         ovr = OneVsRest(classifier=svc, parallelism=cfg.parallelism)
         grid = ParamGridBuilder().addGrid(svc.regParam, [1.0 / (c * n) for c in c_values]).build()
@@ -298,6 +381,25 @@ def grid_search(train_arrays: DataFrame, size: int, label_col: str = "language",
     return spark.createDataFrame(out, "kernel string, C double, mean_accuracy double")
 
 
+def logistic_residual(trained: TrainedModels, arrays: DataFrame, label_col: str = "language") -> float:
+    """Largest component of the gradient of the logistic objective (mean
+    log-loss plus the ridge term) at the fitted weights, over the training rows:
+    near zero only at the optimum."""
+    model = trained.models["LogisticRegression"]
+    lab, _ = labelled_features(arrays, trained.size, label_col, trained.classes)
+    n = lab.count()
+    p = model.transform(lab).select("label", "indices", "values", vector_to_array("probability").alias("p"))
+    k = trained.n_classes
+    err = F.transform("p", lambda x, c: x - (F.col("label") == c).cast("double"))
+    cells = p.withColumn("e", err).select("e", F.posexplode(F.arrays_zip("indices", "values")).alias("pos", "x"))
+    sums = cells.groupBy(F.col("x.indices").alias("j")).agg(
+        *(F.sum(F.get("e", F.lit(c)) * F.col("x.values")).alias(f"g{c}") for c in range(k))).collect()
+    grad = np.zeros((k, trained.size))
+    for r in sums:                      # at most one row for each column of the model itself
+        grad[:, r.j] = [r[f"g{c}"] / n for c in range(k)]
+    return float(np.abs(grad + model.coefficientMatrix.toArray() / (trained.cfg.lr_c * n)).max())
+
+
 def manual_check(trained: "TrainedModels", tfidf, samples: DataFrame, text_col: str = "code",
                  label_col: str = "language", key_col: str = "sample_id", clean: bool = False,
                  names=None) -> tuple[DataFrame, DataFrame]:

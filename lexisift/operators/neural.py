@@ -8,7 +8,9 @@ a parameter), and the test binding uses a numpy linear scorer."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from dataclasses import dataclass
+
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import predict_batch_udf
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.tokens import encode_ids, word_tokens
-from ..session import join_small
+from ..session import cut_lineage, join_small
 from .classes import class_index
 
 
@@ -26,17 +28,29 @@ def encode_texts(df: DataFrame, vocab: DataFrame, text_col: str = "clean_code",
     """T5/H8: word tokens -> ids (``idx + 2`` of the vocabulary, 1 unknown,
     0 padding), truncated and padded to ``max_length``; returns ``key,
     input_ids, attention_mask``.  Truncation happens before the lookup."""
-    base = df.select(key_col, text_col).repartition(key_col)
-    toks = base.select(key_col, F.posexplode(word_tokens(text_col)).alias("pos", "term")) \
-        .filter(F.col("pos") < max_length)
-    ids = join_small(toks, vocab.select("term", (F.col("idx") + 2).alias("id")), "term", "left",
-                     row_bound=vocab_bound)
-    per = ids.groupBy(key_col).agg(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(1)).alias("id"))))
-                                   .alias("_p"))
-    out = base.select(key_col).join(per, key_col, "left")
-    arr = F.coalesce(F.transform("_p", lambda x: x["id"]), F.array().cast("array<int>"))
-    enc = encode_ids(arr, max_length)
-    return out.select(key_col, enc["input_ids"].alias("input_ids"), enc["attention_mask"].alias("attention_mask"))
+    words = F.slice(word_tokens(text_col), 1, max_length)
+    toks = df.select(key_col, F.posexplode_outer(words).alias("pos", "term"))
+    ids = join_small(toks, vocab.select("term", (F.col("idx") + 2).cast("int").alias("id")), "term", "left", row_bound=vocab_bound)
+    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(1)).alias("id")))
+    per = ids.select(key_col, entry.alias("_e")).groupBy(key_col).agg(F.sort_array(F.collect_list("_e")).alias("_p"))
+    enc = encode_ids(F.transform("_p", lambda x: x["id"]), max_length)
+    return per.select(key_col, enc["input_ids"].alias("input_ids"), enc["attention_mask"].alias("attention_mask"))
+
+
+def labelled_records(df: DataFrame, vocab: DataFrame, text_col: str = "clean_code", key_col: str = "doc_id",
+                     label_col: str | None = None, classes: DataFrame | None = None, max_length: int = 512,
+                     vocab_bound: int | None = None) -> DataFrame:
+    """H8: encodings with the label's index (``labels``) when ``label_col`` is
+    given; an unknown label raises."""
+    enc = encode_texts(df, vocab, text_col, key_col, max_length, vocab_bound)
+    if label_col is None:
+        return enc
+    lab = df.select(key_col, label_col)
+    classes = class_index(df, label_col) if classes is None else classes
+    known = lab.join(classes, label_col, "left").select(
+        key_col, F.coalesce(F.col("label_index").cast("int"), F.raise_error(
+            F.concat(F.lit("unknown label "), F.coalesce(label_col, F.lit("null")))).cast("int")).alias("labels"))
+    return enc.join(known, key_col)
 
 
 def batch_predict(df: DataFrame, make_predict_fn, input_col: str, dim: int, batch_size: int = 32,
@@ -60,15 +74,69 @@ def linear_scorer(weights):
     return make
 
 
+@dataclass
+class EmbeddingClassifier:
+    """Fitted pipeline (words -> mean word vector -> perceptron) and its class table."""
+    model: PipelineModel
+    classes: DataFrame          # language, label_index: one row per class
+    text_col: str = "clean_code"
+
+    def predict(self, df: DataFrame, key_col: str = "doc_id", label_col: str | None = "language") -> DataFrame:
+        """(model, key, label, prediction) of every row."""
+        out = self.model.transform(df.withColumn("_words", word_tokens(self.text_col)))
+        names = self.classes.select(F.col("label_index").alias("prediction"), F.col("language").alias("_name"))
+        lab = F.col(label_col) if label_col else F.lit(None).cast("string")
+        out = out.select(F.col(key_col).alias("key"), lab.alias("label"), "prediction")
+        return join_small(out, names, "prediction").select(F.lit("EmbeddingMLP").alias("model"), "key", "label",
+                                                           F.col("_name").alias("prediction"))
+
+    def save(self, path: str) -> str:
+        self.model.write().overwrite().save(f"{path.rstrip('/')}/pipeline")
+        self.classes.withColumn("text_col", F.lit(self.text_col)).write.mode("overwrite").parquet(f"{path.rstrip('/')}/classes")
+        return path
+
+
+def load_embedding_mlp(spark, path: str) -> EmbeddingClassifier:
+    """H7: pipeline and class names of a saved classifier."""
+    classes = spark.read.parquet(f"{path.rstrip('/')}/classes")
+    return EmbeddingClassifier(PipelineModel.load(f"{path.rstrip('/')}/pipeline"), classes.drop("text_col"),
+                               classes.first()["text_col"])
+
+
 def train_embedding_mlp(train: DataFrame, text_col: str = "clean_code", label_col: str = "language",
-                        vector_size: int = 16, hidden: int = 16, max_iter: int = 100, seed: int = 42):
-    """H6: Word2Vec document vectors (mean of word vectors) -> MLP, fitted
-    as one MLlib pipeline.  Returns ``(PipelineModel, classes)``."""
-    classes = class_index(train, label_col)
+                        vector_size: int = 16, hidden: int = 16, max_iter: int = 100, seed: int = 42,
+                        min_count: int = 5, partitions: int | None = None) -> EmbeddingClassifier:
+    """H6: Word2Vec document vectors (mean of word vectors) -> MLP, fitted as
+    one MLlib pipeline.  Word vectors are trained in ``partitions`` tasks (one
+    per core by default; one pass per partition over the whole text keeps the
+    averaged vectors trained), and words of fewer than ``min_count``
+    occurrences have none, which bounds the vocabulary MLlib keeps."""
+    classes = cut_lineage(class_index(train, label_col).withColumnRenamed(label_col, "language"), "classes")
     k = classes.count()
-    data = join_small(train, classes, label_col, "inner", row_bound=k).withColumnRenamed("label_index", "label") \
-        .withColumn("_words", word_tokens(text_col))
-    w2v = Word2Vec(vectorSize=vector_size, minCount=1, seed=seed, inputCol="_words", outputCol="_vec")
+    data = join_small(train.withColumnRenamed(label_col, "language"), classes, "language", "inner", row_bound=k) \
+        .withColumnRenamed("label_index", "label").withColumn("_words", word_tokens(text_col))
+    n = partitions or train.sparkSession.sparkContext.defaultParallelism
+    w2v = Word2Vec(vectorSize=vector_size, minCount=min_count, seed=seed, inputCol="_words", outputCol="_vec",
+                   numPartitions=n, maxIter=n)
     mlp = MultilayerPerceptronClassifier(layers=[vector_size, hidden, int(k)], maxIter=max_iter, seed=seed,
                                          featuresCol="_vec", labelCol="label")
-    return Pipeline(stages=[w2v, mlp]).fit(data), classes
+    return EmbeddingClassifier(Pipeline(stages=[w2v, mlp]).fit(data), classes, text_col)
+
+
+@dataclass
+class EmbeddingRun:
+    predictions: DataFrame
+    metrics: DataFrame
+    classes: DataFrame
+    path: str | None
+
+
+def run_embedding_mlp(split: DataFrame, text_col: str = "clean_code", key_col: str = "doc_id", label_col: str = "language",
+                      path: str | None = None, **kw) -> EmbeddingRun:
+    """H9: train on the rows of split 'train', evaluate on 'test', save."""
+    from .evaluation import metrics
+    fitted = train_embedding_mlp(split.filter(F.col("split") == "train"), text_col, label_col, **kw)
+    pred = fitted.predict(split.filter(F.col("split") == "test"), key_col, label_col)
+    if path:
+        fitted.save(path)
+    return EmbeddingRun(pred, metrics(pred), fitted.classes, path)

@@ -1,12 +1,14 @@
 """Exact, deterministic per-class sampling, hold-out split and k-fold
 assignment.
 
-All three need a row's rank inside its class.  A window partitioned by the
-label would put a whole class in one task (a class may hold a third of the
-table), so each class is cut into order buckets (hash prefix, or key
-quantiles): the rank is the class's count in earlier buckets plus the row
-number inside the bucket.  Every step is deterministic, so a recomputed
-partition after an executor loss gives the same ranks.
+All three cut each class's ordered rows at a few ranks: the sample's size, the
+end of the training rows, the ends of the folds.  Neither a window per class (a
+class may hold a third of the table) nor a rank for every row is needed.  Rows
+fall into order buckets by a function of the key alone, a small (label, bucket)
+count table says where each bucket starts in its class, and a bucket that no
+cut falls into is decided as a whole, in the row itself.  Only rows of the few
+buckets with a cut are shuffled and ranked.  Every step is deterministic, so a
+recomputed partition after an executor loss gives the same result.
 
 Sampling order is a hash of the key with a seed prefix (md5, available in
 every SQL engine, so the oracle can rebuild it): "exactly n per class,
@@ -19,8 +21,9 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import join_small
+from ..session import cut_lineage, join_small
 from .classes import class_counts
 
 
@@ -32,84 +35,62 @@ def seeded_hash(key_col: str, seed: str | int) -> Column:
 # Buckets are sized so that one (label, bucket) group holds about this many
 # rows of the largest class; the group is the unit one task sorts.
 ROWS_PER_BUCKET = 100_000
-MAX_HASH_DIGITS = 6          # 16**6 = 16.7M buckets per class at most
-MAX_KEY_BUCKETS = 65_536
-
-
-def _largest_class(df: DataFrame, label_col: str) -> int:
-    return class_counts(df, label_col).agg(F.max("n_class")).first()[0] or 0
-
-
-def hash_digits(largest_class: int) -> int:
-    """Hex digits of the hash prefix: enough that the largest class spreads
-    over buckets of about ``ROWS_PER_BUCKET`` rows."""
-    need = max(1, math.ceil(largest_class / ROWS_PER_BUCKET))
-    return min(MAX_HASH_DIGITS, max(2, math.ceil(math.log(need, 16)) if need > 1 else 2))
-
-
-def key_buckets(largest_class: int) -> int:
-    return min(MAX_KEY_BUCKETS, max(16, math.ceil(largest_class / ROWS_PER_BUCKET)))
-
-
-def rank_within_class(df: DataFrame, label_col: str, order_cols: list, bucket: Column,
-                      out_col: str = "rank", max_rank: int | None = None) -> DataFrame:
-    """1-based ``row_number() over (partition by label order by order_cols)``
-    without a per-class window (skew-safe).
-
-    ``bucket`` must be non-decreasing in the order within a class.  The rank
-    is the class's row count in earlier buckets (from a small
-    ``(label, bucket)`` count table) plus the row number inside its
-    ``(label, bucket)`` group; no group is larger than one bucket.
-    ``order_cols`` must make the order total (end with a unique key).
-
-    With ``max_rank`` only rows of rank ``<= max_rank`` are returned, and
-    buckets that start at or after that rank are dropped by the join with
-    the count table before anything is shuffled: sampling a few rows per
-    class moves about that many rows, not the class."""
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    b = df.withColumn("_bucket", bucket)
-    stats = b.groupBy(label_col, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(label_col).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.select(label_col, "_bucket", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_before"))
-    if max_rank is not None:
-        stats = stats.filter(F.col("_before") < F.lit(max_rank))
-    joined = join_small(b, stats, [label_col, "_bucket"], "inner")
-    inner = Window.partitionBy(label_col, "_bucket").orderBy(*order_cols)
-    out = (joined.withColumn(out_col, (F.col("_before") + F.row_number().over(inner)).cast("long"))
-           .drop("_bucket", "_before"))
-    return out if max_rank is None else out.filter(F.col(out_col) <= F.lit(max_rank))
-
-
-def hash_rank(df: DataFrame, label_col: str, key_col: str, seed, out_col: str = "rank",
-              largest_class: int | None = None, max_rank: int | None = None) -> DataFrame:
-    """Rank inside each class in seeded-hash order (ties by key).  md5 is
-    uniform, so a hash prefix gives even buckets; its length follows the
-    largest class (counted when not given)."""
-    if largest_class is None:
-        largest_class = _largest_class(df, label_col)
-    h = seeded_hash(key_col, seed)
-    return rank_within_class(df, label_col, [h, key_col], F.substring(h, 1, hash_digits(largest_class)), out_col,
-                             max_rank)
-
-
-def key_rank(df: DataFrame, label_col: str, key_col: str, out_col: str = "rank",
-             buckets: int | None = None, largest_class: int | None = None) -> DataFrame:
-    """Rank inside each class in key order.  Buckets are key ranges between
-    approximate quantiles (a list of ``buckets`` numbers, the only thing that
-    reaches the driver; their count follows the largest class); exact ranks
-    do not depend on them."""
-    from pyspark.ml.feature import Bucketizer
-    if buckets is None:
-        if largest_class is None:
-            largest_class = _largest_class(df, label_col)
-        buckets = key_buckets(largest_class)
-    probs = [i / buckets for i in range(1, buckets)]
-    qs = df.approxQuantile(key_col, probs, 1.0 / (2 * buckets)) if buckets > 1 else []
-    splits = [float("-inf")] + sorted(set(float(q) for q in qs)) + [float("inf")]
-    keyed = df.withColumn("_kd", F.col(key_col).cast("double"))
-    bucketed = Bucketizer(splits=splits, inputCol="_kd", outputCol="_kb", handleInvalid="keep").transform(keyed)
-    out = rank_within_class(bucketed, label_col, [key_col], F.col("_kb"), out_col)
-    return out.drop("_kd", "_kb")
+LEAST_BUCKETS = 64
+
+
+def bucket_count(largest_class: int) -> int:
+    return max(LEAST_BUCKETS, math.ceil(largest_class / ROWS_PER_BUCKET))
+
+
+def hash_bucket(hex_hash: Column, buckets: int) -> Column:
+    """Bucket of an md5 hex string, non-decreasing in its order."""
+    head = F.conv(F.substring(hex_hash, 1, 8), 16, 10).cast("long")
+    return F.shiftright(head * F.lit(buckets).cast("long"), 32)
+
+
+def check_labels(df: DataFrame, label_col: str) -> None:
+    """A null label belongs to no class: an error, not a lost row."""
+    if df.filter(F.col(label_col).isNull()).limit(1).count():
+        raise ValueError(f"{label_col} holds nulls")
+
+
+def cut_classes(df: DataFrame, label_col: str, bucket: Column, order_cols: list, cuts: DataFrame, out_col: str,
+                last: int | None = None) -> DataFrame:
+    """Add ``out_col``: how many of the class's ``cuts`` (label, cuts: sorted
+    ARRAY<LONG> of ranks) lie at or below the row's 0-based rank, i.e. the
+    segment of the ordered class that the row is in.
+
+    ``bucket`` must be non-decreasing in the order within a class and
+    ``order_cols`` must make the order total.  With ``last`` only rows of
+    segments up to it are kept; whole buckets beyond are dropped in the scan's
+    stage.  Rows of classes without cuts are dropped."""
+    bucket_col, cuts_col = "_bucket", "_cuts"
+    b = df.withColumn(bucket_col, bucket)
+    before = Window.partitionBy(label_col).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
+    at = lambda rank: F.size(F.filter(cuts_col, lambda c: c <= rank))
+    stats = (b.groupBy(label_col, bucket_col).agg(F.count(F.lit(1)).alias("_n"))
+             .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+             .join(cuts.select(label_col, F.col("cuts").alias(cuts_col)), label_col)
+             .withColumn("_lo", at(F.col("_before"))).withColumn("_hi", at(F.col("_before") + F.col("_n") - 1)).drop("_n"))
+    if last is not None:
+        stats = stats.filter(F.col("_lo") <= last)
+    j = join_small(b, cut_lineage(stats, "buckets"), [label_col, bucket_col], "inner")
+    whole = j.filter(F.col("_lo") == F.col("_hi")).withColumn(out_col, F.col("_lo"))
+    line = Window.partitionBy(label_col, bucket_col).orderBy(*order_cols)
+    rank = F.col("_before") + F.row_number().over(line) - 1
+    cut = j.filter(F.col("_lo") != F.col("_hi")).withColumn("_rank", rank).withColumn(out_col, at(F.col("_rank"))).drop("_rank")
+    out = whole.unionByName(cut).drop(bucket_col, cuts_col, "_before", "_lo", "_hi")
+    return out if last is None else out.filter(F.col(out_col) <= last)
+
+
+def first_per_class(df: DataFrame, label_col: str, key_col: str, n: int, parts: int = 64) -> DataFrame:
+    """The ``n`` rows of each class with the smallest keys: first of every hash
+    part of a class, then of what is left (at most ``n * parts`` rows a class)."""
+    part = F.pmod(F.xxhash64(key_col), F.lit(parts))
+    some = df.select(label_col, key_col).withColumn("_p", part).withColumn(
+        "_r", F.row_number().over(Window.partitionBy(label_col, "_p").orderBy(key_col))).filter(F.col("_r") <= n)
+    some = some.withColumn("_r", F.row_number().over(Window.partitionBy(label_col).orderBy(key_col))).filter(F.col("_r") <= n)
+    return df.join(some.select(label_col, key_col).distinct(), [label_col, key_col], "left_semi")
 
 
 def balance_classes(df: DataFrame, label_col: str = "language", key_col: str = "doc_id",
@@ -117,21 +98,18 @@ def balance_classes(df: DataFrame, label_col: str = "language", key_col: str = "
                     seed: int | str = 42) -> DataFrame:
     """A3-A5: drop rare classes, then keep exactly ``target`` rows of each
     class (classes at or below the target are kept whole), chosen by seeded
-    hash order."""
+    hash order.  Null labels raise."""
+    check_labels(df, label_col)
     valid = class_counts(df, label_col).filter(F.col("n_class") >= min_samples_per_class)
     row = valid.agg(F.min("n_class").alias("m"), F.max("n_class").alias("mx"),
                     F.count(F.lit(1)).alias("k")).first()          # one job: A3 + A4 inputs
     if not row["k"]:
         raise ValueError(f"no class has at least {min_samples_per_class} rows")
-    kept = join_small(df, valid.select(label_col), label_col, "left_semi", row_bound=row["k"])
     cap = row["m"] if n_samples_per_class is None else min(n_samples_per_class, row["m"])
     target = max(cap, min_samples_per_class)      # A4, same rule as balance_target
-    # rank the narrow (key, label) projection, and only in the buckets that can
-    # hold one of the first ``target`` rows; the wide rows never shuffle, they
-    # are semi-joined with the chosen keys (at most target * k of them)
-    narrow = kept.select(key_col, label_col)
-    chosen = hash_rank(narrow, label_col, key_col, seed, "_rank", row["mx"], max_rank=target)
-    return join_small(kept, chosen.select(key_col), key_col, "left_semi", row_bound=target * row["k"])
+    h = seeded_hash(key_col, seed)
+    cuts = valid.select(label_col, F.array(F.lit(target).cast("long")).alias("cuts"))
+    return cut_classes(df, label_col, hash_bucket(h, bucket_count(row["mx"])), [h, key_col], cuts, "_part", last=0).drop("_part")
 
 
 def split_plan(df: DataFrame, label_col: str = "language", test_size: float = 0.2) -> DataFrame:
@@ -156,57 +134,75 @@ def split_plan(df: DataFrame, label_col: str = "language", test_size: float = 0.
 
 def stratified_split(df: DataFrame, label_col: str = "language", key_col: str = "doc_id",
                      test_size: float = 0.2, seed: int | str = 42, split_col: str = "split") -> DataFrame:
-    """Adds ``split`` = 'train' / 'test' with exact per-class sizes."""
-    plan = split_plan(df, label_col, test_size)
+    """Adds ``split`` = 'train' / 'test' with exact per-class sizes.  Null
+    labels raise."""
+    check_labels(df, label_col)
+    plan = cut_lineage(split_plan(df, label_col, test_size), "split-plan")
     stats = plan.agg(F.min("n_class").alias("mn"), F.max("n_class").alias("mx")).first()
     if stats["mn"] is None or stats["mn"] < 2:
         raise ValueError("every class needs at least 2 rows for a stratified split")
-    ranked = hash_rank(df, label_col, key_col, f"{seed}:split", "_rank", stats["mx"])
-    out = join_small(ranked, plan.select(label_col, "n_train"), label_col, "inner")
-    return (out.withColumn(split_col, F.when(F.col("_rank") <= F.col("n_train"), "train").otherwise("test"))
-            .drop("_rank", "n_train"))
+    h = seeded_hash(key_col, f"{seed}:split")
+    cuts = plan.select(label_col, F.array(F.col("n_train").cast("long")).alias("cuts"))
+    out = cut_classes(df, label_col, hash_bucket(h, bucket_count(stats["mx"])), [h, key_col], cuts, "_part")
+    return out.withColumn(split_col, F.when(F.col("_part") == 0, "train").otherwise("test")).drop("_part")
 
 
-def fold_plan(df: DataFrame, label_col: str = "language") -> DataFrame:
-    """Per class: its first position in the label-sorted order and size."""
-    counts = class_counts(df, label_col)
-    w = Window.partitionBy(F.lit(1)).orderBy(label_col).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("start", F.coalesce(F.sum("n_class").over(w), F.lit(0)).cast("long"))
+def fold_plan(df: DataFrame, label_col: str = "language", key_col: str = "doc_id") -> DataFrame:
+    """Per class: its size and its first position when the classes follow each
+    other in the order of their first rows."""
+    counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n_class"), F.min(key_col).alias("_first"))
+    w = Window.partitionBy(F.lit(1)).orderBy("_first", label_col).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("start", F.coalesce(F.sum("n_class").over(w), F.lit(0)).cast("long")).drop("_first")
 
 
-def _fold_of(rank0: Column, start: Column, size: Column, k: int) -> Column:
-    """Fold of the ``rank0``-th (0-based) row of a class occupying positions
-    ``[start, start+size)`` of the label-sorted order, when position ``p`` is
-    dealt to fold ``p mod k`` and each class then takes its folds as
-    contiguous blocks (unshuffled stratified k-fold)."""
+def fold_cuts(start: Column, size: Column, k: int) -> Column:
+    """Ends of the folds inside a class that occupies positions ``[start,
+    start+size)``, when position ``p`` is dealt to fold ``p mod k`` and each
+    class then takes its folds as contiguous blocks (unshuffled stratified
+    k-fold)."""
     def upto(x, i):   # positions q < x with q mod k == i
         return F.floor((x + F.lit(k - 1 - i)) / F.lit(k))
-    cum = F.lit(0)
-    fold = F.lit(0)
-    for j in range(k):
+    ends, cum = [], F.lit(0).cast("long")
+    for j in range(k - 1):
         cum = cum + (upto(start + size, j) - upto(start, j))
-        fold = fold + F.when(cum <= rank0, 1).otherwise(0)
-    return fold.cast("int")
+        ends.append(cum)
+    return F.array(*ends) if ends else F.array().cast("array<bigint>")
 
 
 def stratified_folds(df: DataFrame, label_col: str = "language", key_col: str = "doc_id",
                      k: int = 5, fold_col: str = "fold") -> DataFrame:
-    """Unshuffled stratified k-fold; rows keep key order inside a class."""
-    plan = fold_plan(df, label_col)
+    """Unshuffled stratified k-fold; rows keep key order inside a class.
+    Keys are unique and of any ordered type; null labels raise.
+
+    Numeric keys are cut between quantiles in the row itself.  Others have no
+    cheap order function: the narrow (label, key) rows are range-partitioned
+    by key, cut there, and joined back on both columns."""
+    check_labels(df, label_col)
+    plan = cut_lineage(fold_plan(df, label_col, key_col), "fold-plan")
     largest = plan.agg(F.max("n_class")).first()[0]
     if largest is None or largest < k:
         raise ValueError(f"k={k} is larger than every class")
-    ranked = key_rank(df, label_col, key_col, "_rank", largest_class=largest)
-    out = join_small(ranked, plan, label_col, "inner")
-    return (out.withColumn(fold_col, _fold_of(F.col("_rank") - 1, F.col("start"), F.col("n_class"), k))
-            .drop("_rank", "start", "n_class"))
+    cuts = plan.select(label_col, fold_cuts(F.col("start"), F.col("n_class"), k).alias("cuts"))
+    buckets = bucket_count(largest)
+    if isinstance(df.schema[key_col].dataType, T.NumericType):
+        qs = df.approxQuantile(key_col, [i / buckets for i in range(1, buckets)], 1.0 / (2 * buckets))
+        from pyspark.ml.feature import Bucketizer
+        splits = [float("-inf"), *sorted({float(q) for q in qs}), float("inf")]
+        keyed = Bucketizer(splits=splits, inputCol="_kd", outputCol="_kb", handleInvalid="keep").transform(
+            df.withColumn("_kd", F.col(key_col).cast("double")))
+        return cut_classes(keyed, label_col, F.col("_kb"), [key_col], cuts, fold_col).drop("_kd", "_kb")
+    narrow = cut_lineage(df.select(label_col, key_col).repartitionByRange(buckets, key_col)
+                         .withColumn("_kb", F.spark_partition_id()), "keys")
+    folds = cut_classes(narrow, label_col, F.col("_kb"), [key_col], cuts, fold_col).drop("_kb")
+    return df.join(folds, [label_col, key_col])
 
 
 def split_overlap(split_df: DataFrame, text_col: str = "clean_code", split_col: str = "split") -> DataFrame:
-    """Distinct texts present on both sides of a split (leakage report)."""
-    train = split_df.filter(F.col(split_col) == "train").select(text_col).distinct()
-    test = split_df.filter(F.col(split_col) == "test").select(text_col).distinct()
-    return train.join(test, text_col, "left_semi")
+    """``hash`` of the distinct texts present on both sides of a split (leakage
+    report); one grouped pass over hashes, the texts are not shuffled."""
+    side = F.col(split_col)
+    return (split_df.select(F.sha2(F.col(text_col), 256).alias("hash"), (side == "train").alias("a"), (side == "test").alias("b"))
+            .groupBy("hash").agg(F.max("a").alias("a"), F.max("b").alias("b")).filter("a and b").select("hash"))
 
 
 def sql_fold_of(rank0: str, start: str, size: str, k: int) -> str:

@@ -8,42 +8,47 @@ document frequency, then the ``max_features`` terms of highest corpus count
 ``ln((1+n)/(1+df)) + 1`` with ``n`` = every fitted row, sublinear tf
 ``1 + ln(tf)``, L2 norm per row.
 
-Physical plan: the documents are hash-partitioned by key once, so the per-document term counts and the
-per-document norm (a window by key) need no further exchange; the document
-frequency is a partial (map-side) aggregation by term; the fitted vocabulary
-is bounded by ``max_features``, written to the checkpoint folder, and
-broadcast into the weight join.
+Physical plan: a document is one row, so its n-grams are counted in the row
+(sorted, then run lengths) and the text is never shuffled.  Document
+frequencies are a grouped sum by term, combined before the one shuffle.  The
+vocabulary is written; its join is planned from its measured size.  Vectors are
+written in MLlib's own struct layout and read back as vectors, so no Python
+runs on the rows.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import uuid
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.tokens import ngrams, word_tokens
-from ..session import cut_lineage, join_small
+from ..session import cut_lineage, ensure_checkpoint_dir, join_small
 
 
-def _by_key(df: DataFrame, key_col: str) -> DataFrame:
-    """Cluster rows by key (one shuffle of the text; every later
-    per-document step reuses it).  Callers whose rows are already clustered
-    pass ``clustered=True`` and skip it."""
-    return df.repartition(key_col)
+def term_counts(terms: Column) -> Column:
+    """ARRAY<STRUCT<term, tf>> of an array column: sorted, then the length of
+    each run.  One-element arrays bind the sorted terms and the runs' ends."""
+    def runs(t):
+        ends = F.when(F.size(t) > 0, F.filter(F.sequence(F.lit(1), F.size(t)), lambda i: (i == F.size(t)) | (
+            F.get(t, i - 1) != F.get(t, i)))).otherwise(F.array().cast("array<int>"))
+        return F.element_at(F.transform(F.array(ends), lambda e: F.transform(
+            e, lambda i, j: F.struct(F.get(t, i - 1).alias("term"),
+                                     (i - F.coalesce(F.get(e, j - 1), F.lit(0))).cast("long").alias("tf")))), 1)
+    return F.element_at(F.transform(F.array(F.array_sort(terms)), runs), 1)
 
 
 def term_frequency(df: DataFrame, text_col: str = "clean_code", key_col: str = "doc_id",
-                   n_min: int = 1, n_max: int = 3, clustered: bool = False) -> DataFrame:
+                   n_min: int = 1, n_max: int = 3) -> DataFrame:
     """``(key, term, tf)`` - occurrences of each n-gram in each row."""
-    d = df if clustered else _by_key(df.select(key_col, text_col), key_col)
-    terms = d.select(key_col, F.explode(ngrams(word_tokens(text_col), n_min, n_max)).alias("term"))
-    return terms.groupBy(key_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    counts = term_counts(ngrams(word_tokens(text_col), n_min, n_max))
+    return df.select(key_col, F.explode(counts).alias("_t")).select(key_col, "_t.term", "_t.tf")
 
 
 def document_frequency(tf: DataFrame, key_col: str = "doc_id") -> DataFrame:
@@ -55,27 +60,42 @@ def document_frequency(tf: DataFrame, key_col: str = "doc_id") -> DataFrame:
 
 def select_vocabulary(stats: DataFrame, n_docs: int, min_df: int = 2, max_features: int | None = 10000,
                       smooth_idf: bool = True) -> DataFrame:
-    """Threshold, top-k by corpus count, alphabetical index, idf."""
+    """Threshold, top-k by corpus count, alphabetical index, idf.
+
+    The index is a range-partitioned sort, written, plus the sizes of the
+    earlier partitions (one number per partition on the driver), so a
+    vocabulary of any size is numbered without a single task or Python."""
     kept = stats.filter(F.col("df") >= min_df)
     if max_features is not None:
         kept = kept.orderBy(F.desc("ctf"), F.asc("term")).limit(max_features)
-        idx = kept.withColumn("idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
-    else:
-        # unbounded vocabulary: a distributed sort + index, no single-task window
-        spark = stats.sparkSession
-        ordered = kept.orderBy("term")
-        schema = T.StructType(ordered.schema.fields + [T.StructField("idx", T.IntegerType(), False)])
-        idx = spark.createDataFrame(ordered.rdd.zipWithIndex().map(lambda p: (*p[0], int(p[1]))), schema)
+    place = F.monotonically_increasing_id()
+    t = cut_lineage(kept.orderBy("term").select("*", F.shiftright(place, 33).alias("_part"),
+                                                place.bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos")), "terms")
+    sizes = sorted((r[0], r[1]) for r in t.groupBy("_part").count().collect())
+    starts, total = [], 0
+    for part, n in sizes:
+        starts.append((part, total))
+        total += n
+    offsets = stats.sparkSession.createDataFrame(starts, "_part long, _start long")
+    idx = t.join(F.broadcast(offsets), "_part").withColumn("idx", F.col("_start") + F.col("_pos"))
     one = F.lit(1.0) if smooth_idf else F.lit(0.0)
     idf = F.log((F.lit(float(n_docs)) + one) / (F.col("df") + one)) + F.lit(1.0)
     return idx.select("term", "idx", F.col("df").cast("long").alias("df"),
                       F.col("ctf").cast("long").alias("ctf"), idf.alias("idf"))
 
 
-@F.udf(returnType=VectorUDT())
-def _to_sparse(size, idx, vals):
-    from pyspark.ml.linalg import Vectors
-    return Vectors.sparse(size, list(idx or []), list(vals or []))
+def vector_table(arrays: DataFrame, size: int, out_col: str = "features") -> DataFrame:
+    """``arrays`` (indices, values, ...) with a sparse vector column: written
+    in the struct layout of MLlib vectors and read back under their type."""
+    spark = arrays.sparkSession
+    struct = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
+                      F.col("indices").cast("array<int>").alias("indices"), F.col("values").alias("values"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vectors-{uuid.uuid4().hex}"
+    arrays.withColumn(out_col, struct).write.parquet(path)
+    schema = T.StructType([*arrays.schema.fields, T.StructField(out_col, VectorUDT())])
+    out = spark.read.schema(schema).parquet(path)
+    out.written_to = path
+    return out
 
 
 @dataclass
@@ -92,46 +112,39 @@ class TfidfModel:
     max_features: int | None = 10000
 
     # --------------------------------------------------------- transform --
-    def weights(self, df: DataFrame, text_col: str = "clean_code", key_col: str = "doc_id",
-                clustered: bool = False) -> DataFrame:
+    def weights(self, df: DataFrame, text_col: str = "clean_code", key_col: str = "doc_id") -> DataFrame:
         """F7/F8 long form: ``(key, term, idx, w)``, L2-normalised per row;
         terms outside the vocabulary are dropped (a row may have none)."""
-        tf = term_frequency(df, text_col, key_col, self.n_min, self.n_max, clustered)
-        return self.weights_from_tf(tf, key_col)
-
-    def weights_from_tf(self, tf: DataFrame, key_col: str = "doc_id") -> DataFrame:
-        """Weights from an existing ``(key, term, tf)`` table (partitioned by
-        key, as :func:`term_frequency` leaves it: the norm window then needs
-        no exchange)."""
-        vocab = self.vocabulary.select("term", "idx", "idf")
-        j = join_small(tf, vocab, "term", "inner", row_bound=self.max_features)
+        tf = term_frequency(df, text_col, key_col, self.n_min, self.n_max)
+        j = join_small(tf, self.vocabulary.select("term", "idx", "idf"), "term")
         raw = (F.lit(1.0) + F.log(F.col("tf").cast("double"))) if self.sublinear_tf else F.col("tf").cast("double")
         w = j.withColumn("w", raw * F.col("idf"))
         norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key_col)))
         return w.select(key_col, "term", "idx", (F.col("w") / norm).alias("w"))
 
     def sparse_arrays(self, df: DataFrame, text_col: str = "clean_code", key_col: str = "doc_id",
-                      keep_cols=(), tf: DataFrame | None = None) -> DataFrame:
+                      keep_cols=()) -> DataFrame:
         """Per input row: ``indices`` (sorted) and ``values`` arrays; both
-        empty when the row has no kept term (left join back).  ``tf`` (the
-        term counts of these rows, e.g. kept from the fit) skips tokenising
-        again."""
-        base = _by_key(df.select(key_col, *([] if tf is not None else [text_col]), *keep_cols), key_col)
-        w = self.weights_from_tf(tf, key_col) if tf is not None else self.weights(base, text_col, key_col, clustered=True)
-        per_doc = w.groupBy(key_col).agg(F.sort_array(F.collect_list(F.struct("idx", "w"))).alias("_e"))
-        out = base.join(per_doc, key_col, "left")
-        empty_i = F.array().cast("array<int>")
-        empty_d = F.array().cast("array<double>")
-        return out.select(key_col, *keep_cols,
-                          F.coalesce(F.col("_e.idx"), empty_i).alias("indices"),
-                          F.coalesce(F.col("_e.w"), empty_d).alias("values"))
+        empty when the row has no kept term.  A row without terms still sends
+        one empty entry, so the narrow rows are grouped once and the texts are
+        not joined back."""
+        counts = term_counts(ngrams(word_tokens(text_col), self.n_min, self.n_max))
+        rows = df.select(key_col, *keep_cols, F.explode_outer(counts).alias("_t")).select(key_col, *keep_cols, "_t.term", "_t.tf")
+        j = join_small(rows, self.vocabulary.select("term", "idx", "idf"), "term", "left")
+        raw = (F.lit(1.0) + F.log(F.col("tf").cast("double"))) if self.sublinear_tf else F.col("tf").cast("double")
+        e = F.when(F.col("idx").isNotNull(), F.struct(F.col("idx").cast("int").alias("idx"), (raw * F.col("idf")).alias("w")))
+        g = j.select(key_col, *keep_cols, e.alias("_e")).groupBy(key_col, *keep_cols).agg(
+            F.sort_array(F.collect_list("_e")).alias("_e"))
+        norm = F.sqrt(F.aggregate("_e.w", F.lit(0.0), lambda a, x: a + x * x))
+        return g.withColumn("_n", norm).select(key_col, *keep_cols, F.col("_e.idx").alias("indices"),
+                                               F.transform("_e.w", lambda x: x / F.col("_n")).alias("values"))
 
     def vectors(self, df: DataFrame, text_col: str = "clean_code", key_col: str = "doc_id",
                 keep_cols=(), out_col: str = "features") -> DataFrame:
         """one MLlib SparseVector per input row (empty when no kept term);
         ``keep_cols`` of the input are carried along."""
-        a = self.sparse_arrays(df, text_col, key_col, keep_cols)
-        return a.select(key_col, *keep_cols, _to_sparse(F.lit(self.size), "indices", "values").alias(out_col))
+        return vector_table(self.sparse_arrays(df, text_col, key_col, keep_cols), self.size, out_col) \
+            .select(key_col, *keep_cols, out_col)
 
     # ------------------------------------------------------- persistence --
     def save(self, path: str) -> None:
@@ -151,19 +164,10 @@ class TfidfModel:
 
 def fit_tfidf(df: DataFrame, text_col: str = "clean_code", key_col: str = "doc_id",
               max_features: int | None = 10000, min_df: int = 2, n_min: int = 1, n_max: int = 3,
-              sublinear_tf: bool = True, smooth_idf: bool = True, return_tf: bool = False):
-    """Fit the vocabulary and idf on ``df`` (every row counts in ``n``).
-
-    With ``return_tf`` the per-row term counts are persisted (memory and
-    disk; recomputed from the input on executor loss) and returned as well,
-    so that transforming the fitted rows does not tokenise them again:
-    ``(model, tf)``; call ``tf.unpersist()`` when done."""
+              sublinear_tf: bool = True, smooth_idf: bool = True) -> TfidfModel:
+    """Fit the vocabulary and idf on ``df`` (every row counts in ``n``)."""
     n_docs = df.count()
     tf = term_frequency(df, text_col, key_col, n_min, n_max)
-    if return_tf:
-        tf = tf.persist(StorageLevel.MEMORY_AND_DISK)
     vocab = cut_lineage(select_vocabulary(document_frequency(tf, key_col), n_docs, min_df,
                                           max_features, smooth_idf), "vocabulary")
-    size = vocab.count()
-    model = TfidfModel(vocab, n_docs, size, n_min, n_max, sublinear_tf, max_features)
-    return (model, tf) if return_tf else model
+    return TfidfModel(vocab, n_docs, vocab.count(), n_min, n_max, sublinear_tf, max_features)

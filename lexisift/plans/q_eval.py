@@ -83,8 +83,12 @@ pc AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall /
 m AS (SELECT model, sum(tp) / sum(support) AS accuracy, avg(precision) AS precision_macro,
         avg(recall) AS recall_macro, avg(f1) AS f1_macro, sum(f1 * support) / sum(support) AS f1_weighted
       FROM pc GROUP BY model),
-norm AS (SELECT model, actual, predicted, CAST(cnt AS BIGINT) AS count,
-           cnt / nullif(sum(cnt) OVER (PARTITION BY model, actual), 0) AS fraction FROM cells)"""
+nm AS (SELECT model, actual AS class FROM cells UNION SELECT model, predicted FROM cells),
+dense AS (SELECT g.model, g.actual, g.predicted, CAST(coalesce(cnt, 0) AS BIGINT) AS cnt
+          FROM (SELECT a.model, a.class AS actual, b.class AS predicted FROM nm a JOIN nm b USING (model)) g
+          LEFT JOIN cells c ON g.model = c.model AND g.actual = c.actual AND g.predicted = c.predicted),
+norm AS (SELECT model, actual, predicted, cnt AS count,
+           cnt / nullif(sum(cnt) OVER (PARTITION BY model, actual), 0) AS fraction FROM dense)"""
 
 
 def _r(c):
@@ -128,7 +132,7 @@ def q_best_model(spark, sf):
     return EV.best_model(predictions(spark, sf), MODEL_ORDER).select("model", _r("accuracy").alias("accuracy"))
 
 
-@query("classification_report", sql=f"""WITH {SQL_PRED},
+SQL_REPORT = f"""{SQL_PRED},
 tot AS (SELECT model, sum(tp) AS tp, sum(support) AS n, avg(precision) AS mp, avg(recall) AS mr, avg(f1) AS mf,
           sum(precision * support) / sum(support) AS wp, sum(recall * support) / sum(support) AS wr,
           sum(f1 * support) / sum(support) AS wf FROM pc GROUP BY model),
@@ -136,7 +140,10 @@ rep AS (
   SELECT model, class AS row, precision, recall, f1, support, 0 AS row_order FROM pc
   UNION ALL SELECT model, 'accuracy', NULL, NULL, tp / n, CAST(n AS BIGINT), 1 FROM tot
   UNION ALL SELECT model, 'macro avg', mp, mr, mf, CAST(n AS BIGINT), 2 FROM tot
-  UNION ALL SELECT model, 'weighted avg', wp, wr, wf, CAST(n AS BIGINT), 3 FROM tot)
+  UNION ALL SELECT model, 'weighted avg', wp, wr, wf, CAST(n AS BIGINT), 3 FROM tot)"""
+
+
+@query("classification_report", sql=f"""WITH {SQL_REPORT}
 SELECT model, row, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
   support, row_order FROM rep""")
 def q_classification_report(spark, sf):
@@ -150,6 +157,11 @@ def q_confusion_matrix(spark, sf):
     return EV.confusion_matrix(predictions(spark, sf))
 
 
+@query("confusion_dense", sql=f"WITH {SQL_PRED} SELECT model, actual, predicted, cnt AS count FROM dense")
+def q_confusion_dense(spark, sf):
+    return EV.confusion_dense(predictions(spark, sf))
+
+
 @query("confusion_normalized", sql=f"WITH {SQL_PRED} SELECT model, actual, predicted, count, round(fraction, 6) AS fraction FROM norm")
 def q_confusion_normalized(spark, sf):
     n = EV.confusion_normalized(predictions(spark, sf))

@@ -6,12 +6,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.arrays import argmax, dot, softmax
-from ..functions.tokens import word_tokens
 from ..operators import neural as N
 from ..operators import split as S
-from ..session import join_small
-from .q_features import SQL_VOCAB, fitted
-from .q_text import SQL_BALANCED, balanced_table
+from ..session import cut_lineage
+from .q_features import ALL, fitted, sql_vocab
+from .q_text import SQL_SPLIT, balanced_table
+from .q_io import scratch
+from .q_models import test_facts
 from .registry import query, table
 
 N_CLASSES, DIM = 10, 64
@@ -61,8 +62,8 @@ def q_argmax(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", argmax("embedding").alias("argmax"))
 
 
-@query("encode_fixed_length", sql=f"""WITH vocab AS ({SQL_VOCAB}),
-b AS ({SQL_BALANCED}),
+@query("encode_fixed_length", sql=f"""WITH vocab AS ({sql_vocab(ALL)}),
+b AS ({ALL}),
 t AS (SELECT doc_id, unnest(regexp_extract_all(lower(clean_code), '[\\p{{L}}\\p{{N}}_]{{2,}}', 0)) AS term,
         generate_subscripts(regexp_extract_all(lower(clean_code), '[\\p{{L}}\\p{{N}}_]{{2,}}', 0), 1) - 1 AS pos FROM b),
 ids AS (SELECT t.doc_id, t.pos, coalesce(v.idx + 2, 1) AS id FROM t LEFT JOIN vocab v ON t.term = v.term WHERE t.pos < 512),
@@ -77,13 +78,16 @@ def q_encode_fixed_length(spark, sf):
                       F.md5(F.array_join(F.col("input_ids").cast("array<string>"), ",")).alias("ids_md5"))
 
 
-@query("train_embedding_mlp")
+@query("train_embedding_mlp", sql=f"""SELECT language AS label, count(*) AS n_test, TRUE AS known_classes, TRUE AS beats_majority,
+  TRUE AS reload_agrees FROM ({SQL_SPLIT}) WHERE split = 'test' GROUP BY language""")
 def q_train_embedding_mlp(spark, sf):
-    b = balanced_table(spark, sf)
-    sp = S.stratified_split(b, "language", "doc_id", 0.2, 42)
-    model, classes = N.train_embedding_mlp(sp.filter(F.col("split") == "train"))
-    te = sp.filter(F.col("split") == "test").withColumn("_words", word_tokens("clean_code"))
-    pred = model.transform(te)
-    names = classes.select(F.col("label_index").alias("prediction"), F.col("language").alias("predicted"))
-    return join_small(pred, names, "prediction", "inner", row_bound=classes.count()) \
-        .select("doc_id", "language", "predicted")
+    """H6, H7, H9: trained on the training rows, evaluated on the test rows, saved
+    and loaded again; test counts per label and checked facts of the real fit."""
+    sp = cut_lineage(S.stratified_split(balanced_table(spark, sf), "language", "doc_id", 0.2, 42), "split")
+    run = N.run_embedding_mlp(sp, path=scratch(spark, "embedding"))
+    pred = cut_lineage(run.predictions, "predictions")
+    again = N.load_embedding_mlp(spark, run.path).predict(sp.filter(F.col("split") == "test"))
+    other = pred.join(again.select("key", F.col("prediction").alias("p2")), "key").filter("NOT prediction <=> p2").limit(1).count()
+    known = pred.join(run.classes, pred.prediction == run.classes.language, "left_anti").limit(1).count()
+    return test_facts(pred).select("label", "n_test", F.lit(known == 0).alias("known_classes"), "beats_majority",
+                                   F.lit(other == 0).alias("reload_agrees"))

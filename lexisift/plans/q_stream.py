@@ -3,50 +3,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from ..operators import models as M
 from ..streaming.scoring import score_stream
-from .q_features import SQL_TF, SQL_VOCAB, sql_tf, sql_weights
+from .q_features import sql_tf, sql_weights
 from .q_io import scratch
-from .q_models import feature_table
-from .q_text import SQL_CLEANED, SQL_SPLIT
+from .q_models import feature_table, sql_nb, trained_on
+from .q_text import SQL_BALANCED, SQL_CLEANED
 from .registry import query
 
 # Oracle: the same multinomial NB (alpha 1) trained on the train split, scoring
 # every document (cleaned, frozen vocabulary); ties go to the first class.
-SQL_STREAM = f"""WITH sp AS (SELECT doc_id, language, split FROM ({SQL_SPLIT})),
-vocab AS ({SQL_VOCAB}),
-w AS ({sql_weights(SQL_TF)}),
-tr AS (SELECT w.idx, w.w, sp.language FROM w JOIN sp ON w.doc_id = sp.doc_id WHERE split = 'train'),
-S AS (SELECT language, idx, sum(w) AS s FROM tr GROUP BY language, idx),
-Tc AS (SELECT language, sum(w) AS t FROM tr GROUP BY language),
-Nc AS (SELECT language, count(*) AS nc FROM sp WHERE split = 'train' GROUP BY language),
-N AS (SELECT sum(nc) AS n, count(*) AS k FROM Nc),
-D AS (SELECT count(*) AS d FROM vocab),
-aw AS ({sql_weights(sql_tf(SQL_CLEANED))}),
-te AS (SELECT doc_id FROM documents),
-wsums AS (SELECT doc_id, sum(w) AS wsum FROM aw GROUP BY doc_id),
-base AS (SELECT te.doc_id, Nc.language,
-           ln(nc + 1) - ln(n + k) - ln(coalesce(t, 0) + d) * coalesce(wsum, 0) AS b
-         FROM te CROSS JOIN Nc CROSS JOIN N CROSS JOIN D
-         LEFT JOIN Tc ON Tc.language = Nc.language LEFT JOIN wsums ON wsums.doc_id = te.doc_id),
-part AS (SELECT aw.doc_id, S.language, sum(aw.w * ln(S.s + 1)) AS p
-         FROM aw JOIN S ON S.idx = aw.idx GROUP BY aw.doc_id, S.language),
-score AS (SELECT base.doc_id, base.language, b + coalesce(p, 0) AS score
-          FROM base LEFT JOIN part ON part.doc_id = base.doc_id AND part.language = base.language)
-SELECT doc_id, language AS prediction FROM (
-  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, language) AS rn FROM score) WHERE rn = 1"""
+SQL_STREAM = f"""{sql_nb(test="SELECT doc_id, lang AS label FROM documents", test_weights=sql_weights(sql_tf(SQL_CLEANED), SQL_BALANCED))}
+SELECT doc_id, prediction FROM best"""
 
 
 @query("stream_score", sql=SQL_STREAM)
 def q_stream_score(spark, sf):
-    arrays, tfidf = feature_table(spark, sf, 10000)
-    trained, _ = M.train_all(arrays.filter(F.col("split") == "train"), "language", tfidf.size,
-                             M.ModelConfig(models=["NaiveBayes"]))
+    """Run twice with the same sink: the second run finds nothing new."""
+    arrays, tfidf = feature_table(spark, sf)
+    trained = trained_on(arrays, tfidf, ["NaiveBayes"])
     schema = spark.read.parquet(f"{sf}/documents.parquet").schema
     sink = scratch(spark, "scored")
-    q = score_stream(spark, sf, schema, tfidf, trained, sink, "NaiveBayes", text_col="text",
-                     key_col="doc_id", glob="documents.parquet")
-    q.awaitTermination()
-    return spark.read.parquet(sink).select("doc_id", "prediction")
+    for _ in range(2):
+        q = score_stream(spark, sf, schema, tfidf, trained, sink, "NaiveBayes", text_col="text",
+                         key_col="doc_id", glob="documents.parquet")
+        q.awaitTermination()
+    return spark.read.parquet(f"{sink}/scores").select("doc_id", "prediction")

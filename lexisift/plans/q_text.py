@@ -125,12 +125,17 @@ def q_ngrams(spark, sf):
 LANG_NAMES = {"en": "english", "fr": "french", "de": "german"}
 
 
-@query("normalize_labels", sql=f"""SELECT conv_id, turn,
-  coalesce({sql_map_case('lower(role)', LANGUAGE_ALIASES)}, lower(role)) AS language
-FROM conversations""")
+#: Labels given to the documents in turn: aliases, names that stay, one unknown.
+RAW_LABELS = ["C++", "JS", "golang", "CSS", "html", "Python", "Kotlin"]
+SQL_RAW_LABEL = f"{RAW_LABELS!r}[doc_id % {len(RAW_LABELS)} + 1]"
+
+
+@query("normalize_labels", sql=f"""SELECT doc_id,
+  coalesce({sql_map_case(f'lower({SQL_RAW_LABEL})', LANGUAGE_ALIASES)}, lower({SQL_RAW_LABEL})) AS language FROM documents""")
 def q_normalize_labels(spark, sf):
-    c = table(spark, sf, "conversations")
-    return K.normalize_labels(c, "role", out_col="language").select("conv_id", "turn", "language")
+    raw = F.element_at(F.array(*(F.lit(x) for x in RAW_LABELS)), (F.col("doc_id") % len(RAW_LABELS) + 1).cast("int"))
+    d = table(spark, sf, "documents").select("doc_id", raw.alias("raw"))
+    return K.normalize_labels(d, "raw", out_col="language").select("doc_id", "language")
 
 
 @query("tag_map_join", sql=f"""SELECT doc_id, {sql_map_case('lang', LANG_NAMES)} AS language
@@ -179,7 +184,10 @@ def q_drop_rare_classes(spark, sf):
 @query("balance_target", sql=f"""SELECT CAST(greatest(least(min(cnt), 400), 2) AS BIGINT) AS target
 FROM (SELECT count(*) AS cnt FROM ({SQL_CLEANED_NONEMPTY}) GROUP BY language)""")
 def q_balance_target(spark, sf):
-    return K.balance_target(cleaned(spark, sf), "language", 400, 2)
+    # only the label and whether anything is left after cleaning are needed
+    d = spread(docs(spark, sf), "doc_id")
+    left = K.with_nonempty(d, C.clean_text("code"), "clean_code").select("language")
+    return K.balance_target(left, "language", 400, 2)
 
 
 @query("balance_classes", sql=f"SELECT doc_id, language FROM ({SQL_BALANCED})")
@@ -210,9 +218,10 @@ def q_encode_labels(spark, sf):
     return K.encode_labels(docs(spark, sf), "language", "label").select("doc_id", "language", "label")
 
 
-SQL_SPLIT = f"""WITH b AS ({SQL_BALANCED}),
+def sql_split(src: str, test_size: float = 0.2) -> str:
+    return f"""WITH b AS ({src}),
 counts AS (SELECT language, count(*) AS n_class FROM b GROUP BY language),
-tot AS (SELECT sum(n_class) AS n, CAST(ceil(CAST(sum(n_class) AS DOUBLE) * 0.2) AS BIGINT) AS n_test FROM counts),
+tot AS (SELECT sum(n_class) AS n, CAST(ceil(CAST(sum(n_class) AS DOUBLE) * {test_size}) AS BIGINT) AS n_test FROM counts),
 p AS (SELECT language, n_class, n, n - n_test AS n_train_total,
         (n_class * (n - n_test)) // n AS fl, (n_class * (n - n_test)) % n AS rem FROM counts, tot),
 p2 AS (SELECT *, n_train_total - sum(fl) OVER () AS short,
@@ -223,43 +232,59 @@ SELECT doc_id, ranked.language, CASE WHEN rk <= n_train THEN 'train' ELSE 'test'
 FROM ranked JOIN plan ON ranked.language = plan.language"""
 
 
-@query("stratified_split", sql=f"SELECT doc_id, language, split FROM ({SQL_SPLIT})")
+#: The split that the classifiers are fitted on (balanced documents).
+SQL_SPLIT = sql_split(SQL_BALANCED)
+SQL_SPLIT_ALL = sql_split(SQL_CLEANED_NONEMPTY)
+
+
+def sql_folds(src: str, key: str, k: int = 5) -> str:
+    """(key, language, fold) of the rows of ``src``: classes in the order of their first rows."""
+    return f"""WITH b AS ({src}),
+counts AS (SELECT language, count(*) AS n_class, min({key}) AS first FROM b GROUP BY language),
+plan AS (SELECT language, n_class, coalesce(sum(n_class) OVER (ORDER BY first ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM counts),
+ranked AS (SELECT b.{key}, b.language, row_number() OVER (PARTITION BY language ORDER BY {key}) - 1 AS r0 FROM b)
+SELECT {key}, ranked.language, {S.sql_fold_of('r0', 'start', 'n_class', k)} AS fold
+FROM ranked JOIN plan ON ranked.language = plan.language"""
+
+
+def split_all(spark, sf):
+    return S.stratified_split(cleaned(spark, sf), "language", "doc_id", 0.2, 42)
+
+
+@query("stratified_split", sql=f"SELECT doc_id, language, split FROM ({SQL_SPLIT_ALL})")
 def q_stratified_split(spark, sf):
-    return S.stratified_split(balanced_table(spark, sf), "language", "doc_id", 0.2, 42).select("doc_id", "language", "split")
+    return split_all(spark, sf).select("doc_id", "language", "split")
 
 
-@query("train_label_counts", sql=f"""SELECT language, count(*) AS count FROM ({SQL_SPLIT})
+@query("train_label_counts", sql=f"""SELECT language, count(*) AS count FROM ({SQL_SPLIT_ALL})
 WHERE split = 'train' GROUP BY language""")
 def q_train_label_counts(spark, sf):
     """A10: label counts of the training rows."""
-    sp = S.stratified_split(balanced_table(spark, sf), "language", "doc_id", 0.2, 42)
-    return K.class_distribution(sp.filter(F.col("split") == "train"), "language")
+    return K.class_distribution(split_all(spark, sf).filter(F.col("split") == "train"), "language")
 
 
 @query("split_overlap", sql=f"""SELECT count(*) AS n_shared_texts FROM (
-  SELECT DISTINCT clean_code FROM ({SQL_SPLIT}) WHERE split = 'train'
-  INTERSECT SELECT DISTINCT clean_code FROM ({SQL_SPLIT}) WHERE split = 'test')""")
+  SELECT DISTINCT clean_code FROM ({SQL_SPLIT_ALL}) WHERE split = 'train'
+  INTERSECT SELECT DISTINCT clean_code FROM ({SQL_SPLIT_ALL}) WHERE split = 'test')""")
 def q_split_overlap(spark, sf):
-    sp = S.stratified_split(balanced_table(spark, sf), "language", "doc_id", 0.2, 42)
-    return S.split_overlap(sp, "clean_code").agg(F.count(F.lit(1)).alias("n_shared_texts"))
+    return S.split_overlap(split_all(spark, sf), "clean_code").agg(F.count(F.lit(1)).alias("n_shared_texts"))
 
 
-@query("stratified_folds", sql=f"""WITH b AS ({SQL_BALANCED}),
-counts AS (SELECT language, count(*) AS n_class FROM b GROUP BY language),
-plan AS (SELECT language, n_class, coalesce(sum(n_class) OVER (ORDER BY language ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM counts),
-ranked AS (SELECT b.doc_id, b.language, row_number() OVER (PARTITION BY language ORDER BY doc_id) - 1 AS r0 FROM b)
-SELECT doc_id, ranked.language, {S.sql_fold_of('r0', 'start', 'n_class', 5)} AS fold
-FROM ranked JOIN plan ON ranked.language = plan.language""")
+@query("stratified_folds", sql=sql_folds(SQL_CLEANED_NONEMPTY, "doc_id"))
 def q_stratified_folds(spark, sf):
-    return S.stratified_folds(balanced_table(spark, sf), "language", "doc_id", 5).select("doc_id", "language", "fold")
+    return S.stratified_folds(cleaned(spark, sf), "language", "doc_id", 5).select("doc_id", "language", "fold")
 
 
-@query("stratified_folds_orders", sql=f"""WITH b AS (SELECT o_orderkey, o_orderpriority AS language FROM orders),
-counts AS (SELECT language, count(*) AS n_class FROM b GROUP BY language),
-plan AS (SELECT language, n_class, coalesce(sum(n_class) OVER (ORDER BY language ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM counts),
-ranked AS (SELECT b.o_orderkey, b.language, row_number() OVER (PARTITION BY language ORDER BY o_orderkey) - 1 AS r0 FROM b)
-SELECT o_orderkey, ranked.language, {S.sql_fold_of('r0', 'start', 'n_class', 5)} AS fold
-FROM ranked JOIN plan ON ranked.language = plan.language""")
+STRING_KEY = "'k' || CAST(c_custkey AS VARCHAR) AS k"
+
+
+@query("stratified_folds_string_key", sql=sql_folds(f"SELECT {STRING_KEY}, c_mktsegment AS language FROM customer", "k"))
+def q_stratified_folds_string_key(spark, sf):
+    c = table(spark, sf, "customer").selectExpr("concat('k', c_custkey) AS k", "c_mktsegment AS language")
+    return S.stratified_folds(c, "language", "k", 5)
+
+
+@query("stratified_folds_orders", sql=sql_folds("SELECT o_orderkey, o_orderpriority AS language FROM orders", "o_orderkey"))
 def q_stratified_folds_orders(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("language"))
     return S.stratified_folds(o, "language", "o_orderkey", 5).select("o_orderkey", "language", "fold")

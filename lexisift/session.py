@@ -70,21 +70,19 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     return out
 
 
-# Sides up to this many rows may be broadcast on a proven bound.
-BROADCAST_ROW_LIMIT = 2_000_000
+# A side with a proven row bound is broadcast up to this many bytes.
+BROADCAST_BYTES = 64 << 20
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               row_bound: int | None = None) -> DataFrame:
+               row_bound: int | None = None, row_bytes: int = 256) -> DataFrame:
     """Join ``big`` with a side expected to be small.
 
-    With a proven bound (``row_bound``, e.g. ``max_features`` or the number of
-    classes) under the limit the side is broadcast explicitly.  Without one,
-    a plain join is planned and AQE re-plans it at run time from the measured
-    size of the materialised side: broadcast when it is under
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold``, sort-merge otherwise.
-    No extra counting job runs."""
-    if row_bound is not None and row_bound <= BROADCAST_ROW_LIMIT:
+    With a proven bound (``row_bound`` rows of at most ``row_bytes``, e.g. the
+    number of classes) within ``BROADCAST_BYTES`` the side is broadcast
+    explicitly.  Without one, a plain join is planned and AQE re-plans it at
+    run time from the measured size of the materialised side."""
+    if row_bound is not None and row_bound * row_bytes <= BROADCAST_BYTES:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
 
@@ -100,20 +98,20 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     return df.repartition(cores, key) if key else df.repartition(cores)
 
 
-def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2,
-               min_partitions: int = 200) -> dict[str, str]:
-    """Session settings for a run over ``input_bytes`` of input (e.g. 100 TB
-    on a large cluster).  Scans are split at ``target_partition_bytes``; the
-    first shuffle of a stage starts with as many partitions as the input has
-    splits and AQE coalesces small ones and splits skewed ones at run time,
-    so a partition stays near the target size in executor memory."""
-    splits = max(min_partitions, -(-int(input_bytes) // target_partition_bytes))
+def scale_conf(shuffled_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2,
+               least: int = 200, most: int = 20_000) -> dict[str, str]:
+    """Session settings for a large run whose widest shuffle moves
+    ``shuffled_bytes``.  Scans split at ``target_partition_bytes``.  Shuffle
+    partitions follow the shuffled bytes, not the scan: past ``most`` of them
+    the number of shuffle blocks (map tasks times partitions) costs more than
+    larger partitions, which spill or are split by AQE; small shuffles are
+    coalesced."""
+    n = min(most, max(least, -(-int(shuffled_bytes) // target_partition_bytes)))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.shuffle.partitions": str(splits),
+        "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(splits),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),

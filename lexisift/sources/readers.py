@@ -8,11 +8,16 @@ table of that schema."""
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import join_small
+from ..functions.labels import HELLO_WORLD_TARGETS
+from ..operators import classes as K
+from . import writers as W
+
 
 SNIPPET_SCHEMA = T.StructType([T.StructField("code", T.StringType()), T.StructField("language", T.StringType())])
 REQUIRED = ("code", "language")
@@ -35,25 +40,41 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_csv_snippets(spark: SparkSession, path: str) -> DataFrame:
-    """One CSV source: header, quoted fields that may hold newlines."""
+    """One CSV source: header, quoted fields that may hold newlines.
+
+    Quoted newlines mean that Spark cannot split the file, so one large file is
+    one task; at volume use several files, JSON lines or Parquet."""
     return (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
             .option("mode", "FAILFAST").csv(path))
 
 
+#: Spark's names for input that cannot be found or read as what it should be.
+UNREADABLE = ("MALFORMED_RECORD", "PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER", "MALFORMED_CSV_RECORD",
+              "MalformedInputException", "TextParsingException", "is not a Parquet file")
+
+
+def is_unreadable(e: Exception) -> bool:
+    """The input is missing or malformed; anything else (rights, network, a
+    lost executor) is for the caller to see."""
+    return any(name in str(e) for name in UNREADABLE)
+
+
 def scan_csv_fallback(spark: SparkSession, paths: list[str], explicit: str | None = None) -> DataFrame | None:
     """The first path (explicit one first) that exists, parses and has
-    ``code`` and ``language`` wins; a parse error moves on.  ``None`` when
-    no candidate is usable (the caller falls back to another source)."""
+    ``code`` and ``language`` wins; a parse error moves on.  To know that it
+    parses, a candidate is read once in full (both columns, nothing kept).
+    ``None`` when no candidate is usable (the caller falls back)."""
     for path in ([explicit] if explicit else []) + list(paths):
         if not path or not _exists(spark, path):
             continue
         try:
             df = read_csv_snippets(spark, path)
             if has_columns(df):
-                df.limit(1).count()      # surfaces a parse error here
+                df.write.format("noop").mode("overwrite").save()
                 return df.select(F.col("code").cast("string"), F.col("language").cast("string"))
-        except Exception:  # noqa: BLE001 - a broken candidate is skipped
-            continue
+        except (PySparkException, Py4JJavaError) as e:
+            if not is_unreadable(e):
+                raise
     return None
 
 
@@ -70,24 +91,28 @@ def scan_jsonl_recursive(spark: SparkSession, directory: str, glob: str = "*.jso
 
 def scan_parquet_checked(spark: SparkSession, path: str) -> DataFrame:
     """S3 (re-aimed from a dataset hub): a local parquet export, checked for
-    the two columns and projected; an empty table on any failure."""
+    the two columns and projected; an empty table if it is missing, is no
+    Parquet or lacks a column (other errors are raised)."""
     try:
         df = spark.read.parquet(path)
-        if not has_columns(df):
-            return empty_snippets(spark)
-        return df.select(F.col("code").cast("string"), F.col("language").cast("string"))
-    except Exception:  # noqa: BLE001
+    except (PySparkException, Py4JJavaError) as e:
+        if not is_unreadable(e):
+            raise
+        return empty_snippets(spark)
+    if not has_columns(df):
         return empty_snippets(spark)
+    return df.select(F.col("code").cast("string"), F.col("language").cast("string"))
 
 
 # --- fixed values: placeholder names of the template source --------------
-PLACEHOLDERS = ["func", "Class", "param", "Struct", "Interface"]
+PLACEHOLDERS = ["func", "Class", "param", "Struct", "Interface", "Struct2"]
 DEFAULT_NAMES = {
     "func": ["greet", "process", "calculate", "transform", "handle"],
     "Class": ["User", "Product", "Order", "Item", "Data"],
     "param": ["x", "value", "data", "input", "item"],
     "Struct": ["User", "Product", "Order", "Item", "Data"],
     "Interface": ["User", "Product", "Order", "Item", "Data"],
+    "Struct2": ["Product", "Order", "Item", "Data", "User"],
 }
 
 
@@ -102,27 +127,31 @@ def fill_placeholders(template: Column, i: Column, names: dict | None = None) ->
     return out
 
 
+def is_filled(template: Column) -> Column:
+    """Every ``$`` of the template is doubled or starts a known placeholder."""
+    names = "|".join(sorted(PLACEHOLDERS, key=len, reverse=True))
+    rest = F.regexp_replace(template, rf"\$\$|\$\{{(?:{names})\}}|\$(?:{names})(?![A-Za-z0-9_])", "")
+    return ~F.contains(rest, F.lit("$"))
+
+
 def template_expand(spark: SparkSession, templates: DataFrame, n_per_class: int = 500,
                     names: dict | None = None) -> DataFrame:
     """For each language, row ``i`` of ``n_per_class`` takes template
     ``i % n_templates`` (templates ordered by ``idx``) and fills its
-    placeholders from the name lists at ``i % 5``; rows whose template still
-    has an unknown ``$placeholder`` are skipped.  ``templates``:
-    ``language, idx, template``.  Rows are generated by ``spark.range`` split
-    over all tasks and matched to templates by an equi-join."""
-    langs = templates.groupBy("language").agg(F.count(F.lit(1)).alias("n_templates"))
-    langs = langs.withColumn("lang_pos", F.row_number().over(
-        Window.orderBy("language")) - 1)
-    n_lang = langs.count()
-    ids = spark.range(n_lang * n_per_class).select(
-        (F.col("id") / n_per_class).cast("long").alias("lang_pos"), (F.col("id") % n_per_class).alias("i"))
-    rows = join_small(ids, langs, "lang_pos", "inner", row_bound=n_lang).withColumn("idx", F.col("i") % F.col("n_templates"))
-    ranked = templates.withColumn("idx", F.row_number().over(
-        Window.partitionBy("language").orderBy("idx")) - 1)
-    out = rows.join(ranked, ["language", "idx"])
-    code = fill_placeholders(F.col("template"), F.col("i"), names)
-    out = out.withColumn("code", code).filter(~F.col("code").rlike(r"\$[A-Za-z_{]"))
-    return out.select(F.regexp_replace("code", "\u0000", "\\$").alias("code"), "language")
+    placeholders from the name lists at ``i % 5``; templates with any other
+    ``$`` are skipped.  ``templates``: ``language, idx, template``.
+
+    Each template is expanded to its own row numbers, so the ranks and counts
+    are per template table row, not per generated row; the templates are the
+    source's own small list, ``n_per_class`` may be large."""
+    place = Window.partitionBy("language")
+    ranked = templates.select("language", "template", (F.row_number().over(place.orderBy("idx")) - 1).alias("at"),
+                              F.count(F.lit(1)).over(place).alias("n_templates"))
+    last = F.lit(n_per_class - 1)
+    numbers = F.when(F.col("at") <= last, F.sequence(F.col("at").cast("long"), last.cast("long"), F.col("n_templates")))
+    rows = ranked.filter(is_filled(F.col("template"))).select("language", "template", F.explode(numbers).alias("i"))
+    code = F.regexp_replace(fill_placeholders(F.col("template"), F.col("i"), names), "\u0000", "\\$")
+    return rows.select(code.alias("code"), "language")
 
 
 def explode_samples(samples: DataFrame, map_col: str = "samples") -> DataFrame:
@@ -133,14 +162,79 @@ def explode_samples(samples: DataFrame, map_col: str = "samples") -> DataFrame:
     return one.select("language", F.posexplode("codes").alias("position", "code"))
 
 
-def collect_data(spark: SparkSession, source: str, **kw) -> DataFrame:
-    """Dispatch by source name; unknown names raise ``ValueError``."""
+def collect_filled(primary: DataFrame | None, synthetic: DataFrame, classes=None, aliases=None) -> DataFrame:
+    """S5 for CSV snapshots: labels through the alias map, known classes only,
+    classes without rows filled from the synthetic source; all of that source
+    when there is no snapshot."""
+    if primary is None:
+        return synthetic
+    known = K.filter_known_classes(K.normalize_labels(primary, "language", aliases), "language", classes)
+    return K.fill_missing_classes(known, synthetic, "language", classes)
+
+
+def collect_data(spark: SparkSession, source: str, snapshot: str | None = None, **kw) -> DataFrame:
+    """Dispatch by source name; unknown names raise ``ValueError``.  With
+    ``snapshot`` the collected rows are written there as CSV, whatever the
+    source, and read back, so later steps do not collect again."""
     readers = {
         "synthetic": lambda: template_expand(spark, kw["templates"], kw.get("n_per_class", 500)),
-        "codesearchnet": lambda: scan_jsonl_recursive(spark, kw.get("directory", "data/raw/codesearchnet")),
+        "codesearchnet": lambda: _first_with_rows(
+            *([scan_parquet_checked(spark, kw["hub"])] if kw.get("hub") else []),
+            scan_jsonl_recursive(spark, kw.get("directory", "data/raw/codesearchnet"))),
         "huggingface": lambda: scan_parquet_checked(spark, kw.get("path", "data/raw/hub")),
-        "kaggle": lambda: scan_csv_fallback(spark, kw.get("paths", [])) or empty_snippets(spark),
+        "kaggle": lambda: collect_filled(scan_csv_fallback(spark, kw.get("paths", []), kw.get("explicit")),
+                                         template_expand(spark, kw["templates"], kw.get("n_per_class", 500)),
+                                         kw.get("classes"), kw.get("aliases")),
     }
     if source not in readers:
         raise ValueError(f"unknown source: {source}")
-    return readers[source]()
+    rows = readers[source]()
+    if snapshot is None:
+        return rows
+    W.write_snapshot_csv(rows, snapshot)
+    return spark.read.schema(SNIPPET_SCHEMA).option("header", True).option("multiLine", True).option("escape", '"').csv(snapshot)
+
+
+def _first_with_rows(*frames: DataFrame) -> DataFrame:
+    for df in frames[:-1]:
+        if df.limit(1).count():
+            return df
+    return frames[-1]
+
+
+def assemble_sources(spark: SparkSession, python: str | None, cpp: str | None, index: str | None, min_chars: int = 10) -> DataFrame:
+    """The three-file assembly: solutions (``python_solutions``), answers
+    (``Answer``) longer than ``min_chars`` (a missing text reads ``nan``), and the
+    first program of each hello-world language, under its class name.  A file
+    that is missing, malformed or lacks its column gives nothing and does not
+    stop the others."""
+    def one(path, make):
+        if path is None or not _exists(spark, path):
+            return empty_snippets(spark)
+        try:
+            df = read_csv_snippets(spark, path)
+            df.write.format("noop").mode("overwrite").save()
+            out = make(df)
+            return out if out is not None else empty_snippets(spark)
+        except (PySparkException, Py4JJavaError) as e:
+            if not is_unreadable(e):
+                raise
+            return empty_snippets(spark)
+
+    def texts(col, language):
+        def make(df):
+            if not has_columns(df, (col,)):
+                return None
+            part = df.select(F.coalesce(F.col(col).cast("string"), F.lit("nan")).alias("code"), F.lit(language).alias("language"))
+            return K.filter_min_length(part, "code", min_chars)
+        return make
+
+    def hello(df):
+        if not has_columns(df, ("language_name", "program")):
+            return None
+        place = df.select("language_name", F.coalesce(F.col("program").cast("string"), F.lit("nan")).alias("program"),
+                          F.monotonically_increasing_id().alias("_row"))
+        first = K.first_per_key(place, HELLO_WORLD_TARGETS, "language_name", ["program"], ["_row"], "language")
+        return first.select(F.col("program").alias("code"), "language")
+
+    return one(python, texts("python_solutions", "python")).unionByName(one(cpp, texts("Answer", "cpp"))).unionByName(one(index, hello))

@@ -3,13 +3,15 @@ JSON save/load of result tables, and MLlib model persistence."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def write_snapshot_csv(df: DataFrame, path: str) -> None:
-    """K1: header, quoted fields (newlines inside are kept), overwrite."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """K1: header, quoted fields (newlines and outer blanks are kept), overwrite."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_comparison_csv(metrics: DataFrame, path: str) -> None:
@@ -53,20 +55,16 @@ def convert_to_format(spark: SparkSession, input_dir: str, output_path: str) ->
     """The first CSV found under ``input_dir`` (paths sorted, so the
     choice is deterministic) re-written under a canonical name; columns are
     kept as they are.  ``None`` when there is no CSV."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(input_dir)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
+    try:          # names only: the content column is not read
+        found = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+                 .load(input_dir).agg(F.min("path")).first())
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
         return None
-    found = []
-    it = fs.listFiles(root, True)
-    while it.hasNext():
-        p = it.next().getPath().toString()
-        if p.endswith(".csv"):
-            found.append(p)
-    if not found:
+    if found is None or found[0] is None:
         return None
-    first = sorted(found)[0]
+    first = found[0]
     df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(first)
     write_snapshot_csv(df, output_path)
     return first

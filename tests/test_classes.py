@@ -49,26 +49,55 @@ def _md5(s):
     return hashlib.md5(s.encode()).hexdigest()
 
 
-def test_hash_rank_equals_row_number(spark):
-    df = _skewed(spark)
-    got = {r.k: r.rank for r in S.hash_rank(df, "label", "k", 9).collect()}
+@pytest.mark.parametrize("rows_per_bucket", [100_000, 7])
+def test_cut_classes_equals_row_number(spark, rows_per_bucket, monkeypatch):
+    """Segments by ranks in hash order, whole buckets and cut buckets alike."""
+    monkeypatch.setattr(S, "ROWS_PER_BUCKET", rows_per_bucket)
+    df, h = _skewed(spark), S.seeded_hash("k", 9)
+    cuts = {"hot": [0, 3, 700, 701], "c0": [300], "c1": [1, 299], "c2": []}
+    table = spark.createDataFrame(list(cuts.items()), "label string, cuts array<long>")
+    bucket = S.hash_bucket(h, S.bucket_count(2100))
+    got = {r.k: r.part for r in S.cut_classes(df, "label", bucket, [h, "k"], table, "part").collect()}
+    first = {r.k for r in S.cut_classes(df, "label", bucket, [h, "k"], table, "part", last=0).collect()}
     by = defaultdict(list)
     for r in df.collect():
         by[r.label].append((_md5(f"9:{r.k}"), r.k))
-    for label, xs in by.items():
-        for i, (_, k) in enumerate(sorted(xs), 1):
-            assert got[k] == i
+    want = {k: sum(c <= i for c in cuts[label]) for label, xs in by.items() for i, (_, k) in enumerate(sorted(xs))}
+    assert got == want and first == {k for k, v in want.items() if v == 0}
 
 
-def test_key_rank_equals_row_number(spark):
-    df = _skewed(spark)
-    got = {r.k: r.rank for r in S.key_rank(df, "label", "k", buckets=16).collect()}
+def test_hash_buckets_follow_the_hash_order(spark):
+    h = F.md5(F.col("id").cast("string"))
+    rows = spark.range(2000).select(h.alias("h"), S.hash_bucket(h, 97).alias("b")).orderBy("h").collect()
+    b = [r.b for r in rows]
+    assert b == sorted(b) and set(b) == set(range(97))
+
+
+def test_first_per_class(spark):
+    got = Counter((r.label, r.k) for r in S.first_per_class(_skewed(spark), "label", "k", 3).collect())
     by = defaultdict(list)
-    for r in df.collect():
+    for r in _skewed(spark).collect():
         by[r.label].append(r.k)
-    for label, xs in by.items():
-        for i, k in enumerate(sorted(xs), 1):
-            assert got[k] == i
+    assert got == Counter((label, k) for label, ks in by.items() for k in sorted(ks)[:3])
+
+
+def test_null_labels_raise(spark):
+    df = spark.createDataFrame([(i, "a" if i % 2 else None) for i in range(40)], "k long, label string")
+    for make in (lambda: S.balance_classes(df, "label", "k"), lambda: S.stratified_split(df, "label", "k"),
+                 lambda: S.stratified_folds(df, "label", "k"), lambda: K.encode_labels(df, "label").collect()):
+        with pytest.raises(Exception, match="null"):
+            make()
+
+
+def test_label_encoder_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "language string")
+    K.LabelEncoder.fit(df).save(str(tmp_path / "e"))
+    enc = K.LabelEncoder.load(spark, str(tmp_path / "e"))
+    out = enc.transform(df)
+    assert sorted((r.language, r.label) for r in out.collect()) == [("a", 0.0), ("a", 0.0), ("b", 1.0), ("c", 2.0)]
+    assert sorted(r.back for r in enc.inverse(out, "label", "back").collect()) == ["a", "a", "b", "c"]
+    with pytest.raises(Exception, match="unseen label zz"):
+        enc.transform(spark.createDataFrame([("zz",)], "language string")).collect()
 
 
 def test_balance_exact(spark):
@@ -105,23 +134,27 @@ def test_stratified_split_sizes(spark):
     assert len(out) == 3000 and len({r.k for r in out}) == 3000     # a partition of the rows
 
 
-def test_stratified_folds_brute_force(spark):
+def _folds(rows, k):
+    """Unshuffled stratified k-fold: classes in the order of their first rows are
+    dealt round robin, each class takes its folds as contiguous blocks."""
     import numpy as np
-    rows = [(i, ["a", "b", "c"][i % 3] if i < 100 else "a") for i in range(137)]
-    df = spark.createDataFrame(rows, "k long, label string")
+    rows = sorted(rows)
+    labels = list(dict.fromkeys(label for _, label in rows))
+    y = np.sort(np.array([labels.index(label) for _, label in rows]))
+    alloc = np.array([np.bincount(y[i::k], minlength=len(labels)) for i in range(k)])
+    out = {}
+    for c, label in enumerate(labels):
+        out.update(zip([key for key, x in rows if x == label], np.arange(k).repeat(alloc[:, c]).tolist()))
+    return out
+
+
+@pytest.mark.parametrize("text_keys", [False, True])
+def test_stratified_folds_brute_force(spark, text_keys, monkeypatch):
+    monkeypatch.setattr(S, "ROWS_PER_BUCKET", 10)
+    rows = [(f"k{i}" if text_keys else i, ["c", "a", "b"][i % 3] if i < 100 else "a") for i in range(137)]
+    df = spark.createDataFrame(rows, f"k {'string' if text_keys else 'long'}, label string")
     got = {r.k: r.fold for r in S.stratified_folds(df, "label", "k", 5).collect()}
-    # unshuffled stratified k-fold: deal label-sorted positions round robin,
-    # each class takes its folds as contiguous blocks in key order
-    labels = sorted({r[1] for r in rows})
-    y = np.array([labels.index(r[1]) for r in rows])
-    y_order = np.sort(y)
-    alloc = np.asarray([np.bincount(y_order[i::5], minlength=len(labels)) for i in range(5)])
-    expected = {}
-    for c in range(len(labels)):
-        keys = sorted(r[0] for r in rows if labels.index(r[1]) == c)
-        folds = np.arange(5).repeat(alloc[:, c])
-        expected.update(dict(zip(keys, folds.tolist())))
-    assert got == expected
+    assert got == _folds(rows, 5)
 
 
 def test_missing_and_fill(spark):
@@ -163,14 +196,7 @@ def test_fold_allotment_random_configs(spark):
     df = spark.createDataFrame(rows, "cfg int, k int, c int, r int, start long, n long")
     got = {}
     for kk in (2, 3, 5, 7):
-        part = df.filter(F.col("k") == kk).select(
-            "cfg", "c", "r", S._fold_of(F.col("r"), F.col("start"), F.col("n"), kk).alias("fold")).collect()
+        fold = F.size(F.filter(S.fold_cuts(F.col("start"), F.col("n"), kk), lambda c: c <= F.col("r")))
+        part = df.filter(F.col("k") == kk).select("cfg", "c", "r", fold.alias("fold")).collect()
         got.update({(x.cfg, x.c, x.r): x.fold for x in part})
     assert got == expected
-
-
-def test_hash_rank_max_rank(spark):
-    df = _skewed(spark)
-    full = {r.k: r.rank for r in S.hash_rank(df, "label", "k", 5, largest_class=100_000_000).collect()}
-    top = {r.k: r.rank for r in S.hash_rank(df, "label", "k", 5, largest_class=100_000_000, max_rank=7).collect()}
-    assert top == {k: v for k, v in full.items() if v <= 7}

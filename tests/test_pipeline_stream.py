@@ -41,10 +41,12 @@ def test_stream_equals_batch(spark, tmp_path):
     raw.filter("doc_id % 2 = 0").write.parquet(str(src / "a"))
     raw.filter("doc_id % 2 = 1").write.parquet(str(src / "b"))
     sink = str(tmp_path / "scored")
-    q = score_stream(spark, str(src / "*"), raw.schema, prep.tfidf, trained, sink, "NaiveBayes",
-                     text_col="text", key_col="doc_id", checkpoint=str(tmp_path / "ck"))
-    q.awaitTermination()
-    streamed = {r.doc_id: r.prediction for r in spark.read.parquet(sink).collect()}
+    for _ in range(2):                 # the second run has nothing left to score
+        q = score_stream(spark, str(src / "*"), raw.schema, prep.tfidf, trained, sink, "NaiveBayes",
+                         text_col="text", key_col="doc_id")
+        q.awaitTermination()
+    assert spark.read.parquet(f"{sink}/scores").count() == raw.count()
+    streamed = {r.doc_id: r.prediction for r in spark.read.parquet(f"{sink}/scores").collect()}
     from lexisift.functions.cleaning import clean_text
     batch_in = raw.withColumn("_text", clean_text("text"))
     arrays = prep.tfidf.sparse_arrays(batch_in, "_text", "doc_id")
@@ -60,3 +62,51 @@ def test_release_written_table(spark):
     release(t)
     import os
     assert not any(os.path.exists(f.replace("file:", "")) for f in files)
+    release(spark.range(3))            # not a written table: left alone
+
+
+def test_checkpoint_folder_is_required_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from lexisift.session import ensure_checkpoint_dir
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+def test_best_model_api_and_platt(spark, tmp_path):
+    import pytest
+    prep = preprocess(_docs(spark), n_samples_per_class=20, max_features=300)
+    tr = prep.arrays.filter("split = 'train'")
+    cfg = M.ModelConfig(models=["SVM"], svm_components=64, platt=True)
+    trained, _ = M.train_all(tr, "language", prep.tfidf.size, cfg)
+    with pytest.raises(ValueError):
+        trained.predict_best(prep.arrays)
+    with pytest.raises(ValueError):
+        trained.predict_proba(prep.arrays)
+    M.evaluate_all(trained, prep.arrays.filter("split = 'test'"))
+    old = {r.key: r.prediction for r in trained.predict_best(prep.arrays).collect()}
+    loaded = M.load_best(spark, trained.save_best(str(tmp_path)))
+    assert {r.key: r.prediction for r in loaded.predict_best(prep.arrays).collect()} == old
+    names = [r[0] for r in loaded.classes.orderBy("label_index").collect()]
+    rows = loaded.predict_proba(prep.arrays).collect()
+    assert all(abs(sum(r.probability) - 1) < 1e-9 and min(r.probability) >= 0 for r in rows)
+    agree = sum(names[max(range(len(names)), key=lambda i: r.probability[i])] == old[r.doc_id] for r in rows)
+    assert agree >= 0.9 * len(rows)
+
+
+def test_random_fourier_features_approximate_the_kernel(spark):
+    import numpy as np
+    rng = np.random.default_rng(0)
+    rows = [(i, sorted(rng.choice(50, 6, replace=False).tolist()), rng.random(6).tolist()) for i in range(12)] + [(12, [], [])]
+    df = spark.createDataFrame(rows, "k long, indices array<int>, values array<double>")
+    z = {r.k: r.features.toArray() for r in M.random_fourier_features(df, 50, 0.3, 4096, 1).collect()}
+    x = np.zeros((13, 50))
+    for k, idx, val in rows:
+        x[k, idx] = val
+    for a in range(13):
+        for b in range(13):
+            assert abs(z[a] @ z[b] - np.exp(-0.3 * ((x[a] - x[b]) ** 2).sum())) < 0.1

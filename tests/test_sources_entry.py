@@ -13,7 +13,9 @@ def test_csv_fallback_order(spark, tmp_path):
     spark.createDataFrame([("a\nb", "python")], "code string, language string").coalesce(1) \
         .write.option("header", True).option("escape", '"').csv(good)
     spark.createDataFrame([("x", "y")], "other string, cols string").write.option("header", True).csv(bad)
-    df = R.scan_csv_fallback(spark, [str(tmp_path / "missing.csv"), bad, good])
+    broken = tmp_path / "broken.csv"
+    broken.write_text("code,language\nfine,python\n" + "a,b,too,many\n")
+    df = R.scan_csv_fallback(spark, [str(tmp_path / "missing.csv"), bad, str(broken), good])
     assert [tuple(r) for r in df.collect()] == [("a\nb", "python")]
     assert R.scan_csv_fallback(spark, [str(tmp_path / "missing.csv")]) is None
 
@@ -38,12 +40,15 @@ def test_parquet_checked_and_dispatch(spark, tmp_path):
 
 def test_template_expand_and_samples(spark):
     t = spark.createDataFrame([("py", 0, "def $func($param): pass"), ("py", 1, "class $Class: $unknown"),
-                               ("sql", 0, "SELECT $$x FROM $Class")], "language string, idx int, template string")
+                               ("sql", 0, "SELECT $$x FROM $Class"), ("go", 0, "costs $5"), ("go", 1, "$"),
+                               ("rust", 0, "struct ${Struct2};")], "language string, idx int, template string")
     out = R.template_expand(spark, t, n_per_class=4).collect()
     got = sorted((r.language, r.code) for r in out)
     assert ("py", "def greet(x): pass") in got and ("py", "def calculate(data): pass") in got
     assert all("unknown" not in c for _, c in got)            # failing substitution skipped
     assert ("sql", "SELECT $x FROM User") in got and len([g for g in got if g[0] == "sql"]) == 4
+    assert sorted(c for lang, c in got if lang == "rust") == ["struct Data;", "struct Item;", "struct Order;", "struct Product;"]
+    assert not any(lang == "go" for lang, _ in got)
     s = spark.createDataFrame([({"go": ["a", "b"], "sql": ["c"]},)], "samples map<string, array<string>>")
     got = sorted(tuple(r) for r in R.explode_samples(s).collect())
     assert got == [("go", 0, "a"), ("go", 1, "b"), ("sql", 0, "c")]
@@ -77,5 +82,11 @@ def test_convert_to_format(spark, tmp_path):
 def test_scale_conf():
     from lexisift.session import scale_conf
     c = scale_conf(100 * 1024 ** 4)
-    assert c["spark.sql.shuffle.partitions"] == "409600"
+    assert int(c["spark.sql.shuffle.partitions"]) == 20_000      # bounded: blocks are map tasks x partitions
     assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_unreadable_is_told_from_other_errors(spark, tmp_path):
+    (tmp_path / "junk.parquet").write_text("no parquet")
+    assert R.scan_parquet_checked(spark, str(tmp_path / "junk.parquet")).count() == 0
+    assert not R.is_unreadable(RuntimeError("Permission denied"))

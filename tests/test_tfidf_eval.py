@@ -119,4 +119,24 @@ def test_best_model_ties_and_confusion(spark):
     wide = EV.confusion_matrix_wide(p, ["a", "b"]).orderBy("actual").collect()
     assert [(r.a, r.b) for r in wide] == [(7, 3), (1, 0)]
     txt = EV.report_text(EV.classification_report(p)).first().classification_report
-    assert "macro avg" in txt and "weighted avg" in txt and "accuracy" in txt
+    assert txt == (
+        "              precision    recall  f1-score   support\n\n"
+        "           a       0.88      0.70      0.78        10\n"
+        "           b       0.00      0.00      0.00         1\n\n"
+        "    accuracy                           0.64        11\n"
+        "   macro avg       0.44      0.35      0.39        11\n"
+        "weighted avg       0.80      0.64      0.71        11\n")
+    dense = {(r.actual, r.predicted): r["count"] for r in EV.confusion_dense(p).collect()}
+    assert dense == {("a", "a"): 7, ("a", "b"): 3, ("b", "a"): 1, ("b", "b"): 0}
+
+
+def test_empty_rows_of_the_confusion_matrix(spark):
+    p = _preds(spark, [("a", "c"), ("a", "a")])
+    got = {(r.actual, r.predicted): r.fraction for r in EV.confusion_normalized(p).collect()}
+    assert got == {("a", "a"): 0.5, ("a", "c"): 0.5, ("c", "a"): None, ("c", "c"): None}
+
+
+def test_term_counts(spark):
+    rows = [(["b", "a", "b", "c", "a", "b"],), ([],), (["x"],)]
+    got = spark.createDataFrame(rows, "t array<string>").select(TF.term_counts(F.col("t")).alias("c")).collect()
+    assert [(x.term, x.tf) for x in got[0].c] == [("a", 2), ("b", 3), ("c", 1)] and got[1].c == [] and [tuple(x) for x in got[2].c] == [("x", 1)]
