@@ -53,6 +53,18 @@ def starts_of(lengths: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
 
 
+def hash_sample(df: DataFrame, keys: list[str], n: int, total: int) -> DataFrame:
+    """The ``n`` rows of ``df`` (``total`` rows) with the smallest key hashes.
+
+    Rows far above the n-th hash cannot be among them and are dropped first (a
+    tenth and six standard deviations above its expected place are kept), so
+    the tasks together send about ``n`` rows, not ``n`` each."""
+    h = F.xxhash64(*keys)
+    share = (1.1 * n + 6 * n ** 0.5 + 10) / max(1, total)
+    some = df if share >= 1 else df.filter(h < F.lit(int(-2 ** 63 + share * 2 ** 64)))
+    return some.orderBy(h, *keys).limit(n)
+
+
 def map_texts(df: DataFrame, fn, added: str, text: str = "text", batch_rows: int | None = None) -> DataFrame:
     """``df`` without its column ``text`` and with the columns of the DDL list
     ``added``, which ``fn`` makes from each Arrow array of texts (one list or

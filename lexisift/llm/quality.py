@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, WORD_BYTES, fold, fresh, map_texts, release, written
+from .common import LOWER, WORD_BYTES, fold, fresh, hash_sample, map_texts, release, written
 
 SAMPLE = {1: 6000, 0: 6000}
 BINS = 12
@@ -115,7 +115,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     prior = (total.get(1, 0) + 1) / (sum(total.values()) + 2)
     # bounded: at most sample[0] + sample[1] ids
     picked = [(x.id, x.y) for y, n in sample.items()
-              for x in known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(n).collect()]
+              for x in hash_sample(known.filter(F.col("y") == y), ["id"], n, total.get(y, 0)).collect()]
     if not picked:
         return fit(np.zeros((0, len(FEATURES))), np.zeros(0), prior)
     ids = docs.sparkSession.createDataFrame(picked, f"id {labels.schema[id_col].dataType.simpleString()}, y int")

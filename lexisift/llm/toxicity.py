@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, fold, fresh, map_texts, release, starts_of, sum_by_document, written
+from .common import WORD_BYTES, fold, fresh, hash_sample, map_texts, release, starts_of, sum_by_document, written
 
 BUCKETS = 1 << 24
 SAMPLE = {1: 4000, 0: 8000}
@@ -136,7 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     total = {x.y: x.n for x in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     # bounded: at most sample[0] + sample[1] ids
     picked = [(x.id, x.y) for y, n in sample.items()
-              for x in known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(n).collect()]
+              for x in hash_sample(known.filter(F.col("y") == y), ["id"], n, total.get(y, 0)).collect()]
     n = sum(total.values())
     rate = (total.get(1, 0) + 0.01) / (n + 1)
     if not picked:
