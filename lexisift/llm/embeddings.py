@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, roots, starts_of, written
+from .common import components, hash_sample, roots, written
 
 COSINE = 0.98
 SAMPLE = 20_000
@@ -91,7 +91,7 @@ def linked(nodes: DataFrame, cosine: float, cell_rows: int, block: int) -> tuple
     dims = {r.dim: r.k for r in nodes.groupBy("dim").agg(F.count("*").alias("k")).collect()}
     centers = {}
     for dim, k in dims.items():
-        sample = nodes.filter(F.col("dim") == dim).orderBy(F.xxhash64("label", "vec"), "node").limit(SAMPLE).select("vec").toArrow()
+        sample = hash_sample(nodes.filter(F.col("dim") == dim), ["node"], SAMPLE, k).select("vec").toArrow()
         _, x = unit_vectors(sample["vec"].combine_chunks())
         centers[dim] = kmeans(np.array(x), min(MAX_CELLS, max(1, -(-k // cell_rows))))
     shared = spark.sparkContext.broadcast(centers)
