@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from . import q_eval, q_features, q_io, q_models, q_neural, q_runs, q_stream, q_text  # noqa: F401
 
+#: Queries that fit many full-size models; they come last.
+LONG = ("train_gbt", "train_all", "evaluate_all", "predict_proba", "manual_check", "grid_search", "cross_validate", "train_baseline")
+
 
 def flagship(spark, sf_dir):
     """Top TF-IDF terms per language: clean -> fit -> weights -> summed weight
