@@ -30,7 +30,7 @@ CASES = [
     ("<form><article><p>body</p></article><p>out</p></form>", "body\n\nout"),
     ("<div class='page with-sidebar'><p>body text</p><div class='Sidebar'><p>side</p></div></div>", "body text"),
     ("<article><p>body</p></article><section class='comments'><article><p>me too</p></article></section>", "body"),
-    ("<div class='site-header'><p>brand</p></div><div class='post-header'><h1>Title</h1></div><p>body text here</p>", "Title\n\nbody text here"),
+    ("<div class='site-header'><p>brand</p></div><div class='post-header'><h1>The long title</h1></div><p>body text here</p>", "The long title\n\nbody text here"),
     ("<p hidden>no</p><p style='display: none'>no</p><p>yes</p>", "yes"), ("<p></p><br><hr>", ""), ("</p></div>x", "x"),
 ]
 
@@ -123,7 +123,7 @@ def test_embeddings_equal_brute_force(spark, cell_rows, block):
 # ----------------------------------------------------------------- op10 --
 def test_licences_of_texts_and_directories(spark):
     files = [
-        ("a/LICENSE", "Licensed under the Apache License, Version 2.0"), ("a/b/x.py", "code only"), ("a/b/y.py", "code\nReleased under the MIT License."),
+        ("a/LICENSE", "Licensed under the Apache License, Version 2.0"), ("a/b/x.py", "code only"), ("a/b/y.py", "code and more code\n" * 20 + "Released under the MIT License."),
         ("a/b/c/COPYING.txt", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007"), ("a/b/c/d/z.py", "more code"), ("other/q.py", "none here"),
         ("other/notes.md", "licence plates are licensed by the road office and the copyright of maps is a matter of debate for many people"),
         ("x//y.txt", "long text. " * 50 + "This work is licensed under the GNU General Public License, version 3."), ("nul", None), (None, "code"), ("", ""),
