@@ -360,7 +360,7 @@ def grid_search(train_arrays: DataFrame, size: int, label_col: str = "language",
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
     cfg = cfg or ModelConfig()
     feats_base, classes = labelled_features(train_arrays, size, label_col)
-    n = feats_base.count()
+    n, last = feats_base.agg(F.count(F.lit(1)), F.max(fold_col)).first()
     gamma = gamma_scale(train_arrays, size)
     out = []
     for kernel in kernels:
@@ -371,7 +371,7 @@ def grid_search(train_arrays: DataFrame, size: int, label_col: str = "language",
         svc = LinearSVC(maxIter=cfg.svm_max_iter, standardization=False)
         ovr = OneVsRest(classifier=svc, parallelism=cfg.parallelism)
         grid = ParamGridBuilder().addGrid(svc.regParam, [1.0 / (c * n) for c in c_values]).build()
-        cv = CrossValidator(estimator=ovr, estimatorParamMaps=grid, foldCol=fold_col,
+        cv = CrossValidator(estimator=ovr, estimatorParamMaps=grid, foldCol=fold_col, numFolds=int(last) + 1,
                             evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
                             parallelism=cfg.parallelism)
         res = cv.fit(feats)
