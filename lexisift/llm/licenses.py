@@ -29,7 +29,9 @@ from .common import map_texts, release, written
 
 THRESHOLD = 0.6
 FILE_SHARE = 0.5
-LONG, BEFORE, AFTER = 60, 15, 30
+LONG = 60
+#: Words before and after a cue word in a long passage.
+WINDOWS = ((0, 7), (5, 10), (15, 30))
 BROADCAST_DIRS = 200_000
 CUES = ("licens", "licenc", "copyright", "spdx", "public domain", "permission is hereby", "redistribution and use",
         "permission to use", "creativecommons")
@@ -102,7 +104,8 @@ class Templates:
 
 
 def passages(text: str):
-    """Sentences and lines with a cue, as words; long ones as windows round each cue word."""
+    """Sentences and lines with a cue, each as a list of ways to read its words:
+    as a whole, or if it is long, as windows round a cue word."""
     low = text.lower()
     if not any(c in low for c in CUES):
         return
@@ -111,13 +114,13 @@ def passages(text: str):
             continue
         words = TOKEN.findall(part)
         if len(words) <= LONG:
-            yield words
+            yield [words]
             continue
         end = -1
         for i, w in enumerate(words):
             if w.startswith(("licens", "licenc", "copyright", "spdx", "permission", "redistribution", "domain")) and i > end:
-                end = i + AFTER // 2
-                yield words[max(0, i - BEFORE):i + AFTER]
+                end = i + WINDOWS[0][1]
+                yield [words[max(0, i - before):i + after] for before, after in WINDOWS]
 
 
 def own_licence(text: str | None, templates: Templates) -> tuple[str | None, float, float]:
@@ -125,10 +128,10 @@ def own_licence(text: str | None, templates: Templates) -> tuple[str | None, flo
     if not text:
         return None, 0.0, 0.0
     best, spoken = (0.0, None), 0
-    for words in passages(text):
-        got = templates.best(words)
+    for ways in passages(text):
+        got, size = max(((templates.best(words), len(words)) for words in ways), key=lambda x: x[0][0])
         if got[0] >= THRESHOLD:
-            spoken += len(words)
+            spoken += size
         if (-got[0], got[1] or "") < (-best[0], best[1] or ""):
             best = got
     total = len(TOKEN.findall(text.lower())) if spoken else 1
