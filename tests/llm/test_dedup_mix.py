@@ -229,3 +229,13 @@ def test_materialised_mix_has_every_copy(spark):
     n = sum(r.copies for r in mixed.collect())
     out = M.materialise(df, mixed)
     assert out.count() == n and "shard" in out.columns
+
+
+def test_hash_sample_equals_the_plain_order(spark):
+    from pyspark.sql import functions as F
+
+    from lexisift.llm.common import hash_sample
+    df = spark.range(20_000)
+    for n in (1, 50, 3000, 30_000):
+        want = [r.id for r in df.orderBy(F.xxhash64("id"), "id").limit(n).collect()]
+        assert [r.id for r in hash_sample(df, ["id"], n, 20_000).collect()] == want
