@@ -1,11 +1,19 @@
 """Licence scans: sparse TF-IDF cosine to templates, then inheritance along paths.
 
-Passages of a text that speak of rights (whole texts are searched) are compared
-with short templates of public licences by the cosine of their TF-IDF vectors;
-the best passage gives the text's own licence.  A text that is a licence file -
-by its name, or because most of its words are such passages - licenses its
-directory, and a text without a licence of its own inherits from the nearest
-ancestor directory that has one.
+Passages of a text (whole texts are searched) are compared with short templates
+of public licences by the cosine of their TF-IDF vectors; the best passage gives
+the text's own licence.  Passages are lines and sentences, or windows
+of long ones.  A match shares at least two words besides ``COMMON``
+ones with its template (one is a name, not a notice), and a reservation of
+rights yields to any licence that is found.  Only passages without a trigger
+word are skipped, which cannot match: a cosine is at most the root of the squared
+weights that passage and template share, and a template's triggers are all its
+words but ``COMMON`` ones and either one more, or those whose squared weights
+stay, with the ``COMMON`` ones', under the squared threshold.
+
+A text that is a licence file - by its name, or because most of its words are
+such passages - licenses its directory, and a text without a licence of its own
+inherits from the nearest ancestor directory that has one.
 
 Texts are only mapped, once, to narrow rows.  The path joins work on distinct
 directories: each is expanded to its ancestors, joined with the licensed
@@ -30,11 +38,12 @@ from .common import map_texts, release, written
 THRESHOLD = 0.6
 FILE_SHARE = 0.5
 LONG = 60
-#: Words before and after a cue word in a long passage.
-WINDOWS = ((0, 7), (5, 10), (15, 30))
+#: Words before and from a trigger word, of the windows over the text.
+WINDOWS = ((0, 7), (0, 10), (0, 15), (0, 25), (5, 10), (15, 30))
 BROADCAST_DIRS = 200_000
-CUES = ("licens", "licenc", "copyright", "spdx", "public domain", "permission is hereby", "redistribution and use",
-        "permission to use", "creativecommons")
+RESERVED = "Proprietary"
+COMMON = frozenset("a all and any are by for in into is of or that the this to under with without".split())
+CUT = re.compile(r"\n+|(?<=[.!?;])\s+(?=[^0-9])")
 FILE_NAME = re.compile(r"(?:^|/)(?:un)?(?:licen[sc]es?|copying|copyright)(?:[.\-_][^/]*)?$", re.I)
 TOKEN = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 
@@ -49,9 +58,12 @@ TEMPLATES = {
                 "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
     "GPL-3.0": ["licensed under the GNU General Public License, version 3", "SPDX-License-Identifier: GPL-3.0",
                 "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
-    "LGPL-2.1": ["licensed under the GNU Lesser General Public License, version 2.1", "SPDX-License-Identifier: LGPL-2.1"],
-    "LGPL-3.0": ["licensed under the GNU Lesser General Public License, version 3", "SPDX-License-Identifier: LGPL-3.0"],
-    "AGPL-3.0": ["licensed under the GNU Affero General Public License, version 3", "SPDX-License-Identifier: AGPL-3.0"],
+    "LGPL-2.1": ["licensed under the GNU Lesser General Public License, version 2.1", "SPDX-License-Identifier: LGPL-2.1",
+                 "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
+    "LGPL-3.0": ["licensed under the GNU Lesser General Public License, version 3", "SPDX-License-Identifier: LGPL-3.0",
+                 "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "AGPL-3.0": ["licensed under the GNU Affero General Public License, version 3", "SPDX-License-Identifier: AGPL-3.0",
+                 "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
     "BSD": ["Licensed under the BSD License", "Redistribution and use in source and binary forms, with or without modification, "
             "are permitted provided that the following conditions are met"],
     "ISC": ["Licensed under the ISC License", "Permission to use, copy, modify, and/or distribute this software for any purpose "
@@ -79,16 +91,21 @@ class Templates:
         df = Counter(w for _, c in rows for w in c)
         self.idf = {w: 1 + math.log(len(rows) / n) for w, n in df.items()}
         self.unseen = 1 + math.log(len(rows) + 1)
-        self.names, self.index = [name for name, _ in rows], {}
+        self.names, self.index, self.triggers = [name for name, _ in rows], {}, set()
         for k, (_, c) in enumerate(rows):
             norm = math.sqrt(sum((n * self.idf[w]) ** 2 for w, n in c.items()))
             for w, n in c.items():
                 self.index.setdefault(w, []).append((k, n * self.idf[w] / norm))
+            light = sum((c[w] * self.idf[w] / norm) ** 2 for w in c if w in COMMON)
+            for i, w in enumerate(sorted(c.keys() - COMMON, key=lambda w: (c[w] * self.idf[w], w))):
+                light += (c[w] * self.idf[w] / norm) ** 2
+                if i and light >= THRESHOLD ** 2 - 1e-9:
+                    self.triggers.add(w)
 
     def best(self, words: list[str]) -> tuple[float, str | None]:
         """Largest cosine and its licence (ties: the first name); words that no
         template has count a little, since notices stand among other words."""
-        c, dots, norm = Counter(words), {}, 0.0
+        c, dots, norm, shared = Counter(words), {}, 0.0, {}
         for w, n in c.items():
             idf = self.idf.get(w)
             if idf is None:
@@ -97,45 +114,61 @@ class Templates:
             norm += (n * idf) ** 2
             for k, v in self.index[w]:
                 dots[k] = dots.get(k, 0.0) + n * idf * v
+                if w not in COMMON:
+                    shared[k] = shared.get(k, 0) + 1
+        dots = {k: v for k, v in dots.items() if shared.get(k, 0) > 1}
         if not dots:
             return 0.0, None
         k = min(dots, key=lambda k: (-round(dots[k], 12), self.names[k]))
         return dots[k] / math.sqrt(norm), self.names[k]
 
 
-def passages(text: str):
-    """Sentences and lines with a cue, each as a list of ways to read its words:
-    as a whole, or if it is long, as windows round a cue word."""
+def passages(text: str, templates: Templates):
+    """The words of a text, and for every trigger word the passages that hold
+    it, as (start, end): its line or sentence if that is not long (else None),
+    and for a long one windows round the word."""
     low = text.lower()
-    if not any(c in low for c in CUES):
-        return
-    for part in re.split(r"\n+|(?<=[.!?;])\s+(?=[^0-9])", low):
-        if not any(c in part for c in CUES):
+    if templates.triggers.isdisjoint(TOKEN.findall(low)):
+        return [], []
+    words, ends = [], [0]
+    for part in CUT.split(low):
+        words += TOKEN.findall(part)
+        if len(words) > ends[-1]:
+            ends.append(len(words))
+    out, piece, n = [], 0, len(words)
+    for i, w in enumerate(words):
+        if w not in templates.triggers:
             continue
-        words = TOKEN.findall(part)
-        if len(words) <= LONG:
-            yield [words]
-            continue
-        end = -1
-        for i, w in enumerate(words):
-            if w.startswith(("licens", "licenc", "copyright", "spdx", "permission", "redistribution", "domain")) and i > end:
-                end = i + WINDOWS[0][1]
-                yield [words[max(0, i - before):i + after] for before, after in WINDOWS]
+        while ends[piece + 1] <= i:
+            piece += 1
+        own = (ends[piece], ends[piece + 1])
+        short = own[1] - own[0] <= LONG
+        out.append((own if short else None, [] if short else [(max(own[0], i - a), min(own[1], i + b)) for a, b in WINDOWS]))
+    return words, out
 
 
 def own_licence(text: str | None, templates: Templates) -> tuple[str | None, float, float]:
     """Best licence of a text, its cosine, and the share of the text's words in licensing passages."""
     if not text:
         return None, 0.0, 0.0
-    best, spoken = (0.0, None), 0
-    for ways in passages(text):
-        got, size = max(((templates.best(words), len(words)) for words in ways), key=lambda x: x[0][0])
-        if got[0] >= THRESHOLD:
-            spoken += size
-        if (-got[0], got[1] or "") < (-best[0], best[1] or ""):
-            best = got
-    total = len(TOKEN.findall(text.lower())) if spoken else 1
-    return (best[1] if best[0] >= THRESHOLD else None), best[0], min(1.0, spoken / max(1, total))
+    words, found = passages(text, templates)
+    best, spoken, known = (0.0, None), set(), {}
+
+    def got(span):
+        if span not in known:
+            known[span] = templates.best(words[span[0]:span[1]])
+        return known[span]
+
+    def order(x):
+        return x[0] < THRESHOLD, x[1] == RESERVED, -x[0], x[1] or ""
+
+    for own, ways in found:
+        top = min([own, *ways] if own else ways, key=lambda x: order(got(x)))
+        for span in {own, top} - {None}:
+            if got(span)[0] >= THRESHOLD:
+                spoken.update(range(*span))
+        best = min(best, got(top), key=order)
+    return (best[1] if best[0] >= THRESHOLD else None), best[0], len(spoken) / max(1, len(words))
 
 
 def scan(docs: DataFrame, path, id_col="doc_id", text_col="text", templates=None) -> DataFrame:

@@ -157,6 +157,29 @@ def test_licences_of_the_documents_equal_a_plain_search(spark):
     assert own.keys() == want.keys() and sum(own[i] == want[i] for i in own) >= 0.99 * len(own)
 
 
+def test_notices_are_found_whatever_their_words(spark):
+    t = licenses.Templates(licenses.TEMPLATES)
+    for text, want in (("All rights reserved.", "Proprietary"), ("code\nAll rights reserved.\ncode", "Proprietary"), ("Released under CC0 1.0", "CC0-1.0"),
+                       ("This work is CC BY-SA 4.0", "CC-BY-SA-4.0"), ("All human rights matter to the ISC of BSD and MIT.", None),
+                       ("All rights reserved.\nReleased under the MIT License.", "MIT")):
+        assert licenses.own_licence(text, t)[0] == want, text
+    own = {r.doc_id: r.license for r in Q.QUERIES["op10_licenses"](spark, SF).collect() if r.origin == "own"}
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        if "All rights reserved" in r.text:
+            assert own[r.doc_id] == "Proprietary"
+
+
+def test_no_passage_without_trigger_reaches_the_threshold():
+    t, r = licenses.Templates(licenses.TEMPLATES), random.Random(0)
+    rest = sorted(t.idf.keys() - t.triggers)
+    for texts in licenses.TEMPLATES.values():
+        for x in texts:
+            words = [w for w in licenses.TOKEN.findall(x.lower()) if w not in t.triggers]
+            for _ in range(20):
+                assert t.best(words)[0] < licenses.THRESHOLD
+                words = r.sample(rest, r.randrange(1, 6)) + [w for w in words if r.random() < 0.8]
+
+
 # ------------------------------------------------------------- pipeline --
 def test_pipeline_equals_its_stages(spark):
     """Every stage against the operator's own decision on the stage's input."""
