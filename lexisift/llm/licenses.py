@@ -2,8 +2,9 @@
 
 Passages of a text (whole texts are searched) are compared with short templates
 of public licences by the cosine of their TF-IDF vectors; the best passage gives
-the text's own licence.  Passages are lines and sentences, or windows
-of long ones.  A match shares at least two words besides ``COMMON``
+the text's own licence.  Passages are lines and sentences, up to three of them
+joined, and windows of the text's words whatever the line breaks, so a wrapped
+notice is read as a whole.  A match shares at least two words besides ``COMMON``
 ones with its template (one is a name, not a notice), and a reservation of
 rights yields to any licence that is found.  Only passages without a trigger
 word are skipped, which cannot match: a cosine is at most the root of the squared
@@ -126,7 +127,7 @@ class Templates:
 def passages(text: str, templates: Templates):
     """The words of a text, and for every trigger word the passages that hold
     it, as (start, end): its line or sentence if that is not long (else None),
-    and for a long one windows round the word."""
+    and the joined neighbours and windows round the word."""
     low = text.lower()
     if templates.triggers.isdisjoint(TOKEN.findall(low)):
         return [], []
@@ -142,8 +143,9 @@ def passages(text: str, templates: Templates):
         while ends[piece + 1] <= i:
             piece += 1
         own = (ends[piece], ends[piece + 1])
-        short = own[1] - own[0] <= LONG
-        out.append((own if short else None, [] if short else [(max(own[0], i - a), min(own[1], i + b)) for a, b in WINDOWS]))
+        joined = [(ends[max(0, piece - a)], ends[min(len(ends) - 1, piece + 1 + b)]) for a, b in ((1, 0), (0, 1), (1, 1), (0, 2), (2, 0))]
+        ways = [(max(0, i - a), min(n, i + b)) for a, b in WINDOWS] + [x for x in joined if x[1] - x[0] <= LONG]
+        out.append((own if own[1] - own[0] <= LONG else None, ways))
     return words, out
 
 

@@ -180,6 +180,19 @@ def test_no_passage_without_trigger_reaches_the_threshold():
                 words = r.sample(rest, r.randrange(1, 6)) + [w for w in words if r.random() < 0.8]
 
 
+def test_wrapped_notices_and_headings():
+    t = licenses.Templates(licenses.TEMPLATES)
+    for text, want in (("GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991", "GPL-2.0"), ("Licensed under the GNU General Public License,\nversion 2", "GPL-2.0"),
+                       ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1", "LGPL-2.1"), ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999", "LGPL-2.1"),
+                       ("GNU LESSER GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007", "LGPL-3.0"), ("GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007", "AGPL-3.0"),
+                       ("GNU GENERAL PUBLIC LICENSE\n\nVersion 3, 29 June 2007", "GPL-3.0"), ("Copyright 2023 Acme Corp. All rights reserved.", "Proprietary"),
+                       ("# Licensed\n# under the\n# GNU Lesser\n# General\n# Public License\n# version 2.1", "LGPL-2.1")):
+        for around in ("", "word " * 100):
+            assert licenses.own_licence(around + text + " " + around, t)[0] == want, text
+        assert licenses.own_licence(text, t)[2] >= licenses.FILE_SHARE
+    assert licenses.own_licence("Copyright 2023 Acme Corp. All rights reserved.", t)[1] > 0.9
+
+
 # ------------------------------------------------------------- pipeline --
 def test_pipeline_equals_its_stages(spark):
     """Every stage against the operator's own decision on the stage's input."""
