@@ -9,9 +9,10 @@ the logistic function of
 over the terms present, so pairs of terms add what neither weighs alone.  The
 model is fitted by numpy on a bounded sample of the labelled rows (``SAMPLE``
 per class, by hash of the id; the classes' shares in the whole label table
-weigh the sample back), on the ``TERMS`` terms most associated with the label.
-Scoring is a map over whole texts with the model as a broadcast of bounded
-size; nothing is shuffled but the labels.
+weigh the sample back), on every term of at least ``LEAST`` sampled texts: a
+term that says nothing alone may matter in a pair.  Scoring is a map over whole
+texts with the model as a broadcast, whose size follows the sample's
+vocabulary; nothing is shuffled but the labels.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from .common import WORD_BYTES, fold, fresh, hash_sample, map_texts, release, st
 
 BUCKETS = 1 << 24
 SAMPLE = {1: 4000, 0: 8000}
-TERMS = 4096
+LEAST = 3
 FACTORS = 4
 THRESHOLD = 0.3
 HELD_OUT = (4, 2)
@@ -53,7 +54,7 @@ class Model:
 
     def __init__(self, buckets: np.ndarray, bias: float, w: np.ndarray, v: np.ndarray):
         self.buckets, self.bias, self.w, self.v = buckets, bias, w, v
-        self.place, self.cache = {int(b): i for i, b in enumerate(buckets)}, {}
+        self.place, self.cache = None, {}
 
     def __getstate__(self):
         return self.buckets, self.bias, self.w, self.v
@@ -62,14 +63,16 @@ class Model:
         self.__init__(*state)
 
     def ids(self, text: str | None) -> list[int]:
+        if self.place is None:
+            self.place = {int(b): i for i, b in enumerate(self.buckets)}
         found, cache, place = set(), self.cache, self.place
         for word in words_of(text):
             got = cache.get(word)
             if got is None:
-                got = tuple(place[b] for b in terms_of(word) if b in place)
+                got = {place[b] for b in terms_of(word) if b in place}
                 if len(cache) >= CACHE:
                     cache.clear()
-                cache[word] = got
+                cache[word] = tuple(got)
             found.update(got)
         return sorted(found)
 
@@ -88,38 +91,80 @@ def logistic(x):
 
 
 def fit(buckets: np.ndarray, sets: list[np.ndarray], y: np.ndarray, weight: np.ndarray, rate: float, seed: int = 0,
-        epochs: int = 40, batch: int = 256, step: float = 0.05, decay: float = 2e-4) -> Model:
-    """Adam on the weighted log-loss; ``sets`` are each text's terms, as places in ``buckets``."""
-    bias, k = float(np.log(rate / (1 - rate))), len(buckets)
+        epochs: int = 40, batch: int = 256, step: float = 0.002, rise: float = 0.1, noise: float = 2.0, patience: int = 10) -> Model:
+    """Weighted log-loss; ``sets`` are each text's terms, as places in ``buckets``.
+
+    The linear weights are those of standardised terms, with momentum and an L1
+    penalty of ``noise`` standard deviations of a pure-chance gradient: there are
+    far more terms than texts, and most say nothing alone.  The factors learn by
+    Adam with rates of one scale, so rare terms do not run ahead.  The number of
+    epochs is the best one for every fifth text; then all texts are used."""
+    k, n = len(buckets), len(sets)
     starts = starts_of(np.array([len(s) for s in sets], np.int64))
-    flat = np.concatenate(sets).astype(np.int64) if len(sets) else np.zeros(0, np.int64)
-    w, rng = np.zeros(k), np.random.default_rng(seed)
-    v = rng.normal(0, 0.01, (k, FACTORS))
-    if k and 0 < y.sum() < len(y):
-        params = [np.array([bias]), w, v]
-        m1, m2, t = [np.zeros_like(x) for x in params], [np.zeros_like(x) for x in params], 0
-        for _ in range(epochs):
-            order = rng.permutation(len(sets))
+    flat = np.concatenate(sets) if n else np.zeros(0, np.int64)
+
+    def parts(pick):
+        idx = np.concatenate([flat[starts[i]:starts[i + 1]] for i in pick])
+        return idx, starts_of(np.diff(starts)[pick])
+
+    def descend(rows, rounds, unseen=()):
+        """The model after each epoch over ``rows``, and its loss on ``unseen``."""
+        rng = np.random.default_rng(seed)
+        bias, w, v = np.array([np.log(rate / (1 - rate))]), np.zeros(k), rng.normal(0, 0.01, (k, FACTORS))
+        share = np.zeros(k)
+        for lo in range(0, len(rows), 4096):
+            idx, begin = parts(rows[lo:lo + 4096])
+            share += np.bincount(idx, weights=np.repeat(weight[rows[lo:lo + 4096]], np.diff(begin)), minlength=k)
+        share /= weight[rows].sum()
+        many = weight[rows].sum() ** 2 / (weight[rows] ** 2).sum()
+        sd = np.sqrt(np.maximum(share * (1 - share), 1 / many))
+        least = noise * np.sqrt(rate * (1 - rate) / many)
+        speed, t = np.zeros(k), 0
+        m1, m2 = [np.zeros(1), np.zeros((k, FACTORS))], [np.zeros(1), np.zeros((k, FACTORS))]
+        for _ in range(rounds):
+            order = rng.permutation(rows)
             for lo in range(0, len(order), batch):
                 pick = order[lo:lo + batch]
-                idx = np.concatenate([flat[starts[i]:starts[i + 1]] for i in pick])
-                own = np.repeat(np.arange(len(pick)), np.diff(starts)[pick])
-                begin, t = starts_of(np.diff(starts)[pick]), t + 1
-                vi = params[2][idx]
+                idx, begin = parts(pick)
+                own, t = np.repeat(np.arange(len(pick)), np.diff(begin)), t + 1
+                vi = v[idx]
                 s = sum_by_document(vi, begin)
-                out = params[0][0] + sum_by_document(params[1][idx], begin) + 0.5 * (
-                    s ** 2 - sum_by_document(vi ** 2, begin)).sum(axis=1)
+                out = bias[0] + sum_by_document(w[idx], begin) + 0.5 * (s ** 2 - sum_by_document(vi ** 2, begin)).sum(axis=1)
                 g = (logistic(out) - y[pick]) * weight[pick] / weight[pick].sum()
                 gi = g[own]
-                grads = [np.array([g.sum()]), np.bincount(idx, weights=gi, minlength=len(w)) + decay * params[1],
-                         np.stack([np.bincount(idx, weights=gi * (s[own, f] - vi[:, f]), minlength=len(w))
-                                   for f in range(FACTORS)], axis=1) + decay * params[2]]
-                for k, grad in enumerate(grads):
-                    m1[k] = 0.9 * m1[k] + 0.1 * grad
-                    m2[k] = 0.999 * m2[k] + 0.001 * grad ** 2
-                    params[k] = params[k] - step * (m1[k] / (1 - 0.9 ** t)) / (np.sqrt(m2[k] / (1 - 0.999 ** t)) + 1e-8)
-        bias, w, v = float(params[0][0]), params[1], params[2]
-    return Model(buckets, bias, w, v)
+                speed = 0.9 * speed + 0.1 * np.bincount(idx, weights=gi, minlength=k) / sd
+                w = w * sd - rise * speed
+                w = np.sign(w) * np.maximum(np.abs(w) - rise * least, 0) / sd
+                grads = [np.array([g.sum()]), np.stack([np.bincount(idx, weights=gi * (s[own, f] - vi[:, f]), minlength=k)
+                                                        for f in range(FACTORS)], axis=1)]
+                for i, grad in enumerate(grads):
+                    m1[i] = 0.9 * m1[i] + 0.1 * grad
+                    m2[i] = 0.999 * m2[i] + 0.001 * grad ** 2
+                    size = np.sqrt(m2[i] / (1 - 0.999 ** t))
+                    move = step * (m1[i] / (1 - 0.9 ** t)) / (np.maximum(size, 0.3 * size.max()) + 1e-12)
+                    if i:
+                        v = v - move
+                    else:
+                        bias = bias - move
+            model = Model(buckets, float(bias[0]), w, v)
+            loss = 0.0
+            if len(unseen):
+                z = model.margins(*parts(unseen))
+                loss = (weight[unseen] * (np.logaddexp(0, z) - y[unseen] * z)).sum()
+            yield loss, model
+
+    model = Model(buckets, float(np.log(rate / (1 - rate))), np.zeros(k), np.zeros((k, FACTORS)))
+    if k and 0 < y.sum() < len(y):
+        mixed, best = np.random.default_rng([seed, 1]).permutation(n), (np.inf, epochs)
+        kept, unseen = np.sort(mixed[n // 5:]), np.sort(mixed[:n // 5])
+        if 0 < y[unseen].sum() < len(unseen):
+            for turn, (loss, _) in enumerate(descend(kept, epochs, unseen), 1):
+                best = min(best, (loss, turn))
+                if turn - best[1] >= patience:
+                    break
+        for _, model in descend(np.arange(n), best[1]):
+            pass
+    return model
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="toxic",
@@ -150,7 +195,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
         return [[sorted({b for w in words_of(t) for b in terms_of(w)}) for t in arr.to_pylist()]]
 
     rows = written(map_texts(texts, buckets, "terms array<int>"), "terms")
-    keep = np.array(sorted(select_terms(rows)), np.int64)
+    keep = kept_terms(rows)
     shared = spark.sparkContext.broadcast(keep)
 
     def places(batches):
@@ -165,25 +210,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(ends, at[ok].astype(np.int32))],
                                              names=["id", "y", "terms"])
 
-    # bounded: the sampled rows with at most TERMS small numbers each
+    # bounded: the sampled rows, four bytes a term
     got = rows.mapInArrow(places, rows.schema).orderBy("id").toArrow()
     release(rows)
     y = got["y"].to_numpy().astype(float)
     part = {c: max(1, (y == c).sum()) for c in (0, 1)}
     weight = np.where(y == 1, total.get(1, 0) / part[1], total.get(0, 0) / part[0])
-    return fit(keep, [np.array(x, np.int64) for x in got["terms"].to_pylist()], y, weight, rate)
-
-
-def select_terms(rows: DataFrame) -> list[int]:
-    """Buckets of the ``TERMS`` terms whose shares in both classes differ most
-    against their spread (z value), of those in at least three texts."""
-    n = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    n1, n0 = max(1, n.get(1, 0)), max(1, n.get(0, 0))
-    t = rows.select("y", F.explode("terms").alias("b")).groupBy("b").agg(F.sum("y").alias("c1"), F.count("*").alias("c")).filter("c >= 3")
-    p = F.col("c") / (n1 + n0)
-    gap = F.abs(F.col("c1") / n1 - (F.col("c") - F.col("c1")) / n0)
-    z = gap / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * (1 / n1 + 1 / n0))
-    return [r.b for r in t.select("b", z.alias("z")).orderBy(F.desc("z"), "b").limit(TERMS).collect()]
+    lists = got["terms"].combine_chunks()
+    return fit(keep, np.split(lists.flatten().to_numpy(), lists.offsets.to_numpy()[1:-1] - lists.offsets[0].as_py()) if len(y) else [], y, weight, rate)
+
+
+def kept_terms(rows: DataFrame) -> np.ndarray:
+    """Buckets of the terms in at least ``LEAST`` texts, in order."""
+    got = rows.select(F.explode("terms").alias("b")).groupBy("b").agg(F.count("*").alias("c")).filter(F.col("c") >= LEAST).select("b").toArrow()
+    return np.sort(got["b"].to_numpy().astype(np.int64))
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", held_out=HELD_OUT) -> DataFrame:

@@ -58,6 +58,21 @@ def test_factorization_machine_learns_a_pair():
     assert z[0] < 0 and z[1] < 0 and z[2] > 0
 
 
+def test_training_keeps_terms_that_matter_only_in_pairs(spark):
+    # toxic if exactly one of two words is there, so neither has a margin; thousands of other terms have one by chance
+    r = random.Random(1)
+    vocab = ["".join(r.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(2500)]
+    rows = []
+    for i in range(4000):
+        a, b = r.random() < 0.5, r.random() < 0.5
+        rows.append((i, " ".join(["zuvwx"] * a + ["qyrst"] * b + [r.choice(vocab) for _ in range(12)]), int(a != b)))
+    docs = docs_df(spark, [(i, t, "en", "s", 0) for i, t, _ in rows])
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows], LABELS)
+    want = {i: y for i, _, y in rows}
+    got = [g for g in toxicity.score(docs, labels).collect() if g.held_out]
+    assert len(got) > 900 and np.mean([(g.score >= 0.5) == want[g.doc_id] for g in got]) > 0.95
+
+
 def test_fm_margin_is_the_sum_over_pairs():
     r = np.random.default_rng(0)
     m = toxicity.Model(np.arange(6), 0.3, r.normal(size=6), r.normal(size=(6, 4)))
