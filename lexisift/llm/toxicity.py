@@ -1,8 +1,10 @@
 """Toxicity by a factorization machine over hashed terms.
 
 The terms of a text are its distinct lower-cased words and their prefixes
-(endings vary, stems carry the insult), hashed into ``BUCKETS``.  The score is
-the logistic function of
+(endings vary, stems carry the insult), hashed into ``BUCKETS``.  A word is a run
+of letters, marks and digits of any script.  A run without spaces of its own
+(Chinese, Japanese, Thai and the like) or longer than ``LONG`` characters gives
+its character n-grams at every position.  The score is the logistic function of
 
     w0 + sum_i w_i + 1/2 sum_f ((sum_i v_if)^2 - sum_i v_if^2)
 
@@ -17,7 +19,11 @@ vocabulary; nothing is shuffled but the labels.
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,22 +37,43 @@ from .common import WORD_BYTES, fold, fresh, hash_sample, map_texts, release, st
 BUCKETS = 1 << 24
 SAMPLE = {1: 4000, 0: 8000}
 LEAST = 3
+LONG = 24
 FACTORS = 4
 THRESHOLD = 0.3
 HELD_OUT = (4, 2)
 CACHE = 300_000
 
 
-def terms_of(word: bytes) -> list[int]:
-    """Buckets of a word: the whole word, and its prefixes of 3 to 7 characters."""
+#: Scripts that put no spaces between words: Thai to Tibetan, Myanmar, Khmer, kana and Han.
+UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff"
+                      "\u3400-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+
+
+def terms_of(word: bytes):
+    """Buckets of a word: the whole word, and its prefixes of 3 to 7 characters,
+    or for a long or unspaced run its n-grams of up to 7 from every position."""
     text = word.decode("utf-8", "replace")
-    out = [zlib.crc32(b"w " + word) % BUCKETS]
-    out += [zlib.crc32(f"{k} {text[:k]}".encode()) % BUCKETS for k in range(3, 8) if len(text) >= k]
-    return out
+    yield zlib.crc32(b"w " + word) % BUCKETS
+    unspaced = not word.isascii() and UNSPACED.search(text) is not None
+    for k in range(1 if unspaced else 3, 8):
+        for i in range(len(text) - k + 1 if unspaced or len(text) > LONG else min(1, max(0, len(text) - k + 1))):
+            yield zlib.crc32(f"{k} {text[i:i + k]}".encode()) % BUCKETS
+
+
+@lru_cache(1)
+def _words() -> re.Pattern:
+    """Runs of letters, digits and marks (which ``\\w`` leaves out)."""
+    marks = "".join(c for c in map(chr, range(0x300, sys.maxunicode + 1)) if unicodedata.category(c)[0] == "M")
+    return re.compile(rf"[\w{marks}]+")
 
 
 def words_of(text: str | None) -> set[bytes]:
-    return set() if text is None else set(text.lower().encode("utf-8", "replace").translate(WORD_BYTES).split())
+    if text is None:
+        return set()
+    low = text.lower()
+    if low.isascii():
+        return set(low.encode().translate(WORD_BYTES).split())
+    return {w.encode("utf-8", "replace") for w in set(_words().findall(low.replace("_", " ")))}
 
 
 class Model:
@@ -72,7 +99,8 @@ class Model:
                 got = {place[b] for b in terms_of(word) if b in place}
                 if len(cache) >= CACHE:
                     cache.clear()
-                cache[word] = tuple(got)
+                if len(word) <= 4 * LONG:
+                    cache[word] = tuple(got)
             found.update(got)
         return sorted(found)
 

@@ -73,6 +73,24 @@ def test_training_keeps_terms_that_matter_only_in_pairs(spark):
     assert len(got) > 900 and np.mean([(g.score >= 0.5) == want[g.doc_id] for g in got]) > 0.95
 
 
+def test_words_end_at_any_punctuation_and_unspaced_runs_are_read_whole(spark):
+    quoted = ("“idiot”", "«idiot»", "¿idiot?", "so—idiot—so", "é_idiot_é")
+    assert all(b"idiot" in toxicity.words_of(t) for t in quoted)
+    assert toxicity.words_of("हिन्दी x_y naïve") == {"हिन्दी".encode(), b"x", b"y", "naïve".encode()}
+    term = set(toxicity.terms_of("馬鹿".encode())) - set(toxicity.terms_of("馬".encode()))
+    assert term & set(toxicity.terms_of(("今日はとても良い天気です" * 3 + "馬鹿" + "ね").encode()))
+    assert set(toxicity.terms_of(b"idiot")) & set(toxicity.terms_of(b"x" * 40 + b"idiot" + b"x" * 40))
+    r, rows = random.Random(0), []
+    for i in range(800):
+        y, text = int(i % 4 == 0), "".join(r.choice("今日明天気良悪花山川海空雨雪春秋") for _ in range(40))
+        rows.append((i, text[:30] + "馬鹿" + text[30:] if y else text, y))
+    rows += [(i, ("kind words " if i % 4 else "“idiot” words ") + r.choice(("a", "b", "c")), int(i % 4 == 0)) for i in range(800, 1600)]
+    docs = docs_df(spark, [(i, t, "x", "s", 0) for i, t, _ in rows] + [(5000, "«idiot»", "x", "s", 0), (5001, "¡idiot!", "x", "s", 0), (5002, "kind", "x", "s", 0)])
+    got = {g.doc_id: g.predicted for g in toxicity.score(docs, spark.createDataFrame([(i, 1, y) for i, _, y in rows], LABELS)).collect()}
+    assert np.mean([got[i] == y for i, _, y in rows if fold(i, 4) == 2]) > 0.95
+    assert got[5000] == got[5001] == 1 and got[5002] == 0
+
+
 def test_fm_margin_is_the_sum_over_pairs():
     r = np.random.default_rng(0)
     m = toxicity.Model(np.arange(6), 0.3, r.normal(size=6), r.normal(size=(6, 4)))
