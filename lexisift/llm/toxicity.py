@@ -41,7 +41,8 @@ LONG = 24
 FACTORS = 4
 THRESHOLD = 0.3
 HELD_OUT = (4, 2)
-CACHE = 300_000
+CACHE = 100_000
+PART = 1 << 17                # terms scored at once
 
 
 #: Scripts that put no spaces between words: Thai to Tibetan, Myanmar, Khmer, kana and Han.
@@ -97,9 +98,9 @@ class Model:
             got = cache.get(word)
             if got is None:
                 got = {place[b] for b in terms_of(word) if b in place}
-                if len(cache) >= CACHE:
-                    cache.clear()
                 if len(word) <= 4 * LONG:
+                    if len(cache) >= CACHE:
+                        cache.clear()
                     cache[word] = tuple(got)
             found.update(got)
         return sorted(found)
@@ -109,9 +110,17 @@ class Model:
         return self.bias + sum_by_document(self.w[flat], starts) + 0.5 * pair.sum(axis=1)
 
     def scores(self, texts) -> np.ndarray:
-        ids = [self.ids(t) for t in texts]
-        flat = np.array([i for x in ids for i in x], np.int64)
-        return logistic(self.margins(flat, starts_of(np.array([len(x) for x in ids], np.int64))))
+        """A few texts at once, since each has hundreds of terms."""
+        out, held, size = [np.zeros(0)], [], 0
+        for t in texts:
+            held.append(np.array(self.ids(t), np.int32))
+            size += len(held[-1])
+            if size >= PART:
+                out.append(self.margins(np.concatenate(held), starts_of(np.array([len(x) for x in held]))))
+                held, size = [], 0
+        if held:
+            out.append(self.margins(np.concatenate(held), starts_of(np.array([len(x) for x in held]))))
+        return logistic(np.concatenate(out))
 
 
 def logistic(x):
@@ -220,7 +229,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
              .join(F.broadcast(ids), "id").groupBy("id", "y").agg(F.min("text").alias("text")))
 
     def buckets(arr):
-        return [[sorted({b for w in words_of(t) for b in terms_of(w)}) for t in arr.to_pylist()]]
+        # each text's terms as numbers of four bytes, not as Python's
+        sets = [np.unique(np.fromiter((b for w in words_of(t) for b in terms_of(w)), np.int32)) for t in arr.to_pylist()]
+        return [pa.ListArray.from_arrays(starts_of(np.array([len(x) for x in sets], np.int64)).astype(np.int32),
+                                         np.concatenate([np.zeros(0, np.int32), *sets]))]
 
     rows = written(map_texts(texts, buckets, "terms array<int>"), "terms")
     keep = kept_terms(rows)
