@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, embeddings, html_text, langid, language_model, licenses, mixing, quality, simhash, toxicity
+from . import decontaminate, embeddings, html_text, langid, language_model, licenses, mixing, quality, simhash, toxicity, whitening
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -105,6 +105,11 @@ def op10(spark, sf_dir):
     return licenses.scan(docs, path)
 
 
+@query("op13_whitening")
+def op13(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
