@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, embeddings, html_text, langid, language_model, licenses, mixing, quality, simhash, toxicity, whitening
+from . import conversations, decontaminate, embeddings, html_text, langid, language_model, licenses, lsh_search, mixing, quality, simhash, toxicity, whitening
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -105,6 +105,77 @@ def op10(spark, sf_dir):
     return licenses.scan(docs, path)
 
 
+@query("op11_nearest")
+def op11(spark, sf_dir):
+    return lsh_search.search(table(spark, sf_dir, "embeddings"))
+
+
+#: crc32 of an ASCII text, byte by byte and bit by bit.
+CRC = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split({}, ''), lambda c: ord(c)::UBIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), list_transform(range(8), lambda i: i::UBIGINT)),
+    lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END)), 4294967295::UBIGINT)"""
+
+
+def _least(*options: str) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+def _edit(cost: str, letter: str, line: str, behind: str) -> str:
+    """A value (cost, audit, output) before one edit of the value ``behind``."""
+    return f"{{'c': {behind}.c + {cost}, 'a': '{letter}' || {behind}.a, 'o': {line} || {behind}.o}}"
+
+
+def _never(value: str, test: str) -> str:
+    return f"CASE WHEN {test} THEN {value} ELSE {{'c': 1000000000::BIGINT, 'a': '~', 'o': ''}} END"
+
+
+def _row_options(state: str, kept: dict, reroled: tuple) -> str:
+    """The least value of a state when the next row is kept, reroled or deleted."""
+    line = "chr(10) || role || ':' || text"
+    keeps = [_never(_edit("late", "K", line, f"v{t}"), f"NOT gone AND initial = '{i}'") for i, t in kept.items()]
+    role, t = reroled
+    return _least(_edit("3", "D", "''", f"v{state}"), *keeps,
+                  _never(_edit("2 + late", "R", f"chr(10) || '{role}:' || text", f"v{t}"), "NOT gone"))
+
+
+def _insert(role: str, behind: str) -> str:
+    return _edit("2", "I", f"(chr(10) || '{role}:')", behind)
+
+
+@query("op12_conversations", sql=f"""
+WITH RECURSIVE fate AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {CRC.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS f FROM conversations),
+hurt AS (SELECT conv_id, turn, f, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+                CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text FROM fate WHERE f <> 0),
+twice AS (SELECT * FROM hurt UNION ALL SELECT * FROM hurt WHERE f = 3),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(role || chr(0) || text)) AS i,
+                  left(role, 1) AS initial, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+                  NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS late FROM twice),
+seen AS (SELECT *, NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+                coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au'), FALSE) AS odd FROM placed),
+told AS (SELECT conv_id, i, initial, role, text, odd, turn, blank, again, NOT blank AND NOT again AND late AS short, blank OR again AS gone FROM seen),
+sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+                count(*) FILTER (again) AS duplicate, count(*) FILTER (short) AS truncated, count(*) FILTER (odd) AS illegal, count(*) AS n
+         FROM told GROUP BY conv_id),
+walk(conv_id, i, vN, vS, vU, vA) AS (
+  SELECT conv_id, n + 1, {{'c': 0::BIGINT, 'a': '', 'o': ''}}, {{'c': 4::BIGINT, 'a': 'II', 'o': chr(10) || 'user:' || chr(10) || 'assistant:'}},
+         {{'c': 2::BIGINT, 'a': 'I', 'o': chr(10) || 'assistant:'}}, {{'c': 0::BIGINT, 'a': '', 'o': ''}} FROM sums
+  UNION ALL
+  SELECT conv_id, i, {_least("bN", _insert("user", "wU"))}, {_least("bS", _insert("user", "wU"))}, wU, {_least("bA", _insert("user", "bU"))}
+  FROM (SELECT *, {_least("bU", _insert("assistant", "bA"))} AS wU FROM (
+    SELECT r.conv_id, r.i, {_row_options("N", {"s": "S", "u": "U"}, ("user", "U"))} AS bN, {_row_options("S", {"u": "U"}, ("user", "U"))} AS bS,
+           {_row_options("U", {"a": "A"}, ("assistant", "A"))} AS bU, {_row_options("A", {"u": "U"}, ("user", "U"))} AS bA
+    FROM walk JOIN (SELECT *, short::BIGINT AS late FROM told) r ON r.conv_id IS NOT DISTINCT FROM walk.conv_id AND r.i = walk.i - 1))),
+done AS (SELECT conv_id, vN AS v FROM walk WHERE i = 1)
+SELECT k.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(v.c, 0) AS cost, coalesce(v.a, '') AS audit, sha256(coalesce(substr(v.o, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) k LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM k.conv_id
+LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM k.conv_id""")
+def op12(spark, sf_dir):
+    return conversations.repair(table(spark, sf_dir, "conversations"))
+
+
 @query("op13_whitening")
 def op13(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
