@@ -45,10 +45,15 @@ SAMPLE_ROWS = 20_000
 MOST_PROJECTIONS = 24
 WIDTH = 2.0
 #: A visit costs about as much as comparing so many rows.
-VISIT = 64
-MOST_VISITS = 1 << 14
-BLOCK = 4096
-QUERY_BLOCK = 1024
+VISIT = 1024
+MOST_VISITS = 1 << 11
+WORK_QUERIES, WORK_ROWS = 32, 4096
+#: Bytes of a block of vectors, in double precision.
+BLOCK_BYTES = 32 << 20
+
+
+def block_rows(dim: int) -> int:
+    return max(256, BLOCK_BYTES // (8 * dim))
 
 
 def matrix(lists: pa.Array, dim: int) -> np.ndarray:
@@ -69,8 +74,9 @@ def best_of(q: np.ndarray, x: np.ndarray, low: np.ndarray, top: int) -> tuple[np
     exact measure ranks those."""
     out = []
     reach = np.sqrt((x * x).sum(axis=1).max()) if len(x) else 0.0
-    for lo in range(0, len(q), 256):
-        part = q[lo:lo + 256]
+    step = max(1, (1 << 22) // max(1, len(x)))
+    for lo in range(0, len(q), step):
+        part = q[lo:lo + step]
         s = part @ x.T
         if s.shape[1] > top:
             least = np.partition(s, s.shape[1] - top, axis=1)[:, s.shape[1] - top]
@@ -167,16 +173,20 @@ def calibrate(tables: Tables, q: np.ndarray, near: list[np.ndarray], sample: np.
         return
     true = tables.rows(np.concatenate([x for x in near if len(x)]))
     found = np.min([tables.scores(unit[own], true, t) for t in range(TABLES)], axis=0)
+    # the work of some queries: cells they visit, and rows of the sample in those
+    few, some = unit[:WORK_QUERIES], rows[:WORK_ROWS]
+    gaps = [np.zeros((len(few), len(some))) for _ in range(TABLES)]
+    at = [(tables.places(few, t), np.floor(tables.places(some, t))) for t in range(TABLES)]
     chosen, least = None, np.inf
-    some = rows[:max(1, 2_000_000 // max(1, len(q) * MOST_PROJECTIONS))]
-    pair = np.repeat(np.arange(len(q)), len(some))
-    every = [tables.scores(unit[pair], np.tile(some, (len(q), 1)), t) for t in range(TABLES)]
     for k in range(1, MOST_PROJECTIONS + 1):
         tables.k, tables.reach = k, float(np.quantile(found[:, k - 1], target, method="higher"))
-        visits = [tables.visits(unit, t, MOST_VISITS) for t in range(TABLES)]
+        for t, (q_at, cell) in enumerate(at):
+            near_by = cell[None, :, k - 1] - q_at[:, k - 1, None]
+            gaps[t] += (np.maximum(0.0, np.maximum(near_by, -1 - near_by)) * tables.width[t]) ** 2
+        visits = [tables.visits(few, t, MOST_VISITS) for t in range(TABLES)]
         if any(v is None for v in visits):
             break
-        work = n * sum(float((s[:, k - 1] <= tables.reach).mean()) for s in every) + VISIT * sum(len(v[0]) for v in visits) / len(q)
+        work = n * sum(float((g <= tables.reach).mean()) for g in gaps) + VISIT * sum(len(v[0]) for v in visits) / len(few)
         if work < least:
             least, chosen = work, (k, tables.reach)
     if chosen is None:          # too many cells even along one projection: one cell holds all
@@ -320,8 +330,9 @@ def _visited(nodes: DataFrame, tables: dict, top: int) -> DataFrame:
     visits = nodes.filter("asks").select("dim", "vec", "node").mapInArrow(probe, "dim int, t int, cell long, q long")
     sizes = entries.groupBy(*key).agg(F.count("*").alias("n"))
     visits = written(visits.join(sizes, key).drop("n"), "visits")          # without those to empty cells
+    most = F.greatest(F.lit(256), F.floor(F.lit(BLOCK_BYTES) / (8 * F.col("dim"))))
     parts = written(sizes.join(visits.groupBy(*key).agg(F.count("*").alias("m")), key).select(
-        *key, F.ceil(F.col("n") / BLOCK).cast("int").alias("g"), F.ceil(F.col("m") / QUERY_BLOCK).cast("int").alias("h")), "parts")
+        *key, F.ceil(F.col("n") / most).cast("int").alias("g"), F.ceil(F.col("m") / most).cast("int").alias("h")), "parts")
     part = lambda c, g: F.pmod(F.xxhash64(c), F.col(g)).cast("int")
     upto = lambda g: F.sequence(F.lit(0), F.col(g) - 1)
     # block i of a cell's rows meets block j of its queries in the task's group (i, j)
@@ -336,7 +347,7 @@ def _visited(nodes: DataFrame, tables: dict, top: int) -> DataFrame:
 def _exhaustive(poor: DataFrame, nodes: DataFrame, counts: dict, top: int) -> DataFrame:
     """The same for queries (dim, vec, node) against all nodes, in blocks."""
     kind = nodes.schema["ids"].dataType.simpleString()
-    blocks = poor.sparkSession.createDataFrame([(d, -(-r.n // BLOCK)) for d, r in counts.items()], "dim int, g int")
+    blocks = poor.sparkSession.createDataFrame([(d, -(-r.n // block_rows(d))) for d, r in counts.items()], "dim int, g int")
     left = poor.join(F.broadcast(blocks), "dim").select(
         "dim", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("i"), F.lit(True).alias("asks"), "node", "vec", F.lit(None).cast(kind).alias("ids"))
     right = nodes.join(F.broadcast(blocks), "dim").select(
