@@ -22,7 +22,6 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
-import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -41,8 +40,7 @@ LONG = 24
 FACTORS = 4
 THRESHOLD = 0.3
 HELD_OUT = (4, 2)
-CACHE = 100_000
-PART = 1 << 17                # terms scored at once
+PART = 1 << 18                # characters scored at once
 
 
 #: Scripts that put no spaces between words: Thai to Tibetan, Myanmar, Khmer, kana and Han.
@@ -50,31 +48,108 @@ UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u30
                       "\u3400-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 
 
-def terms_of(word: bytes):
-    """Buckets of a word: the whole word, and its prefixes of 3 to 7 characters,
-    or for a long or unspaced run its n-grams of up to 7 from every position."""
-    text = word.decode("utf-8", "replace")
-    yield zlib.crc32(b"w " + word) % BUCKETS
-    unspaced = not word.isascii() and UNSPACED.search(text) is not None
-    for k in range(1 if unspaced else 3, 8):
-        for i in range(len(text) - k + 1 if unspaced or len(text) > LONG else min(1, max(0, len(text) - k + 1))):
-            yield zlib.crc32(f"{k} {text[i:i + k]}".encode()) % BUCKETS
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _bucket(h: np.ndarray, k: int) -> np.ndarray:
+    """Bucket of a hash of ``k`` characters (0: of a whole word)."""
+    with np.errstate(over="ignore"):
+        h = (h ^ (h >> np.uint64(31)) ^ np.uint64(k)) * FACTOR
+        return ((h ^ (h >> np.uint64(29))) * FACTOR >> np.uint64(64 - 24)).astype(np.int32)
+
+
+def _grams(word: str, least: int) -> np.ndarray:
+    """Buckets of a run: itself and its n-grams of up to 7 from every position."""
+    code = np.frombuffer(word.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64) + np.uint64(1)
+    with np.errstate(over="ignore"):
+        powers = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(len(code) - 1, FACTOR))])
+        out, h = [_bucket((code[::-1] * powers).sum(keepdims=True), 0)], np.zeros(len(code), np.uint64)
+        for k in range(1, min(7, len(code)) + 1):
+            h = h[:len(code) - k + 1] * FACTOR + code[k - 1:]
+            if k >= least:
+                out.append(_bucket(h, k))
+    return np.concatenate(out)
+
+
+def terms_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, starts): the terms of every word, all words at once.  A word's
+    are itself and its prefixes of 3 to 7 characters; those of a long or
+    unspaced run are its n-grams."""
+    if not words:
+        return np.zeros(0, np.int32), np.zeros(1, np.int64)
+    code = np.array(words, f"U{LONG}").view(np.uint32).reshape(len(words), LONG)
+    size = (code > 0).sum(axis=1)
+    h, parts, own = np.zeros(len(words), np.uint64), [], []
+    apart = {i for i, w in enumerate(words) if len(w) > LONG}
+    apart |= {int(i) for i in np.flatnonzero((code >= 0xE00).any(axis=1)) if UNSPACED.search(words[i])}
+    plain = np.ones(len(words), bool)
+    plain[list(apart)] = False
+    with np.errstate(over="ignore"):
+        for k in range(1, int(size.max()) + 1):
+            live = size >= k
+            h = np.where(live, h * FACTOR + (code[:, k - 1] + np.uint64(1)), h)
+            if 3 <= k <= 7:
+                at = np.flatnonzero(live & plain)
+                parts.append(_bucket(h[at], k))
+                own.append(at)
+    at = np.flatnonzero(plain)
+    parts.append(_bucket(h[at], 0))
+    own.append(at)
+    for i in sorted(apart):
+        parts.append(_grams(words[i], 1 if UNSPACED.search(words[i]) else 3))
+        own.append(np.full(len(parts[-1]), i))
+    flat, own = np.concatenate(parts), np.concatenate(own)
+    order = np.argsort(own, kind="stable")
+    return flat[order], starts_of(np.bincount(own, minlength=len(words)))
+
+
+SIMPLE = re.compile(r"[^\W_]+")
 
 
 @lru_cache(1)
-def _words() -> re.Pattern:
-    """Runs of letters, digits and marks (which ``\\w`` leaves out)."""
-    marks = "".join(c for c in map(chr, range(0x300, sys.maxunicode + 1)) if unicodedata.category(c)[0] == "M")
-    return re.compile(rf"[\w{marks}]+")
+def _marks() -> frozenset[str]:
+    """The marks, which ``\\w`` leaves out."""
+    return frozenset(c for c in map(chr, range(0x300, sys.maxunicode + 1)) if unicodedata.category(c)[0] == "M")
 
 
-def words_of(text: str | None) -> set[bytes]:
+def words_of(text: str | None) -> set[str]:
     if text is None:
         return set()
     low = text.lower()
     if low.isascii():
-        return set(low.encode().translate(WORD_BYTES).split())
-    return {w.encode("utf-8", "replace") for w in set(_words().findall(low.replace("_", " ")))}
+        return set(low.encode().translate(WORD_BYTES).decode().split())
+    used, marks = set(low), _marks()
+    if marks.isdisjoint(used):
+        return set(SIMPLE.findall(low))
+    return set(low.translate({ord(c): " " for c in used if not c.isalnum() and c not in marks}).split())
+
+
+def text_terms(texts: list[str | None], keep=lambda flat, starts: (flat, starts)) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, starts): the distinct terms of every text; a word that several
+    of them hold is hashed once, and ``keep`` may choose or renumber its terms."""
+    sets = [words_of(t) for t in texts]
+    words = pa.array([w for s in sets for w in s], pa.string()).dictionary_encode()
+    flat, starts = keep(*terms_of(words.dictionary.to_pylist()))
+    code = words.indices.to_numpy()
+    size = np.diff(starts)[code]
+    doc = np.repeat(np.repeat(np.arange(len(sets)), [len(s) for s in sets]), size)
+    at = np.arange(len(doc)) - np.repeat(starts_of(size)[:-1], size) + np.repeat(starts[:-1][code], size)
+    key = np.unique(doc * BUCKETS + flat[at])
+    return (key % BUCKETS).astype(np.int32), starts_of(np.bincount(key // BUCKETS, minlength=len(sets)))
+
+
+def in_parts(texts):
+    """Lists of texts of about ``PART`` characters, so that a few long texts are
+    not joined by many others."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t or "")
+        if size >= PART or len(held) >= 1024:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 class Model:
@@ -82,66 +157,41 @@ class Model:
 
     def __init__(self, buckets: np.ndarray, bias: float, w: np.ndarray, v: np.ndarray):
         self.buckets, self.bias, self.w, self.v = buckets, bias, w, v
-        self.place, self.cache = None, {}
-
-    def __getstate__(self):
-        return self.buckets, self.bias, self.w, self.v
-
-    def __setstate__(self, state):
-        self.__init__(*state)
-
-    def ids(self, text: str | None) -> list[int]:
-        if self.place is None:
-            self.place = {int(b): i for i, b in enumerate(self.buckets)}
-        found, cache, place = set(), self.cache, self.place
-        for word in words_of(text):
-            got = cache.get(word)
-            if got is None:
-                got = {place[b] for b in terms_of(word) if b in place}
-                if len(word) <= 4 * LONG:
-                    if len(cache) >= CACHE:
-                        cache.clear()
-                    cache[word] = tuple(got)
-            found.update(got)
-        return sorted(found)
+
+    def known(self, flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same texts' terms as places in ``buckets``, unknown ones left out."""
+        if not len(self.buckets) or not len(flat):
+            return np.zeros(0, np.int64), np.zeros(len(starts), np.int64)
+        at = np.minimum(np.searchsorted(self.buckets, flat), len(self.buckets) - 1)
+        ok = self.buckets[at] == flat
+        return at[ok], starts_of(ok)[starts]
 
     def margins(self, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
         pair = sum_by_document(self.v[flat], starts) ** 2 - sum_by_document(self.v[flat] ** 2, starts)
         return self.bias + sum_by_document(self.w[flat], starts) + 0.5 * pair.sum(axis=1)
 
     def scores(self, texts) -> np.ndarray:
-        """A few texts at once, since each has hundreds of terms."""
-        out, held, size = [np.zeros(0)], [], 0
-        for t in texts:
-            held.append(np.array(self.ids(t), np.int32))
-            size += len(held[-1])
-            if size >= PART:
-                out.append(self.margins(np.concatenate(held), starts_of(np.array([len(x) for x in held]))))
-                held, size = [], 0
-        if held:
-            out.append(self.margins(np.concatenate(held), starts_of(np.array([len(x) for x in held]))))
-        return logistic(np.concatenate(out))
+        return logistic(np.concatenate([np.zeros(0), *(self.margins(*text_terms(part, self.known)) for part in in_parts(texts))]))
 
 
 def logistic(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -500, 500)))
 
 
-def fit(buckets: np.ndarray, sets: list[np.ndarray], y: np.ndarray, weight: np.ndarray, rate: float, seed: int = 0,
+def fit(buckets: np.ndarray, flat: np.ndarray, starts: np.ndarray, y: np.ndarray, weight: np.ndarray, rate: float, seed: int = 0,
         epochs: int = 40, batch: int = 256, step: float = 0.002, rise: float = 0.1, noise: float = 2.0, patience: int = 10) -> Model:
-    """Weighted log-loss; ``sets`` are each text's terms, as places in ``buckets``.
+    """Weighted log-loss; ``flat[starts[i]:starts[i + 1]]`` are the terms of text i, as
+    places in ``buckets``.
 
     The linear weights are those of standardised terms, with momentum and an L1
     penalty of ``noise`` standard deviations of a pure-chance gradient: there are
     far more terms than texts, and most say nothing alone.  The factors learn by
     Adam with rates of one scale, so rare terms do not run ahead.  The number of
     epochs is the best one for every fifth text; then all texts are used."""
-    k, n = len(buckets), len(sets)
-    starts = starts_of(np.array([len(s) for s in sets], np.int64))
-    flat = np.concatenate(sets) if n else np.zeros(0, np.int64)
+    k, n = len(buckets), len(starts) - 1
 
     def parts(pick):
-        idx = np.concatenate([flat[starts[i]:starts[i + 1]] for i in pick])
+        idx = np.concatenate([flat[:0], *(flat[starts[i]:starts[i + 1]] for i in pick)])
         return idx, starts_of(np.diff(starts)[pick])
 
     def descend(rows, rounds, unseen=()):
@@ -149,9 +199,9 @@ def fit(buckets: np.ndarray, sets: list[np.ndarray], y: np.ndarray, weight: np.n
         rng = np.random.default_rng(seed)
         bias, w, v = np.array([np.log(rate / (1 - rate))]), np.zeros(k), rng.normal(0, 0.01, (k, FACTORS))
         share = np.zeros(k)
-        for lo in range(0, len(rows), 4096):
-            idx, begin = parts(rows[lo:lo + 4096])
-            share += np.bincount(idx, weights=np.repeat(weight[rows[lo:lo + 4096]], np.diff(begin)), minlength=k)
+        for lo in range(0, len(rows), batch):
+            idx, begin = parts(rows[lo:lo + batch])
+            share += np.bincount(idx, weights=np.repeat(weight[rows[lo:lo + batch]], np.diff(begin)), minlength=k)
         share /= weight[rows].sum()
         many = weight[rows].sum() ** 2 / (weight[rows] ** 2).sum()
         sd = np.sqrt(np.maximum(share * (1 - share), 1 / many))
@@ -185,9 +235,10 @@ def fit(buckets: np.ndarray, sets: list[np.ndarray], y: np.ndarray, weight: np.n
                         bias = bias - move
             model = Model(buckets, float(bias[0]), w, v)
             loss = 0.0
-            if len(unseen):
-                z = model.margins(*parts(unseen))
-                loss = (weight[unseen] * (np.logaddexp(0, z) - y[unseen] * z)).sum()
+            for lo in range(0, len(unseen), batch):
+                some = unseen[lo:lo + batch]
+                z = model.margins(*parts(some))
+                loss += (weight[some] * (np.logaddexp(0, z) - y[some] * z)).sum()
             yield loss, model
 
     model = Model(buckets, float(np.log(rate / (1 - rate))), np.zeros(k), np.zeros((k, FACTORS)))
@@ -222,17 +273,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     n = sum(total.values())
     rate = (total.get(1, 0) + 0.01) / (n + 1)
     if not picked:
-        return fit(np.zeros(0, np.int64), [], np.zeros(0), np.zeros(0), rate)
+        return fit(np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0), np.zeros(0), rate)
     spark = docs.sparkSession
     ids = spark.createDataFrame(picked, f"id {labels.schema[id_col].dataType.simpleString()}, y int")
     texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
              .join(F.broadcast(ids), "id").groupBy("id", "y").agg(F.min("text").alias("text")))
 
     def buckets(arr):
-        # each text's terms as numbers of four bytes, not as Python's
-        sets = [np.unique(np.fromiter((b for w in words_of(t) for b in terms_of(w)), np.int32)) for t in arr.to_pylist()]
-        return [pa.ListArray.from_arrays(starts_of(np.array([len(x) for x in sets], np.int64)).astype(np.int32),
-                                         np.concatenate([np.zeros(0, np.int32), *sets]))]
+        sizes, flats = [], [np.zeros(0, np.int32)]
+        for part in in_parts(arr.to_pylist()):
+            flat, starts = text_terms(part)
+            flats.append(flat)
+            sizes.append(np.diff(starts))
+        return [pa.ListArray.from_arrays(starts_of(np.concatenate([np.zeros(0, np.int64), *sizes])).astype(np.int32), np.concatenate(flats))]
 
     rows = written(map_texts(texts, buckets, "terms array<int>"), "terms")
     keep = kept_terms(rows)
@@ -256,8 +309,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     y = got["y"].to_numpy().astype(float)
     part = {c: max(1, (y == c).sum()) for c in (0, 1)}
     weight = np.where(y == 1, total.get(1, 0) / part[1], total.get(0, 0) / part[0])
-    lists = got["terms"].combine_chunks()
-    return fit(keep, np.split(lists.flatten().to_numpy(), lists.offsets.to_numpy()[1:-1] - lists.offsets[0].as_py()) if len(y) else [], y, weight, rate)
+    size = pc.list_value_length(got["terms"]).to_numpy().astype(np.int64)
+    flat = pc.list_flatten(got["terms"]).to_numpy()
+    del got
+    return fit(keep, flat, starts_of(size), y, weight, rate)
 
 
 def kept_terms(rows: DataFrame) -> np.ndarray:

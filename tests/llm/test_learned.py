@@ -52,7 +52,8 @@ def test_factorization_machine_learns_a_pair():
         sets.append(np.array(sorted([1] * a + [2] * b + [10 + r.randrange(3)])))
         y.append(float(a and b))
     buckets = np.unique(np.concatenate(sets))
-    m = toxicity.fit(buckets, [np.searchsorted(buckets, s) for s in sets], np.array(y), np.ones(800), 0.25, epochs=150)
+    starts = np.cumsum([0, *(len(s) for s in sets)])
+    m = toxicity.fit(buckets, np.searchsorted(buckets, np.concatenate(sets)), starts, np.array(y), np.ones(800), 0.25, epochs=150)
     at = {int(b): i for i, b in enumerate(m.buckets)}
     z = m.margins(np.array([at[1], at[2], at[1], at[2]]), np.array([0, 1, 2, 4]))
     assert z[0] < 0 and z[1] < 0 and z[2] > 0
@@ -75,11 +76,16 @@ def test_training_keeps_terms_that_matter_only_in_pairs(spark):
 
 def test_words_end_at_any_punctuation_and_unspaced_runs_are_read_whole(spark):
     quoted = ("“idiot”", "«idiot»", "¿idiot?", "so—idiot—so", "é_idiot_é")
-    assert all(b"idiot" in toxicity.words_of(t) for t in quoted)
-    assert toxicity.words_of("हिन्दी x_y naïve") == {"हिन्दी".encode(), b"x", b"y", "naïve".encode()}
-    term = set(toxicity.terms_of("馬鹿".encode())) - set(toxicity.terms_of("馬".encode()))
-    assert term & set(toxicity.terms_of(("今日はとても良い天気です" * 3 + "馬鹿" + "ね").encode()))
-    assert set(toxicity.terms_of(b"idiot")) & set(toxicity.terms_of(b"x" * 40 + b"idiot" + b"x" * 40))
+    assert all("idiot" in toxicity.words_of(t) for t in quoted)
+    assert toxicity.words_of("हिन्दी x_y naïve") == {"हिन्दी", "x", "y", "naïve"}
+    def terms(word):
+        return set(toxicity.terms_of([word])[0].tolist())
+    assert (terms("馬鹿") - terms("馬")) & terms("今日はとても良い天気です" * 3 + "馬鹿" + "ね")
+    assert terms("idiot") & terms("x" * 40 + "idiot" + "x" * 40)
+    # all words at once give the terms of each
+    words = ["idiot", "馬鹿", "a", "x" * 40 + "idiot", "naïve"]
+    flat, starts = toxicity.terms_of(words)
+    assert [set(flat[a:b].tolist()) for a, b in zip(starts, starts[1:])] == [terms(w) for w in words]
     r, rows = random.Random(0), []
     for i in range(800):
         y, text = int(i % 4 == 0), "".join(r.choice("今日明天気良悪花山川海空雨雪春秋") for _ in range(40))
