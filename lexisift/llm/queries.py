@@ -150,8 +150,8 @@ hurt AS (SELECT conv_id, turn, f, CASE WHEN f = 4 THEN 'user' ELSE role END AS r
                 CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text FROM fate WHERE f <> 0),
 twice AS (SELECT * FROM hurt UNION ALL SELECT * FROM hurt WHERE f = 3),
 placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(role || chr(0) || text)) AS i,
-                  left(role, 1) AS initial, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
-                  NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS late FROM twice),
+                  left(role, 1) AS initial, NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank,
+                  NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') AS late FROM twice),
 seen AS (SELECT *, NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
                 coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au'), FALSE) AS odd FROM placed),
 told AS (SELECT conv_id, i, initial, role, text, odd, turn, blank, again, NOT blank AND NOT again AND late AS short, blank OR again AS gone FROM seen),
