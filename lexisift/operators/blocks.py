@@ -31,6 +31,7 @@ class Block:
     label: np.ndarray | None = None
     fold: np.ndarray | None = None
     uid: np.ndarray | None = None
+    codes: tuple | None = None          # of the block's (feature, bin) pairs, once some tree needs them
 
     @property
     def n(self) -> int:

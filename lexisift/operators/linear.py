@@ -23,11 +23,13 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .blocks import Block, each
 
 CORNER = 0.1
 MEMORY = 8
+GROUPS = 48                 # parallel groups of problems over one block
 
 
 @dataclass(frozen=True)
@@ -38,6 +40,11 @@ class Problem:
     fold: int | None = None
     pair: tuple[int, int] | None = None
 
+    def rows(self, block: Block) -> np.ndarray:
+        """Which rows it trains on."""
+        use = np.ones(block.n, bool) if self.fold is None else block.fold != self.fold
+        return use & np.isin(block.label, self.pair) if self.pair else use
+
 
 def _columns(p: Problem, k: int) -> int:
     return 1 if p.pair else k
@@ -52,7 +59,7 @@ def parts_of(block: Block, problems: list[Problem], weights: list[np.ndarray], k
     slope, losses, lo = np.zeros_like(z), [], 0
     for p in problems:
         hi = lo + _columns(p, k)
-        use = np.ones(block.n, bool) if p.fold is None else block.fold != p.fold
+        use = p.rows(block)
         if p.pair is None:
             m = z[:, lo:hi]
             top = m.max(axis=1, keepdims=True)
@@ -65,7 +72,6 @@ def parts_of(block: Block, problems: list[Problem], weights: list[np.ndarray], k
             slope[:, lo:hi] = np.where(use[:, None], g, 0.0)
         else:
             y = (block.label == p.pair[0]).astype(float) - (block.label == p.pair[1])
-            use &= y != 0
             gap = 1 - y * z[:, lo]
             loss = np.where(gap >= CORNER, gap - CORNER / 2, np.where(gap > 0, gap * gap / (2 * CORNER), 0.0))
             losses.append(float(loss[use].sum()))
@@ -82,15 +88,14 @@ def row_counts(blocks: DataFrame, problems: list[Problem]) -> list[int]:
         total = np.zeros(len(problems), np.int64)
         for _, b in each(batches):
             for i, p in enumerate(problems):
-                use = np.ones(b.n, bool) if p.fold is None else b.fold != p.fold
-                total[i] += int((use & np.isin(b.label, p.pair)).sum() if p.pair else use.sum())
+                total[i] += int(p.rows(b).sum())
         yield pa.RecordBatch.from_pydict({"p": pa.array(range(len(problems)), pa.int32()), "n": pa.array(total)})
 
     got = {r.p: r.n for r in blocks.mapInArrow(run, "p int, n long").groupBy("p").sum("n").toDF("p", "n").collect()}
     return [got.get(i, 0) for i in range(len(problems))]
 
 
-def _evaluate(blocks: DataFrame, problems: list[Problem], trial: dict[int, np.ndarray], k: int, several: bool) -> dict:
+def _evaluate(blocks: DataFrame, problems: list[Problem], trial: dict[int, np.ndarray], k: int) -> dict:
     """{problem: (loss, gradient)} of the trial weights, one job."""
     sc = blocks.sparkSession.sparkContext
     ids = list(trial)
@@ -112,8 +117,8 @@ def _evaluate(blocks: DataFrame, problems: list[Problem], trial: dict[int, np.nd
 
     schema = "p int, loss double, g binary"
     out = blocks.mapInArrow(run, schema)
-    if several:                        # added up by problem in the tasks; the driver gets one gradient for each
-        out = out.groupBy("p").applyInArrow(add, schema)
+    # added up by problem in the tasks; the driver gets one gradient for each
+    out = out.groupBy("p").applyInArrow(add, schema)
     got = {r.p: (r.loss, np.frombuffer(r.g).reshape(trial[r.p].shape)) for r in out.collect()}
     shared.destroy()
     return {i: got.get(i, (0.0, np.zeros_like(trial[i]))) for i in ids}
@@ -152,9 +157,37 @@ def minimise(blocks: DataFrame, problems: list[Problem], size: int, k: int, max_
              n_blocks: int | None = None) -> tuple[list[np.ndarray], list[float]]:
     """Weights (size + 1, columns) of every problem and the largest entry of its
     gradient.  A problem stops when that is at most ``tol``, when no step lowers
-    its objective, or after ``max_iter`` steps."""
-    several = (blocks.count() if n_blocks is None else n_blocks) > 1
-    rows = row_counts(blocks, problems)
+    its objective, or after ``max_iter`` steps.
+
+    With several blocks an iteration is a job.  If one block holds all rows, its
+    sums are complete, and tasks take the problems to the end, some each."""
+    if (blocks.count() if n_blocks is None else n_blocks) > 1:
+        rows = row_counts(blocks, problems)
+        return _descend(lambda trial: _evaluate(blocks, problems, trial, k), rows, problems, size, k, max_iter, tol)
+    groups = [list(range(i, len(problems), min(GROUPS, len(problems)))) for i in range(min(GROUPS, len(problems)))]
+
+    def run(batches):
+        for head, block in each(batches):
+            ids = groups[head["group"]]
+            some = [problems[i] for i in ids]
+            rows = [int(p.rows(block).sum()) for p in some]
+
+            def here(trial):
+                losses, grads = parts_of(block, [some[i] for i in trial], [trial[i] for i in trial], k)
+                return dict(zip(trial, zip(losses, grads)))
+
+            weights, rest = _descend(here, rows, some, size, k, max_iter, tol)
+            yield pa.RecordBatch.from_pydict({"p": pa.array(ids, pa.int32()), "w": pa.array([w.tobytes() for w in weights], pa.binary()), "rest": pa.array(rest)})
+
+    tables = blocks.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(len(groups) - 1)))).repartition(len(groups), "group")
+    got = {r.p: r for r in tables.mapInArrow(run, "p int, w binary, rest double").collect()}      # the models themselves
+    none = [np.zeros((size + 1, _columns(p, k))) for p in problems]
+    return ([np.frombuffer(got[i].w).reshape(none[i].shape) if i in got else none[i] for i in range(len(problems))],
+            [got[i].rest if i in got else 0.0 for i in range(len(problems))])
+
+
+def _descend(evaluate, rows: list[int], problems: list[Problem], size: int, k: int, max_iter: int, tol: float):
+    """L-BFGS with backtracking, all problems in step."""
     state = [_State(np.zeros((size + 1, _columns(p, k)))) for p in problems]
 
     def objective(i, loss, grad, w):
@@ -163,14 +196,14 @@ def minimise(blocks: DataFrame, problems: list[Problem], size: int, k: int, max_
         g[:-1] += w[:-1] / (c * n)
         return loss / n + float((w[:-1] ** 2).sum()) / (2 * c * n), g
 
-    got = _evaluate(blocks, problems, {i: s.w for i, s in enumerate(state)}, k, several)
+    got = evaluate({i: s.w for i, s in enumerate(state)})
     for i, s in enumerate(state):
         s.f, s.g = objective(i, *got[i], s.w)
         s.done = float(np.abs(s.g).max()) <= tol
         s.aim()
     while not all(s.done for s in state):
         trial = {i: s.w + s.step * s.move for i, s in enumerate(state) if not s.done}
-        for i, (loss, grad) in _evaluate(blocks, problems, trial, k, several).items():
+        for i, (loss, grad) in evaluate(trial).items():
             s, w = state[i], trial[i]
             f, g = objective(i, loss, grad, w)
             fall = float((s.g * s.move).sum())
@@ -254,6 +287,16 @@ class Pairs:
             votes[:, j] += v <= 0
         return votes.argmax(axis=1)
 
+    def decision(self, block: Block) -> np.ndarray:
+        """Per class the pairs won, and within equal numbers the summed values."""
+        votes, total = np.zeros((block.n, self.k)), np.zeros((block.n, self.k))
+        for (i, j), v in zip(self.pairs, self.decisions(block).T):
+            votes[:, i] += v > 0
+            votes[:, j] += v <= 0
+            total[:, i] += v
+            total[:, j] -= v
+        return votes + total / (3 * (np.abs(total) + 1))
+
     def probabilities(self, block: Block) -> np.ndarray:
         if self.sigmoid is None:
             raise ValueError("fit the machines with probabilities")

@@ -4,18 +4,19 @@ table, cross-validation and grid search.
 Mapping of the reference's five models (its settings are the defaults here):
 
 * ``SVM`` - RBF kernel, C=10, gamma="scale": random Fourier features
-  (Rahimi & Recht, 2007) of the TF-IDF rows, then one-vs-rest linear SVMs
-  with ``regParam = 1/(C*n)`` (the same objective scaling as C);
+  (Rahimi & Recht, 2007) of the TF-IDF rows, then one-vs-one machines
+  (:mod:`linear`) with votes and pairwise coupled probabilities;
   ``kernel="linear"`` skips the feature map.
-* ``RandomForest`` - 200 trees, depth 20, sqrt features, seed 42
-  (``min_samples_split=5`` has no twin; ``minInstancesPerNode=2``).
+* ``RandomForest`` - 200 trees, depth 20, sqrt features, at least five rows to
+  split (:mod:`trees`).
 * ``LogisticRegression`` - multinomial, C=1 -> ``regParam=1/(C*n)``,
-  no standardisation, 1000 iterations.
-* ``GradientBoosting`` - 100 rounds, depth 5, step 0.1, one-vs-rest
-  (MLlib's GBT is binary).
-* ``NaiveBayes`` - multinomial, alpha=1.
+  no standardisation, 1000 iterations (MLlib; over folds :mod:`linear`).
+* ``GradientBoosting`` - 100 rounds, depth 5, step 0.1, joint softmax
+  (:mod:`trees`).
+* ``NaiveBayes`` - multinomial, alpha=1 (MLlib; over folds from class sums).
 
-All fitting is MLlib's distributed training; the feature map of the SVM is a
+Cross-validation and grid search fit all folds and settings of a model in one
+optimisation over the same blocks of rows.  The feature map of the SVM is a
 vectorised ``mapInPandas`` (projection matrix drawn from a seed in each task,
 never shipped from the driver).
 """
@@ -28,15 +29,15 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, LogisticRegressionModel, NaiveBayes,
-                                       NaiveBayesModel, OneVsRest, OneVsRestModel, RandomForestClassificationModel,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, NaiveBayes, NaiveBayesModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage, join_small
+from ..session import cut_lineage, join_small, release
+from . import linear, trees
+from .blockmodels import BlockModel, blocks_of, fit_folds, fit_with_probabilities, fold_hits
 from .classes import class_index
 from .evaluation import metrics
 from .tfidf import vector_table
@@ -50,10 +51,12 @@ class ModelConfig:
     svm_c: float = 10.0
     svm_kernel: str = "rbf"
     svm_components: int = 512
-    svm_max_iter: int = 100
+    svm_max_iter: int = 200
+    svm_tol: float = 1e-3
     rf_trees: int = 200
     rf_depth: int = 20
-    rf_min_instances: int = 2
+    rf_min_split: int = 5
+    rf_min_instances: int = 1
     lr_c: float = 1.0
     lr_max_iter: int = 1000
     lr_tol: float = 1e-4
@@ -136,20 +139,14 @@ def random_fourier_features(arrays: DataFrame, size: int, gamma: float, componen
 
 
 # -------------------------------------------------------------- estimators --
+BLOCK_MODELS = ("SVM", "RandomForest", "GradientBoosting")
+
+
 def estimator(name: str, cfg: ModelConfig, n_train: int):
-    if name == "SVM":
-        svc = LinearSVC(regParam=1.0 / (cfg.svm_c * n_train), maxIter=cfg.svm_max_iter, standardization=False)
-        return OneVsRest(classifier=svc, parallelism=cfg.parallelism)
-    if name == "RandomForest":
-        return RandomForestClassifier(numTrees=cfg.rf_trees, maxDepth=cfg.rf_depth,
-                                      minInstancesPerNode=cfg.rf_min_instances,
-                                      featureSubsetStrategy="sqrt", seed=cfg.seed)
+    """The MLlib estimators."""
     if name == "LogisticRegression":
         return LogisticRegression(family="multinomial", regParam=1.0 / (cfg.lr_c * n_train), elasticNetParam=0.0,
                                   standardization=False, maxIter=cfg.lr_max_iter, tol=cfg.lr_tol)
-    if name == "GradientBoosting":
-        gbt = GBTClassifier(maxIter=cfg.gbt_rounds, maxDepth=cfg.gbt_depth, stepSize=cfg.gbt_step, seed=cfg.seed)
-        return OneVsRest(classifier=gbt, parallelism=cfg.parallelism)
     if name == "NaiveBayes":
         return NaiveBayes(modelType="multinomial", smoothing=cfg.nb_alpha)
     raise ValueError(f"unknown model {name}")
@@ -165,7 +162,6 @@ class TrainedModels:
     gamma: float | None = None
     best_name: str | None = None
     n_classes: int | None = None
-    platt: dict = field(default_factory=dict)      # model -> per class (slope, intercept)
 
     def features_for(self, name: str, arrays: DataFrame) -> DataFrame:
         if name == "SVM" and self.cfg.svm_kernel == "rbf":
@@ -204,29 +200,12 @@ class TrainedModels:
         """Predictions of the best model; ``ValueError`` before evaluation."""
         return self.predict(arrays, key_col, label_col, [self._best(None)])
 
-    def fit_platt(self, train: DataFrame) -> None:
-        """Platt scaling of the models without probabilities: per class a
-        logistic regression of (label is the class) on its decision value over
-        the training rows (label DOUBLE)."""
-        for name, model in self.models.items():
-            p = model.transform(self.features_for(name, train))
-            if "probability" in p.columns:
-                continue
-            rows = cut_lineage(p.select("label", vector_to_array("rawPrediction").alias("raw")), "margins")
-            fits = []
-            for c in range(self.n_classes):
-                one = rows.select((F.col("label") == c).cast("double").alias("label"),
-                                  array_to_vector(F.array(F.get("raw", F.lit(c)))).alias("features"))
-                m = LogisticRegression(maxIter=100, standardization=False, family="binomial").fit(one)
-                fits.append((float(m.coefficients[0]), float(m.intercept)))
-            self.platt[name] = fits
-
     def predict_proba(self, arrays: DataFrame, name: str | None = None, key_col: str = "doc_id",
-                      fallback: str = "platt") -> DataFrame:
+                      fallback: str = "abs") -> DataFrame:
         """Class probabilities as an array, of the best model by default.
-        Models without a probability column (one-vs-rest) give the normalised
-        Platt probabilities of their decision values, the values' softmax
-        (``fallback="softmax"``) or their absolute values (``"abs"``)."""
+        Pairwise machines fitted without them (``ModelConfig.platt``) give the
+        absolute values of their decision values (``"abs"``) or the values'
+        softmax (``"softmax"``)."""
         name = self._best(name)
         p = self.models[name].transform(self.features_for(name, arrays))
         if "probability" in p.columns:
@@ -234,38 +213,35 @@ class TrainedModels:
         raw = vector_to_array("rawPrediction")
         if fallback == "abs":
             return p.select(key_col, F.transform(raw, lambda x: F.abs(x)).alias("probability"))
-        if fallback == "platt" and name in self.platt:
-            parts = F.array(*(1.0 / (1.0 + F.exp(-(F.lit(a) * F.get(raw, F.lit(c)) + F.lit(b))))
-                              for c, (a, b) in enumerate(self.platt[name])))
-            one = p.select(key_col, parts.alias("_p"))
-            total = F.aggregate("_p", F.lit(0.0), lambda x, y: x + y)
-            return one.withColumn("_t", total).select(key_col, F.transform("_p", lambda x: x / F.col("_t")).alias("probability"))
         from ..functions.arrays import softmax
         return p.select(key_col, softmax(raw).alias("probability"))
 
     def save_best(self, directory: str) -> str:
         """K7: ``baseline_{best}``: the MLlib model, the class table, and the
-        parameters that scoring needs (gamma, seed, sizes, Platt fits)."""
+        parameters that scoring needs (gamma, seed, sizes)."""
         name = self._best(None)
         path = f"{directory.rstrip('/')}/baseline_{name}"
-        self.models[name].write().overwrite().save(f"{path}/model")
+        spark = self.classes.sparkSession
+        if name in BLOCK_MODELS:
+            self.models[name].save(spark, f"{path}/model")
+        else:
+            self.models[name].write().overwrite().save(f"{path}/model")
         self.classes.write.mode("overwrite").parquet(f"{path}/classes")
-        state = json.dumps({"name": name, "size": self.size, "gamma": self.gamma, "platt": self.platt.get(name),
+        state = json.dumps({"name": name, "size": self.size, "gamma": self.gamma,
                             "cfg": asdict(self.cfg)})
-        self.classes.sparkSession.createDataFrame([(state,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/state")
+        spark.createDataFrame([(state,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/state")
         return path
 
 
-LOADERS = {"SVM": OneVsRestModel, "RandomForest": RandomForestClassificationModel, "LogisticRegression": LogisticRegressionModel,
-           "GradientBoosting": OneVsRestModel, "NaiveBayes": NaiveBayesModel}
+LOADERS = {"LogisticRegression": LogisticRegressionModel, "NaiveBayes": NaiveBayesModel}
 
 
 def load_best(spark, path: str) -> TrainedModels:
     """A saved best model, ready to predict."""
     state = json.loads(spark.read.text(f"{path}/state").first()[0])
     name, classes = state["name"], spark.read.parquet(f"{path}/classes")
-    return TrainedModels({name: LOADERS[name].load(f"{path}/model")}, classes, ModelConfig(**state["cfg"]), state["size"],
-                         state["gamma"], name, classes.count(), {name: state["platt"]} if state["platt"] else {})
+    model = BlockModel.load(spark, f"{path}/model") if name in BLOCK_MODELS else LOADERS[name].load(f"{path}/model")
+    return TrainedModels({name: model}, classes, ModelConfig(**state["cfg"]), state["size"], state["gamma"], name, classes.count())
 
 
 def train_all(train_arrays: DataFrame, label_col: str = "language", size: int = 0,
@@ -295,26 +271,55 @@ def evaluate_all(trained: TrainedModels, test_arrays: DataFrame, key_col: str =
 def cross_validate(arrays_with_folds: DataFrame, size: int, label_col: str = "language",
                    fold_col: str = "fold", k: int = 5, cfg: ModelConfig | None = None) -> DataFrame:
     """K-fold accuracy of every model on the given folds: ``model,
-    mean_accuracy, std_accuracy (population), scores``."""
-    cfg = cfg or ModelConfig()
-    base = with_vectors(arrays_with_folds, size)
-
-    def one(f):
-        trained_f = _fit_only(base.filter(F.col(fold_col) != f), label_col, size, cfg)
-        preds = trained_f.predict(base.filter(F.col(fold_col) == f), label_col=label_col)
-        acc = preds.groupBy("model").agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("acc"))
-        # computed here: a row per model, so the fold's features and models can go
-        return cut_lineage(acc.withColumn("fold", F.lit(f)), "fold")
+    mean_accuracy, std_accuracy (population), scores``.
 
-    rows = in_threads(one, range(k), cfg.parallelism)
+    All folds of a model are fitted together over the same blocks; the SVM's
+    Fourier features take gamma from all rows, not from each fold's."""
+    cfg = cfg or ModelConfig()
+    folds = list(range(k))
+    n, classes, tables = _block_tables(arrays_with_folds, size, label_col, fold_col, cfg, cfg.models)
+    n_classes = classes.count()
+    cuts = trees.cut_points(tables["tf-idf"][1], size) if {"RandomForest", "GradientBoosting"} & set(cfg.models) else None
+
+    def one(name):
+        own = "fourier" if name == "SVM" and cfg.svm_kernel == "rbf" else "tf-idf"
+        blocks, _, width = tables[own]
+        models = fit_folds(name, blocks, cuts, width, n_classes, folds, cfg)
+        # computed here: a row per fold, so the models can go
+        return cut_lineage(fold_hits(blocks, {name: dict(zip(folds, models))}), "fold")
+
+    rows = in_threads(one, cfg.models, cfg.parallelism)
+    for blocks, _, _ in tables.values():
+        release(blocks)
     allf = rows[0]
     for r in rows[1:]:
         allf = allf.unionByName(r)
+    allf = allf.select(F.col("name").alias("model"), "fold", (F.col("hits") / F.col("n")).alias("acc"))
     return allf.groupBy("model").agg(
         F.avg("acc").alias("mean_accuracy"), F.stddev_pop("acc").alias("std_accuracy"),
         F.transform(F.sort_array(F.collect_list(F.struct("fold", "acc"))), lambda x: x["acc"]).alias("scores"))
 
 
+def _block_tables(arrays: DataFrame, size: int, label_col: str, fold_col: str | None, cfg: ModelConfig, names, kernels=None):
+    """(rows, classes, {features: (blocks, rows, width)}) of the features that the
+    models read: TF-IDF, and Fourier features for the RBF kernel."""
+    kernels = kernels or ([cfg.svm_kernel] if "SVM" in names else [])
+    classes = cut_lineage(class_index(arrays, label_col), "classes")
+    keys = [c for c in arrays.columns if c not in ("indices", "values", "features", label_col, fold_col)]
+    rows = arrays.withColumn("_uid", F.xxhash64(*keys) if keys else F.monotonically_increasing_id()).select(
+        "_uid", "indices", "values", label_col, *([fold_col] if fold_col else []))
+    lab, _ = labelled_features(rows.withColumn("features", F.lit(None)), size, label_col, classes)
+    lab = cut_lineage(lab.select("_uid", "indices", "values", "label", *([fold_col] if fold_col else [])), "training")
+    n = lab.count()
+    tables = {}
+    if set(names) - {"SVM"} or "linear" in kernels:
+        tables["tf-idf"] = (blocks_of(lab, size, n, "_uid", "label", fold_col), lab, size)
+    if "rbf" in kernels:
+        z = random_fourier_features(lab, size, gamma_scale(lab, size), cfg.svm_components, cfg.seed)
+        tables["fourier"] = (blocks_of(z, cfg.svm_components, n, "_uid", "label", fold_col), z, cfg.svm_components)
+    return n, classes, tables
+
+
 def in_threads(fn, items, n: int) -> list:
     """``fn`` of every item, ``n`` at a time: an iterative fit is a chain of
     small jobs that leaves most of the cluster idle, so several run side by side."""
@@ -340,45 +345,58 @@ def _fit_only(train_arrays: DataFrame, label_col: str, size: int, cfg: ModelConf
     trained = TrainedModels({}, classes, cfg, size, gamma, n_classes=classes.count())
     lab = cut_lineage(right_size(lab, n_train), "training")
 
+    key = next((c for c in lab.columns if c not in ("indices", "values", "features", "label", label_col)), label_col)
+    # inner folds for the sigmoids of pairwise machines
+    inner = F.pmod(F.xxhash64(key), F.lit(5)).cast("int")
+    tree_names = {"RandomForest", "GradientBoosting"} & set(cfg.models)
+    cuts = trees.cut_points(lab, size) if tree_names else None
+    plain = blocks_of(lab, size, n_train, key) if tree_names else None
+    k = trained.n_classes
+
     def fit(name):
-        feats = trained.features_for(name, lab)
-        if name == "SVM" and cfg.svm_kernel == "rbf":
-            feats = cut_lineage(feats, "fourier")
-        return estimator(name, cfg, n_train).fit(right_size(feats, n_train))
+        if name == "SVM":
+            feats = trained.features_for(name, lab)
+            width = cfg.svm_components if cfg.svm_kernel == "rbf" else size
+            blocks = blocks_of(feats.withColumn("_inner", inner), width, n_train, key, "label", "_inner")
+            model = fit_with_probabilities(blocks, width, k, cfg) if cfg.platt else fit_folds(name, blocks, None, width, k, [None], cfg)[0]
+            release(blocks)
+            return BlockModel(model, width, k)
+        if name in BLOCK_MODELS:
+            return BlockModel(fit_folds(name, plain, cuts, size, k, [None], cfg)[0], size, k)
+        return estimator(name, cfg, n_train).fit(right_size(lab, n_train))
 
     trained.models = dict(zip(cfg.models, in_threads(fit, cfg.models, cfg.parallelism)))
-    if cfg.platt:
-        trained.fit_platt(lab)
+    if plain is not None:
+        release(plain)
     return trained
 
 
 def grid_search(train_arrays: DataFrame, size: int, label_col: str = "language", fold_col: str = "fold",
                 c_values=(0.1, 1.0, 10.0), kernels=("linear", "rbf"), cfg: ModelConfig | None = None) -> DataFrame:
-    """SVM over C x kernel with k-fold accuracy on ``fold_col``
-    (MLlib ``CrossValidator`` with a fold column, one grid per kernel)."""
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    """SVM over C x kernel with k-fold accuracy on ``fold_col``: ``kernel, C,
+    mean_accuracy``.  All C, folds and class pairs of a kernel are one
+    optimisation, and one pass scores the held-out rows of all of them."""
     cfg = cfg or ModelConfig()
-    feats_base, classes = labelled_features(train_arrays, size, label_col)
-    n, last = feats_base.agg(F.count(F.lit(1)), F.max(fold_col)).first()
-    gamma = gamma_scale(train_arrays, size)
-    out = []
-    for kernel in kernels:
-        tm = TrainedModels({}, classes, ModelConfig(svm_kernel=kernel, svm_components=cfg.svm_components,
-                                                     seed=cfg.seed), size, gamma)
-        feats = right_size(tm.features_for("SVM", feats_base), n).withColumn(fold_col, F.col(fold_col).cast("int"))
-        feats = cut_lineage(feats, "grid")
-        svc = LinearSVC(maxIter=cfg.svm_max_iter, standardization=False)
-        ovr = OneVsRest(classifier=svc, parallelism=cfg.parallelism)
-        grid = ParamGridBuilder().addGrid(svc.regParam, [1.0 / (c * n) for c in c_values]).build()
-        cv = CrossValidator(estimator=ovr, estimatorParamMaps=grid, foldCol=fold_col, numFolds=int(last) + 1,
-                            evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
-                            parallelism=cfg.parallelism)
-        res = cv.fit(feats)
-        for c, score in zip(c_values, res.avgMetrics):
-            out.append((kernel, float(c), float(score)))
-    spark = train_arrays.sparkSession
-    return spark.createDataFrame(out, "kernel string, C double, mean_accuracy double")
+    last = train_arrays.agg(F.max(fold_col)).first()[0]
+    folds = list(range(int(last) + 1))
+    _, classes, tables = _block_tables(train_arrays, size, label_col, fold_col, cfg, ["SVM"], kernels)
+    n_classes = classes.count()
+
+    def one(kernel):
+        blocks, _, width = tables["fourier" if kernel == "rbf" else "tf-idf"]
+        settings = [(c, f) for c in c_values for f in folds]
+        models = dict(zip(settings, linear.fit_pairs(blocks, width, n_classes, settings, cfg.svm_max_iter, cfg.svm_tol)))
+        hits = fold_hits(blocks, {str(float(c)): {f: models[c, f] for f in folds} for c in c_values})
+        return cut_lineage(hits.groupBy("name").agg(F.avg(F.col("hits") / F.col("n")).alias("mean_accuracy")).select(
+            F.lit(kernel).alias("kernel"), F.col("name").cast("double").alias("C"), "mean_accuracy"), "grid")
+
+    parts = in_threads(one, kernels, cfg.parallelism)
+    for blocks, _, _ in tables.values():
+        release(blocks)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def logistic_residual(trained: TrainedModels, arrays: DataFrame, label_col: str = "language") -> float:
