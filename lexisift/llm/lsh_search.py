@@ -99,7 +99,7 @@ class Tables:
 
     def __init__(self, dim: int, most: float, seed: int = 0):
         rng = np.random.default_rng([seed, dim])
-        self.dim, self.most, self.k, self.reach = dim, most, 1, np.inf
+        self.dim, self.most, self.k, self.reach = dim, most, 1, 0.0
         self.directions = rng.normal(size=(TABLES, dim + 1, MOST_PROJECTIONS))
         self.shifts = rng.uniform(size=(TABLES, MOST_PROJECTIONS))
         self.width = np.ones(TABLES)
