@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def _cells(pred: DataFrame, model_col="model", label_col="label", pred_col="prediction") -> DataFrame:
     return (pred.groupBy(model_col, label_col, pred_col).agg(F.count(F.lit(1)).alias("count"))
@@ -38,15 +40,12 @@ def confusion_matrix_wide(pred: DataFrame, classes: list[str], model_col="model"
 def per_class(pred: DataFrame, model_col="model", label_col="label", pred_col="prediction") -> DataFrame:
     """Per model and class: ``tp, n_pred, support, precision, recall, f1``."""
     cells = _cells(pred, model_col, label_col, pred_col)
-    as_true = cells.groupBy("model", F.col("actual").alias("class")).agg(
-        F.sum("count").alias("support"),
-        F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(0)).alias("tp"))
-    as_pred = cells.groupBy("model", F.col("predicted").alias("class")).agg(F.sum("count").alias("n_pred"))
-    j = as_true.join(as_pred, ["model", "class"], "full_outer")
-    j = j.select("model", "class",
-                 F.coalesce("tp", F.lit(0)).cast("long").alias("tp"),
-                 F.coalesce("n_pred", F.lit(0)).cast("long").alias("n_pred"),
-                 F.coalesce("support", F.lit(0)).cast("long").alias("support"))
+    # a cell counts for its true and for its predicted class: one aggregate gives both
+    n, hit = F.col("count"), F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(0)
+    roles = F.array(F.struct(F.col("actual").alias("class"), n.alias("support"), hit.alias("tp"), F.lit(0).cast("long").alias("n_pred")),
+                    F.struct(F.col("predicted").alias("class"), F.lit(0).cast("long").alias("support"), F.lit(0).cast("long").alias("tp"), n.alias("n_pred")))
+    j = cells.select("model", F.explode(roles).alias("r")).groupBy("model", F.col("r.class").alias("class")).agg(
+        *(F.sum(f"r.{c}").alias(c) for c in ("tp", "n_pred", "support")))
     p = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("n_pred")), F.lit(0.0))
     r = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
     j = j.withColumn("precision", p).withColumn("recall", r)
@@ -82,24 +81,20 @@ def classification_report(pred: DataFrame, **kw) -> DataFrame:
     """Per-class rows, then ``accuracy``, ``macro avg``, ``weighted avg``
     (``row_order`` keeps the printed order)."""
     pc = per_class(pred, **kw)
-    per = pc.select("model", F.col("class").alias("row"), "precision", "recall", "f1", "support",
-                    F.lit(0).alias("row_order"))
+    row = lambda name, p, r, f, n, order: F.struct(
+        name.alias("row"), p.alias("precision"), r.alias("recall"), f.alias("f1"), n.alias("support"), F.lit(order).alias("row_order"))
+    nul, col, lit = F.lit(None).cast("double"), F.col, F.lit
+    weighted = lambda c: (F.sum(col(c) * col("support")) / F.sum("support"))
+    # the class rows and the totals of a model leave one aggregate together (k + 3 rows)
     tot = pc.groupBy("model").agg(
+        F.collect_list(row(col("class"), col("precision"), col("recall"), col("f1"), col("support"), 0)).alias("per"),
         F.sum("tp").alias("tp"), F.sum("support").alias("n"),
         F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-        (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("wp"),
-        (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("wr"),
-        (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("wf"))
-    nul = F.lit(None).cast("double")
-    acc = tot.select("model", F.lit("accuracy").alias("row"), nul.alias("precision"), nul.alias("recall"),
-                     (F.col("tp") / F.col("n")).alias("f1"), F.col("n").alias("support"), F.lit(1).alias("row_order"))
-    mac = tot.select("model", F.lit("macro avg").alias("row"), F.col("mp").alias("precision"),
-                     F.col("mr").alias("recall"), F.col("mf").alias("f1"), F.col("n").alias("support"),
-                     F.lit(2).alias("row_order"))
-    wei = tot.select("model", F.lit("weighted avg").alias("row"), F.col("wp").alias("precision"),
-                     F.col("wr").alias("recall"), F.col("wf").alias("f1"), F.col("n").alias("support"),
-                     F.lit(3).alias("row_order"))
-    return per.unionByName(acc).unionByName(mac).unionByName(wei)
+        weighted("precision").alias("wp"), weighted("recall").alias("wr"), weighted("f1").alias("wf"))
+    totals = F.array(row(lit("accuracy"), nul, nul, col("tp") / col("n"), col("n"), 1),
+                     row(lit("macro avg"), col("mp"), col("mr"), col("mf"), col("n"), 2),
+                     row(lit("weighted avg"), col("wp"), col("wr"), col("wf"), col("n"), 3))
+    return tot.select("model", F.explode(F.concat("per", totals)).alias("r")).select("model", "r.*")
 
 
 def report_text(report: DataFrame) -> DataFrame:
@@ -121,8 +116,9 @@ def report_text(report: DataFrame) -> DataFrame:
 
 def confusion_dense(pred: DataFrame, **kw) -> DataFrame:
     """E7 (long form, every cell): the k x k cells of each model's classes (true
-    or predicted), zeros filled."""
-    cells = _cells(pred, **kw)
+    or predicted), zeros filled.  The counted cells are written once (k x k rows
+    at most), so the predictions are read once."""
+    cells = cut_lineage(_cells(pred, **kw), "cells")
     names = cells.select("model", F.col("actual").alias("class")).union(cells.select("model", "predicted")).distinct()
     grid = names.withColumnRenamed("class", "actual").join(names.withColumnRenamed("class", "predicted"), "model")
     return grid.join(cells, ["model", "actual", "predicted"], "left").withColumn("count", F.coalesce("count", F.lit(0)))

@@ -56,22 +56,23 @@ def q_collect_synthetic(spark, sf):
     return rows.join(F.broadcast(d.agg(F.count("*").alias("n_documents"))))
 
 
-@query("assemble_sources", sql="""WITH n AS (SELECT coalesce(CASE WHEN doc_id % 7 = 0 THEN NULL ELSE substring(text, 1, 5 + doc_id % 20) END, 'nan') AS code FROM documents)
-SELECT md5(code) AS code_md5, 'python' AS language FROM n WHERE length(code) > 10
+@query("assemble_sources", sql="""SELECT md5(text) AS code_md5, 'python' AS language FROM documents WHERE length(text) > 10
 UNION ALL SELECT md5(text), l FROM (
   SELECT text, CASE turn % 3 WHEN 0 THEN 'javascript' WHEN 1 THEN 'csharp' END AS l,
     row_number() OVER (PARTITION BY turn % 3 ORDER BY conv_id, turn) AS r FROM conversations) WHERE r = 1 AND l IS NOT NULL""")
 def q_assemble_sources(spark, sf):
-    """Solutions, a broken answer file (gives nothing, stops nothing), and the
-    first program of each known name of the index."""
-    short = F.when(F.col("doc_id") % 7 != 0, F.substring("text", F.lit(1), (F.col("doc_id") % 20 + 5).cast("int")))
+    """Solutions (whole texts, and a missing and a short one beside each), a
+    broken answer file (gives nothing, stops nothing), and the first program of
+    each known name of the index, by its position."""
     py, cpp, index = (scratch(spark, x) for x in ("data_python.csv", "data_cpp.csv", "index.csv"))
     d = table(spark, sf, "documents")
-    W.write_snapshot_csv(d.select(F.lit("t").alias("problem_title"), short.alias("python_solutions")), py)
+    each = F.explode(F.array(F.col("text"), F.lit(None).cast("string"), F.substring("text", 1, 10))).alias("python_solutions")
+    W.write_snapshot_csv(d.select(F.lit("t").alias("problem_title"), each), py)
     _write_text(d.select(F.lit("a,b,c").alias("value")), cpp, "Answer,n")
     names = F.element_at(F.array(F.lit("JavaScript"), F.lit("C#"), F.lit("Klingon")), (F.col("turn") % 3 + 1).cast("int"))
-    talk = table(spark, sf, "conversations").orderBy("conv_id", "turn").select(names.alias("language_name"), F.col("text").alias("program"))
-    W.write_snapshot_csv(talk.coalesce(1), index)
+    talk = table(spark, sf, "conversations").select(
+        names.alias("language_name"), F.col("text").alias("program"), (F.col("conv_id") * 1_000_000 + F.col("turn")).alias("position"))
+    W.write_snapshot_csv(talk, index)
     return _md5(R.assemble_sources(spark, py, cpp, index))
 
 

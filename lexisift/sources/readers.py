@@ -205,7 +205,8 @@ def _first_with_rows(*frames: DataFrame) -> DataFrame:
 def assemble_sources(spark: SparkSession, python: str | None, cpp: str | None, index: str | None, min_chars: int = 10) -> DataFrame:
     """The three-file assembly: solutions (``python_solutions``), answers
     (``Answer``) longer than ``min_chars`` (a missing text reads ``nan``), and the
-    first program of each hello-world language, under its class name.  A file
+    first program of each hello-world language, under its class name: the first
+    by the index's ``position``, if it has that column, else in file order.  A file
     that is missing, malformed or lacks its column gives nothing and does not
     stop the others."""
     def one(path, make):
@@ -233,7 +234,7 @@ def assemble_sources(spark: SparkSession, python: str | None, cpp: str | None, i
         if not has_columns(df, ("language_name", "program")):
             return None
         place = df.select("language_name", F.coalesce(F.col("program").cast("string"), F.lit("nan")).alias("program"),
-                          F.monotonically_increasing_id().alias("_row"))
+                          (F.col("position").cast("long") if has_columns(df, ("position",)) else F.monotonically_increasing_id()).alias("_row"))
         first = K.first_per_key(place, HELLO_WORLD_TARGETS, "language_name", ["program"], ["_row"], "language")
         return first.select(F.col("program").alias("code"), "language")
 
