@@ -1,13 +1,22 @@
 """Main text of web pages by the maximum-scoring subsequence.
 
-A page is a row of tokens, runs of words and tags.  Words score positive and
-tags negative, with weights learned from labelled pages (those with exactly one
-closed ``article`` element: how much likelier a token is inside it than
-outside); the contiguous run of tokens with the largest sum, found in one scan,
-is the content.  Elements that never are content (menus, forms, adverts, reader
-comments and the like, by tag, role or class) are taken out first, so those
-inside the article go too; an element that holds the page's first article or
-main element is never one of them.
+A page is a row of tokens, runs of words and tags.  Words score positive (those
+outside of the page's article negative) and tags negative, with weights learned
+from labelled pages (those with exactly one closed ``article`` element: the log odds of
+a token's being inside it); the contiguous run of tokens with
+the largest sum, found in one scan, is the content.
+
+* A token's weight is that of its kind (tag, whether most words of the block are
+  linked, place inside or outside of the page's articles); a kind the labelled
+  pages do not show backs off to coarser kinds, at last to a small weight for
+  tags of running content (tables, lists, captions, code) and a larger one for
+  containers, which may be boxes of their own.
+* Scripts, styles, forms and named page parts (``nav``, ``footer``, roles) are
+  taken out wherever they stand.  Elements inside or beside the article that hold
+  no content are known by their class names: the log odds of a class inside and
+  outside of labelled articles, over all elements of all labelled pages, on top of
+  a prior for the usual names of such boxes.  An element that holds the page's
+  first article or main element is never taken out.
 
 Pages are mapped one by one, so nothing is shuffled but the weights' counts, a
 few rows a task.  The scanner is linear in the page, also on unclosed tags,
@@ -25,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import map_texts, release, written
 
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""", re.I)
@@ -42,31 +51,57 @@ NOISE_CLASSES = frozenset((
     "breadcrumb breadcrumbs sidebar widget widgets footer masthead topbar comment comments commentlist discussion respond reply "
     "replies disqus notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login "
     "share sharing social related recommended recommendations pagination pager copyright toolbar alert announcement").split())
+#: Words that may stand beside those in a class name without changing what it names.
+GENERIC = frozenset((
+    "box area section block container wrapper wrap inner outer list item items links link bar panel content body title group slot unit "
+    "left right top bottom main primary secondary site page post posts article articles story stories button buttons icons form thread "
+    "global fixed sticky mobile desktop")
+    .split())
 SITE_HEADER = frozenset("header site page top global main wrap wrapper container".split())
 KNOWN = BLOCK | NOISE | VOID | frozenset("a b i em strong span u s small sub sup code kbd q cite abbr time mark font tt".split())
-DEFAULT_WORD, DEFAULT_TAG, LEAST = 1.0, -2.0, 0.05
+#: Containers; every other known tag belongs to running content.
+BOXES = frozenset("article aside body center dir div fieldset footer form header html iframe main menu nav section".split())
+DEFAULT_WORD, DEFAULT_TAG = 1.0, -2.0
+LEAST_WORD, MOST_WORD, HEADING_WORD = 0.05, 0.2, 1.0     # a heading is short but surely content
+FLOW_TAG, BOX_TAG, LEAST_TAG = -0.01, -1.0, -8.0
+LISTED, NOISE_ODDS = -4.0, -2.0                          # prior log odds of a listed class; elements below are noise
+CLASSES, SEEN = 20_000, 7                                # learned classes (the commonest), and how often they must be seen
+MAIN_SHARE = 1 / 3                                       # articles with fewer of a page's words are not its content
+
+
+def class_names(value: str) -> list[tuple[str, ...]]:
+    """The lower-cased words of every name in a class or id attribute."""
+    value = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value)
+    return [w for x in value.lower().split() if (w := tuple(y for y in re.split(r"[^a-z]+", x) if y))]
+
 
+def class_odds(words: tuple[str, ...], weights: dict[str, float]) -> float:
+    """Log odds that an element of this class is content."""
+    listed = not NOISE_CLASSES.isdisjoint(words) and (NOISE_CLASSES | GENERIC).issuperset(words)
+    return weights.get("class " + "-".join(words), 0.0) + (LISTED if listed else 0.0)
 
-def is_noise(tag: str, attrs: str, in_article: bool) -> bool:
+
+def is_noise(tag: str, attrs: str, in_article: bool, weights: dict[str, float]) -> bool:
     if tag in NOISE or (tag == "header" and not in_article):
         return True
     if not attrs:
         return False
     for name, a, b, c in ATTR.findall(attrs):
-        name, value = name.lower(), (a or b or c).lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
+        name, value = name.lower(), a or b or c
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return True
         if name == "style":
-            if re.search(r"display\s*:\s*none", value):
+            if re.search(r"display\s*:\s*none", value.lower()):
                 return True
         elif name == "role":
-            if value in NOISE_ROLES:
+            if value.lower() in NOISE_ROLES:
                 return True
         elif tag not in ("html", "body", "main"):
-            words = set(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", a or b or c).lower())) - {""}
-            if words & {"has", "with", "no", "without"}:
-                continue
-            if words & NOISE_CLASSES or ("header" in words and words <= SITE_HEADER and not in_article):
+            names = class_names(value)
+            if any(class_odds(w, weights) < NOISE_ODDS for w in names):
+                return True
+            flat = {x for w in names for x in w}
+            if "header" in flat and flat <= SITE_HEADER and not in_article:
                 return True
     return False
 
@@ -121,8 +156,9 @@ def scan(page: str):
 class Page:
     """Tokens of a page with what is noise and which block each belongs to."""
 
-    def __init__(self, page: str):
+    def __init__(self, page: str, weights: dict[str, float]):
         self.kind, self.tag, self.text, self.context = [], [], [], []
+        self.boxes, self.classes = [], []                         # (start, end) of blocks; (start, class)
         spans, stack, open_tags, articles = [], [], {}, []
         self.main = None                                          # first article or main that is not noise itself
         for kind, tag, body in scan(page):
@@ -134,7 +170,10 @@ class Page:
             self.text.append(body if kind == "t" else "")
             self.context.append(stack[-1][1] if stack else "")
             if kind == "o" and tag not in VOID:
-                noise = is_noise(tag, body, bool(open_tags.get("article")))
+                noise = is_noise(tag, body, bool(open_tags.get("article")), weights)
+                if body:
+                    self.classes += [(i, "-".join(w)) for name, a, b, c in ATTR.findall(body) if name.lower() in ("class", "id")
+                                     for w in class_names(a or b or c)]
                 if tag in ("article", "main") and not noise and self.main is None:
                     self.main = i
                 stack.append((tag, tag if tag in BLOCK or tag == "a" else self.context[-1], i, noise))
@@ -159,6 +198,26 @@ class Page:
             self.noise[b] -= 1
         self.noise = np.cumsum(self.noise[:-1]) > 0 if n else np.zeros(0, bool)
         self.articles = articles
+        self._place(n)
+
+    def _place(self, n: int) -> None:
+        """Which blocks hold mostly links, and which tokens lie in the page's articles."""
+        own = np.array([0 if self.noise[i] or self.kind[i] != "t" else len(self.text[i].split()) for i in range(n)], np.int64)
+        self.words = own
+        link = np.where([c == "a" for c in self.context], own, 0) if n else own
+        total, links = np.concatenate([[0], np.cumsum(own)]), np.concatenate([[0], np.cumsum(link)])
+        self.linked = np.zeros(n, bool)
+        for a, b in self.boxes:
+            if 2 * (links[b] - links[a]) > total[b] - total[a]:
+                self.linked[a] = True
+                self.linked[min(b, n - 1)] = True
+        depth = np.zeros(n + 1, np.int64)
+        for a, b in self.articles:
+            depth[a + 1] += 1
+            depth[n if b is None else b] -= 1
+        inside = np.cumsum(depth[:-1]) > 0 if n else np.zeros(0, bool)
+        share = own[inside].sum() / max(1, total[-1])
+        self.place = np.where(inside, "in", "out") if self.articles and share >= MAIN_SHARE else np.full(n, "none")
 
     def _leave(self, tag, stack, open_tags, i, spans, articles):
         if tag == "p" and not any(x[0] == "p" for x in stack[-8:]):
@@ -172,6 +231,8 @@ class Page:
         while stack:
             name, _, at, noise = stack.pop()
             open_tags[name] -= 1
+            if name in BLOCK:
+                self.boxes.append((at, i))
             if noise:
                 spans.append((at, i + 1 if name == tag else i))
             if name == "article" and not noise:
@@ -180,16 +241,25 @@ class Page:
                 return
 
     def keys(self):
-        """The weight key of each token that may score, with its number of words."""
+        """Each token that may score: its weight keys from fine to coarse, and its number of words."""
         for i, kind in enumerate(self.kind):
             if self.noise[i]:
                 continue
             if kind == "t":
-                n = len(self.text[i].split())
+                n, place = int(self.words[i]), self.place[i]
                 if n:
-                    yield i, f"word {self.context[i]}", n
+                    key = f"word {self.context[i]}"
+                    yield i, (f"{key}|{place}", f"word|{place}", key, "word"), n
             else:
-                yield i, f"{kind} {self.tag[i] if self.tag[i] in KNOWN else 'other'}", 1
+                tag = self.tag[i] if self.tag[i] in KNOWN else "other"
+                key = f"{kind} {tag}"
+                back = "tag" if tag in BOXES else "flow"
+                if self.place[i] == "in":                         # containers inside an article are running content
+                    yield i, (f"{key}|in", "tag|in", key, back), 1
+                elif self.linked[i]:
+                    yield i, (f"{key}|linked", "linked", key, back), 1
+                else:
+                    yield i, (key, back), 1
 
     def blocks(self, lo: int, hi: int) -> list[str]:
         """Texts of the blocks between two tokens, white space made one space."""
@@ -225,45 +295,80 @@ def best_run(scores: np.ndarray) -> tuple[int, int]:
     return int(np.argmin(total[:end + 1])), end + 1
 
 
+def weight_of(keys: tuple[str, ...], weights: dict[str, float]) -> float:
+    """The weight of the finest key that has one."""
+    for k in keys:
+        w = weights.get(k)
+        if w is not None:
+            return w
+    return DEFAULT_WORD if keys[0].startswith("word") else weights.get("tag", DEFAULT_TAG)
+
+
 def main_text(page: str | None, weights: dict[str, float]) -> str:
-    p = Page(page or "")
+    p = Page(page or "", weights)
     at, scores = [], []
-    for i, key, n in p.keys():
-        w = weights.get(key)
-        if w is None:
-            w = weights.get("word", DEFAULT_WORD) if key[0] == "w" else weights.get("tag", DEFAULT_TAG)
+    for i, keys, n in p.keys():
         at.append(i)
-        scores.append(w * n)
+        scores.append(weight_of(keys, weights) * n)
     lo, hi = best_run(np.array(scores, float))
     return "\n\n".join(p.blocks(at[lo], at[hi - 1] + 1)) if hi else ""
 
 
 def learn(pages: DataFrame, html_col="html") -> dict[str, float]:
-    """Weights from all labelled pages: log of how much likelier a token kind is
-    inside the article; words at least ``LEAST``, tags at most minus that."""
+    """Weights from all tokens and elements of all labelled pages.
+
+    A kind of token: log odds of its being inside the article; words
+    within ``LEAST_WORD`` and ``MOST_WORD`` (headings ``HEADING_WORD``), tags within
+    ``LEAST_TAG`` and ``FLOW_TAG``.  A class: log odds of its elements inside
+    and outside (those that hold the article are neither)."""
     def count(frames):
         inside, outside = {}, {}
+
+        def rows():
+            keys = sorted(inside.keys() | outside.keys())
+            return pd.DataFrame({"key": keys, "a": [inside.get(k, 0) for k in keys], "b": [outside.get(k, 0) for k in keys]}
+                                ).astype({"key": "object", "a": "int64", "b": "int64"})
+
         for f in frames:
             for x in f["html"]:
-                p = Page(x or "")
+                p = Page(x or "", {})
                 if len(p.articles) != 1 or p.articles[0][1] is None:
                     continue
                 a, b = p.articles[0]
-                for i, key, n in p.keys():
+                for i, keys, n in p.keys():
                     side = inside if a < i < b else outside
-                    side[key] = side.get(key, 0) + n
-        keys = sorted(inside.keys() | outside.keys())
-        yield pd.DataFrame({"key": keys, "a": [inside.get(k, 0) for k in keys], "b": [outside.get(k, 0) for k in keys]},
-                           ).astype({"key": "object", "a": "int64", "b": "int64"})
-
-    # bounded: one row for each known tag and context
-    rows = (pages.select(F.col(html_col).alias("html")).mapInPandas(count, "key string, a long, b long")
-            .groupBy("key").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect())
-    ta, tb = sum(r.a for r in rows) + 1, sum(r.b for r in rows) + 1
-    out = {}
+                    for k in keys[:-1]:
+                        side[k] = side.get(k, 0) + n
+                around = {i for i, j in p.boxes if i <= a and j >= b}
+                for i, name in p.classes:
+                    if i not in around:
+                        side, k = (inside if a < i < b else outside), "class " + name
+                        side[k] = side.get(k, 0) + 1
+            if len(inside) + len(outside) > 100_000:
+                yield rows()
+                inside.clear()
+                outside.clear()
+        yield rows()
+
+    got = written(pages.select(F.col(html_col).alias("html")).mapInPandas(count, "key string, a long, b long")
+                  .groupBy("key").agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "page-weights")
+    is_class = F.col("key").startswith("class ")
+    # bounded: one row for each known tag, context and place, and the commonest classes
+    rows = got.filter(~is_class).collect() + (got.filter(is_class & (F.col("a") + F.col("b") >= SEEN) & (F.octet_length("key") <= 256))
+                                              .orderBy(-(F.col("a") + F.col("b")), "key").limit(CLASSES).collect())
+    release(got)
+    out = {"word|out": -MOST_WORD, "word a": LEAST_WORD, "word": MOST_WORD, "flow": FLOW_TAG, "tag": BOX_TAG, "tag|in": FLOW_TAG, "linked": BOX_TAG}
     for r in rows:
-        w = float(np.log((r.a + 0.5) / ta) - np.log((r.b + 0.5) / tb))
-        out[r.key] = max(w, LEAST) if r.key.startswith("word") else min(w, -LEAST)
+        if r.key in out:
+            continue
+        w = float(np.log((r.a + 0.5) / (r.b + 0.5)))
+        if r.key.startswith("word"):
+            most = HEADING_WORD if re.match(r"word h[1-6]\b", r.key) else MOST_WORD
+            least = -MOST_WORD if r.key.endswith("|out") else LEAST_WORD
+            w = min(max(w, least), most)
+        elif not r.key.startswith("class "):
+            w = min(max(w, LEAST_TAG), FLOW_TAG)
+        out[r.key] = w
     return out
 
 
@@ -271,8 +376,9 @@ def extract(pages: DataFrame, id_col="page_id", url_col="url", html_col="html")
     """One row per row of ``pages``: ``page_id, url, text, n_chars``.
 
     Null and empty pages, and pages without words outside of what never is
-    content, give an empty text.  Without labelled pages a word scores 1 and a
-    tag -2.  Repeated rows give a row each; other columns are not read."""
+    content, give an empty text.  Without labelled pages every token backs off to
+    the coarsest weights.  Repeated rows give a row each; other columns are not
+    read."""
     weights = pages.sparkSession.sparkContext.broadcast(learn(pages, html_col))
 
     def run(arr):

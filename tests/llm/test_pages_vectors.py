@@ -40,6 +40,51 @@ def test_main_text_of_small_pages(page, want):
     assert html_text.main_text(page, W) == want
 
 
+NAV = "<!DOCTYPE html><html><head><title>t</title></head><body><nav><ul><li><a href=x>menu</a></li></ul></nav>"
+LONG = "<p>" + "word " * 29 + "word</p>"
+BODY = "word " * 29 + "word"
+LEARNED_CASES = [
+    # boxes of unlisted classes, short and long, beside the article
+    ("<div class=x7><p>Win a free car today now</p></div><article><h1>T</h1>" + LONG + "</article><footer>f</footer>", ["T", BODY]),
+    ("<div class=x7><p>" + "win " * 200 + "</p></div><article><h1>T</h1>" + LONG * 30 + "</article><div class=y8>" + "buy " * 50 + "</div>", ["T"] + [BODY] * 30),
+    # kinds that no labelled page shows, at both ends of an article
+    ("<article><h1>T</h1>" + LONG + "<table><tr><td>a</td><td>b</td></tr></table></article>", ["T", BODY, "a", "b"]),
+    ("<article><h1>T</h1>" + LONG + "<ul><li>x</li><li><a href=u>y</a></li></ul></article>", ["T", BODY, "x", "y"]),
+    ("<article><figure><img src=x><figcaption>Cap here</figcaption></figure>" + LONG + "</article>", ["Cap here", BODY]),
+    ("<article><h1>T</h1>" + LONG + "<pre>code x</pre><dl><dt>a</dt><dd>b</dd></dl><p>end</p></article>", ["T", BODY, "code x", "a", "b", "end"]),
+    ("<article><div><div><h1>T</h1></div></div><div class=body><p>a b c</p></div><section><p>tail</p></section></article>", ["T", "a b c", "tail"]),
+    # class names that only look like those of boxes, and real ones
+    ("<article><h1>T</h1>" + LONG + "<section class=social-impact><p>Impact</p></section><div class=related-work><p>rel</p></div></article>", ["T", BODY, "Impact", "rel"]),
+    ("<article><h1>T</h1>" + LONG + "<div class=ad-box>buy</div><div class='share-buttons'>s</div><div id=commentList>c</div>" + LONG + "</article>", ["T", BODY, BODY]),
+    # pages without article
+    ("<div class=x7><p>Win a free car today now</p></div><div id=content><h1>Ti</h1>" + LONG * 3 + "<table><tr><td>a</td></tr></table></div>"
+     "<div class=comments><p>c</p></div><footer>f</footer>", ["Ti"] + [BODY] * 3 + ["a"]),
+    ("<h1>Title</h1>" + LONG + "<ul><li>a</li></ul><footer>f</footer>", ["Title", BODY, "a"]),
+    ("<ul><li><a>Home</a></li><li><a>About</a></li></ul><h1>Title</h1>" + LONG, ["Title", BODY]),
+    # a teaser that is an article does not make the rest of the page a box
+    ("<article><p>one teaser</p></article><h1>Title</h1>" + LONG * 3, ["Title"] + [BODY] * 3),
+]
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    return html_text.learn(spark.read.parquet(f"{SF}/pages.parquet"))
+
+
+@pytest.mark.parametrize("page,want", LEARNED_CASES)
+def test_learned_weights_lose_no_block_and_let_no_box_in(learned, page, want):
+    assert html_text.main_text(NAV + page, learned).split("\n\n") == want
+
+
+def test_classes_are_learned_over_all_elements(spark):
+    """A class seen only beside articles is noise also inside one; one seen inside is not, listed or not."""
+    page = "<div class=zq>z</div><div id=wrap><article><h1>T</h1>" + LONG + "<div class=promo>p</div></article></div>"
+    w = html_text.learn(spark.createDataFrame([(page,)] * 200, "html string"))
+    assert w["class zq"] < -4 < 4 < w["class promo"] and "class wrap" not in w
+    got = html_text.main_text("<article>" + LONG + "<div class=zq>no</div><div class=promo>yes</div></article>", w)
+    assert got == BODY + "\n\nyes"
+
+
 def test_best_run_equals_brute_force():
     r = random.Random(0)
     for _ in range(300):
