@@ -1,8 +1,9 @@
 """Language-model scoring with a gated recurrent network.
 
-Tokens are lower-cased words and one end per text.  The ``VOCAB`` most frequent
-words have an embedding and a place in the output; every other token is one of
-``SHAPES`` shapes (its last character, length and script).  The output softmax is factored:
+Tokens are lower-cased words and one end per text.  The most frequent words (half
+the square root of the corpus's tokens, within ``VOCAB`` and ``MAX_VOCAB``, so a
+copy of the network stays below 5 MB) have an embedding and a place in the
+output; every other token is one of ``SHAPES`` shapes (its last character, length and script).  The output softmax is factored:
 a softmax over classes (frequency bins of words, and the shapes), then a
 softmax over the words of the class, or for a shape the smoothed corpus counts
 of its tokens.  The score of a text is therefore a proper log-probability of
@@ -12,9 +13,9 @@ all of its tokens, and the network's state is carried through the whole text.
   shuffle sums.  They give the base score, the output biases (so an untrained
   network already is the corpus's word distribution) and the shapes' tables.
 * The network is trained by truncated backpropagation in numpy, in parallel: in
-  each of ``ROUNDS`` rounds every task trains a copy on its share of one hash
-  slice (one training text in ``SLICES``), and a tree of tasks averages the
-  copies by their tokens.  The training set grows with the corpus.
+  each of ``ROUNDS`` rounds every task trains a copy on its texts of one hash
+  slice, and a tree of tasks averages the copies by their tokens.  The slices
+  together are all training texts.
 * Scoring is a map over whole texts.  Tokens that make up at least ``HEAD`` of
   the corpus (so at most 1 / HEAD of them, up to ``HEAD_BYTES`` bytes each) are
   broadcast with their counts; all others are joined with the count table, and
@@ -33,11 +34,11 @@ from pyspark.sql import functions as F
 
 from .common import fold, starts_of, tokens_of, written
 
-VOCAB, WORD_CLASSES, HIDDEN = 2000, 32, 16
+VOCAB, MAX_VOCAB, HIDDEN = 2000, 16_384, 16
 SHAPES = 24
-ROUNDS, SLICES = 2, 32
+ROUNDS = 2
 HEAD, HEAD_BYTES = 1e-6, 64
-LANES, STEPS, RATE = 32, 16, 0.1
+LANES, STEPS, WINDOWS, RATE = 512, 16, 64, 0.1
 END = "\n"                    # no word holds white space
 HELD_OUT = (10, 0)
 ADD = 0.1
@@ -121,20 +122,21 @@ class Lexicon:
         self.total, self.types = total, types
         self.tokens, self.counts = pa.array([tokens[i] for i in order], pa.string()), np.asarray(counts, np.int64)[order]
         ends = int(sum(counts[i] for i in range(len(tokens)) if tokens[i] == END))
-        self.end_count, v = ends, min(VOCAB, len(order))
+        self.end_count, v = ends, min(max(VOCAB, min(MAX_VOCAB, int(total ** 0.5 / 2))), len(order))
+        n_cls = self.word_classes = max(1, round(0.7 * v ** 0.5))
         self.n_words = v + 1                                      # vocabulary, then the end
         freq = np.concatenate([self.counts[:v], [ends]]).astype(float) + ADD
         share = np.cumsum(freq) - freq / 2
-        self.word_class = np.minimum((share / freq.sum() * WORD_CLASSES).astype(np.int64), WORD_CLASSES - 1)
+        self.word_class = np.minimum((share / freq.sum() * n_cls).astype(np.int64), n_cls - 1)
         own = shapes_of(self.tokens.slice(0, v))
         self.shape_n = shape_n - np.bincount(own, weights=self.counts[:v], minlength=SHAPES)
         self.shape_v = shape_v - np.bincount(own, minlength=SHAPES)
-        self.classes = WORD_CLASSES + SHAPES
-        mass = np.concatenate([np.bincount(self.word_class, weights=freq, minlength=WORD_CLASSES), self.shape_n + ADD])
+        self.classes = n_cls + SHAPES
+        mass = np.concatenate([np.bincount(self.word_class, weights=freq, minlength=n_cls), self.shape_n + ADD])
         self.class_bias = np.log(np.maximum(mass, 1e-6) / mass.sum())
         self.word_bias = np.log(freq)
         # words of a class are contiguous but for the end, which stands last: sort once
-        self.members = [np.flatnonzero(self.word_class == k) for k in range(WORD_CLASSES)]
+        self.members = [np.flatnonzero(self.word_class == k) for k in range(n_cls)]
         self.base_norm = np.log10(total + ADD * (types + 1))
         self.shape_norm = np.log10(self.shape_n + ADD * (self.shape_v + 1))
 
@@ -148,7 +150,7 @@ class Lexicon:
 
     def class_of(self, ids: np.ndarray) -> np.ndarray:
         return np.where(ids < self.n_words, self.word_class[np.minimum(ids, self.n_words - 1)],
-                        ids - self.n_words + WORD_CLASSES)
+                        ids - self.n_words + self.word_classes)
 
 
 def lexicon(counts: DataFrame) -> Lexicon:
@@ -229,8 +231,8 @@ def output_scores(net: Network, lex: Lexicon, h: np.ndarray, ids: np.ndarray) ->
     cls = lex.class_of(ids)
     out = log_softmax_at(h @ net.p["C"] + net.p["c"], cls).astype(np.float64)
     order = np.argsort(cls, kind="stable")
-    bound = np.searchsorted(cls[order], np.arange(WORD_CLASSES + 1))
-    for k in range(WORD_CLASSES):
+    bound = np.searchsorted(cls[order], np.arange(lex.word_classes + 1))
+    for k in range(lex.word_classes):
         rows, words = order[bound[k]:bound[k + 1]], lex.members[k]
         if len(rows) and len(words) > 1:
             out[rows] += log_softmax_at(h[rows] @ net.p["O"][words].T + net.p["o"][words], np.searchsorted(words, ids[rows]))
@@ -269,7 +271,8 @@ def network_scores(net: Network, lex: Lexicon, ids: np.ndarray, lengths: np.ndar
 
 
 class Trainer:
-    """Truncated backpropagation over windows of ``STEPS`` tokens in ``LANES`` lanes, Adagrad."""
+    """Truncated backpropagation over windows of ``STEPS`` tokens, Adagrad, in
+    ``LANES`` lanes (fewer for a stream of fewer than ``WINDOWS`` such windows)."""
 
     def __init__(self, net: Network, lex: Lexicon):
         self.net, self.lex = net, lex
@@ -277,11 +280,12 @@ class Trainer:
 
     def run(self, ids: np.ndarray) -> None:
         """One pass over a stream of texts, each closed by its end."""
-        width = -(-len(ids) // LANES)
-        lanes = np.concatenate([ids, np.full(LANES * width - len(ids), -1)]).reshape(LANES, width)
+        n = int(np.clip(len(ids) // (STEPS * WINDOWS), 32, LANES))
+        width = -(-len(ids) // n)
+        lanes = np.concatenate([ids, np.full(n * width - len(ids), -1)]).reshape(n, width)
         end = self.lex.n_words - 1
-        before = np.concatenate([np.full((LANES, 1), end), lanes[:, :-1]], axis=1)
-        h = np.zeros((LANES, HIDDEN), np.float32)
+        before = np.concatenate([np.full((n, 1), end), lanes[:, :-1]], axis=1)
+        h = np.zeros((n, HIDDEN), np.float32)
         for lo in range(0, width, STEPS):
             h = self.window(h, np.maximum(before[:, lo:lo + STEPS], 0), lanes[:, lo:lo + STEPS], end)
 
@@ -328,7 +332,7 @@ class Trainer:
         z /= z.sum(axis=1, keepdims=True)
         z[rows, cls] -= 1
         g, dh = {"C": h.T @ z, "c": z.sum(axis=0), "O": np.zeros_like(p["O"]), "o": np.zeros_like(p["o"])}, z @ p["C"].T
-        for k in np.unique(cls[cls < WORD_CLASSES]):
+        for k in np.unique(cls[cls < lex.word_classes]):
             mine, words = np.flatnonzero(cls == k), lex.members[k]
             q = h[mine] @ p["O"][words].T + p["o"][words]
             q -= q.max(axis=1, keepdims=True)
@@ -347,10 +351,9 @@ class Trainer:
             self.net.p[k] -= np.float32(RATE) * g / np.sqrt(self.seen[k])
 
     def sparse(self, k, at, g, n):
-        rows, place = np.unique(at, return_inverse=True)
-        total = np.zeros((len(rows), g.shape[1]), np.float32)
-        np.add.at(total, place, g)
-        total /= np.float32(np.sqrt(n))
+        order = np.argsort(at, kind="stable")
+        rows, first = np.unique(at[order], return_index=True)
+        total = np.add.reduceat(g[order], first, axis=0) / np.float32(np.sqrt(n))
         self.seen[k][rows] += total * total
         self.net.p[k][rows] -= np.float32(RATE) * total / np.sqrt(self.seen[k][rows])
 
@@ -370,7 +373,7 @@ def train(docs: DataFrame, lex: Lexicon, id_col: str, text_col: str, held_out) -
     m, r = held_out
     for turn in range(ROUNDS):
         state = sc.broadcast(net.flat())
-        mine = docs.filter((fold(id_col, m) != r) & (F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(SLICES * ROUNDS)) == turn))
+        mine = docs.filter((fold(id_col, m) != r) & (F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(ROUNDS)) == turn))
 
         def work(batches, state=state):
             words = shared.value
