@@ -1,8 +1,11 @@
 """Near-duplicate embeddings by spherical k-means cells and blocked cosines.
 
-Vectors are compared only under equal, non-null labels.  Spherical k-means
-fitted on a bounded sample (``SAMPLE`` vectors by hash) gives the cells; every
-vector has the nearest centroid as home.  If x and y lie within the angle t of
+Vectors are compared only under equal, non-null labels, so cells are made per
+label: one with up to ``cell_rows`` vectors is one cell, a larger one gets
+spherical k-means of its own, fitted in a task on a bounded sample (about
+``SAMPLE`` vectors by hash).  Vectors meet their label's centroids in a cogroup
+of bounded parts; no centroid is collected or broadcast.  Every vector has the
+nearest centroid as home.  If x and y lie within the angle t of
 each other, y is at most sin(t) * |c' - c| further from x's centroid c than
 from its own c' (the distance to the cells' bisecting plane), so y is
 replicated to every cell that passes this bound and no link is lost.  Per label
@@ -18,7 +21,6 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,19 +31,15 @@ SAMPLE = 20_000
 CELL_ROWS = 4096
 MAX_CELLS = 4096
 BLOCK = 2048
+DEAL_ROWS = 8192              # vectors of a label dealt to cells in one task
 ROUNDS = 12
 
 
-def unit_vectors(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(rows that have a direction, their unit vectors): not null, not zero, all
-    components finite, and of the commonest length among them is not asked."""
-    values = [None if x is None else np.array([np.nan if v is None else v for v in x], float) for x in lists.to_pylist()]
-    good = [i for i, v in enumerate(values) if v is not None and len(v) and np.isfinite(v).all() and np.abs(v).max() > 0]
-    out = []
-    for i in good:
-        v = values[i] / np.abs(values[i]).max()
-        out.append(v / np.sqrt((v * v).sum()))
-    return np.array(good, np.int64), out
+def units(vectors) -> np.ndarray:
+    """Unit vectors of usable vectors of one length, as rows."""
+    x = np.stack([np.asarray(v, float) for v in vectors])
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
 def kmeans(x: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
@@ -87,38 +85,42 @@ def near_duplicates(vectors: DataFrame, id_col="vec_id", vector_col="embedding",
 
 def linked(nodes: DataFrame, cosine: float, cell_rows: int, block: int) -> tuple[DataFrame, DataFrame]:
     """(node, linked: rows linked with it, by their counts) and forest edges (a, b)."""
-    spark = nodes.sparkSession
-    dims = {r.dim: r.k for r in nodes.groupBy("dim").agg(F.count("*").alias("k")).collect()}
-    centers = {}
-    for dim, k in dims.items():
-        sample = hash_sample(nodes.filter(F.col("dim") == dim), ["node"], SAMPLE, k).select("vec").toArrow()
-        _, x = unit_vectors(sample["vec"].combine_chunks())
-        centers[dim] = kmeans(np.array(x), min(MAX_CELLS, max(1, -(-k // cell_rows))))
-    shared = spark.sparkContext.broadcast(centers)
+    group = ["label", "dim"]
+    sizes = written(nodes.groupBy(*group).agg(F.count("*").alias("k")), "label-sizes")
+    sized = nodes.select(*group, "vec", "node", "n").join(sizes, group)
+    large = sized.filter(F.col("k") > cell_rows)
     slack = np.sqrt(max(0.0, 1 - cosine * cosine)) + 1e-9 if cosine > 0 else np.inf
-
-    def deal(batches):
-        for b in batches:
-            cols = [b.column(i) for i in range(b.num_columns)]
-            _, vecs = unit_vectors(cols[1])
-            dim = cols[4].to_numpy()
-            for d in np.unique(dim):
-                at = np.flatnonzero(dim == d)
-                x, c = np.array([vecs[i] for i in at]), shared.value[int(d)]
-                dots = x @ c.T
-                home = dots.argmax(axis=1)
-                gap = np.sqrt(np.maximum(0, 2 - 2 * c @ c.T))[home]     # |c' - c|
-                row, cell = np.nonzero(dots[np.arange(len(x)), home][:, None] - dots <= slack * gap + 1e-12)
-                pick = pa.array(at[row])
-                yield pa.RecordBatch.from_arrays(
-                    [cols[0].take(pick), pa.array(np.full(len(row), d, np.int32)), pa.array(cell.astype(np.int32)), cols[3].take(pick),
-                     cols[2].take(pick), pa.array(home[row] == cell), pa.FixedSizeListArray.from_arrays(
-                         pa.array(x[row].ravel()), int(d)).cast(pa.list_(pa.float64()))],
-                    names=["label", "dim", "cell", "node", "n", "home", "unit"])
-
     kind = nodes.schema["label"].dataType.simpleString()
-    rows = written(nodes.select("label", "vec", "n", "node", "dim").mapInArrow(
-        deal, f"label {kind}, dim int, cell int, node long, n long, home boolean, unit array<double>"), "cells")
+
+    def fit(frame: pd.DataFrame) -> pd.DataFrame:
+        k, x = int(frame["k"].iloc[0]), units(frame.sort_values("node")["vec"])
+        parts = -(-k // DEAL_ROWS)
+        c = kmeans(x, min(MAX_CELLS, -(-k // cell_rows))).ravel().tolist()
+        return frame[group].iloc[:1].merge(pd.DataFrame({"part": range(parts), "centers": [c] * parts}), how="cross")
+
+    def deal(frame: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        x = units(frame["vec"])
+        c = np.array(found["centers"].iloc[0]).reshape(-1, x.shape[1])
+        gap = np.sqrt(np.maximum(0, 2 - 2 * c @ c.T))                   # |c' - c|
+        out = []
+        for lo in range(0, len(x), 1024):
+            dots = x[lo:lo + 1024] @ c.T
+            home = dots.argmax(axis=1)
+            row, cell = np.nonzero(dots.max(axis=1)[:, None] - dots <= slack * gap[home] + 1e-12)
+            out.append(frame[[*group, "node", "n"]].iloc[lo + row].assign(cell=cell, home=home[row] == cell, unit=list(x[lo + row])))
+        return pd.concat(out)
+
+    def alone(frames):
+        for f in frames:
+            # a batch may hold vectors of several lengths
+            yield f[[*group, "node", "n"]].assign(cell=0, home=True, unit=[units([v])[0] for v in f["vec"]])
+
+    shape = f"label {kind}, dim int, node long, n long, cell int, home boolean, unit array<double>"
+    picked = F.pmod(F.xxhash64("node"), F.lit(1 << 40)) < F.lit(float(SAMPLE * (1 << 40))) / F.col("k")
+    centers = large.filter(picked).groupBy(*group).applyInPandas(fit, f"label {kind}, dim int, part long, centers array<double>")
+    part = F.pmod(F.xxhash64("node", F.lit(1)), F.ceil(F.col("k") / DEAL_ROWS)).alias("part")
+    dealt = (large.select("*", part).groupBy(*group, "part").cogroup(centers.groupBy(*group, "part")).applyInPandas(deal, shape))
+    rows = written(sized.filter(F.col("k") <= cell_rows).mapInPandas(alone, shape).union(dealt), "cells")
     key = ["label", "dim", "cell"]
     parts = rows.groupBy(*key).agg(F.ceil(F.count("*") / block).cast("int").alias("g"))
     # home rows of part i of a cell meet all rows of part j in the task (i, j)
