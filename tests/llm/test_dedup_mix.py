@@ -59,6 +59,25 @@ def test_drop_contaminated_keeps_columns_and_clean_rows(spark):
     assert D.decontaminate(d.limit(0), b).count() == 0
 
 
+def test_blocks_of_windows_give_the_same_rows(spark):
+    """Many blocks meet by digest: copies, overlapping blocks, extra columns
+    with the names of the results, a text over a megabyte."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = random_docs(50, seed=4, vocab=8)
+    rows = [(i, t and (t + " " + passage if i % 3 == 0 else t), lang, s, n) for i, t, lang, s, n in rows]
+    rows += [rows[0]] * 20 + [(900, "long " * 250_000 + passage, "en", "a", 1), (901, passage, None, None, None)] + EDGE
+    d = docs_df(spark, rows, "").selectExpr("*", "1 AS digest", "'x' AS n_hit", "2 AS dirty")
+    items = [(i, " ".join(f"p{j}" for j in range(a, b))) for i, (a, b) in enumerate([(0, 20), (10, 40), (5, 9), (30, 31)])]
+    b = spark.createDataFrame(items, "item_id long, text string")
+    want = brute_decon(rows, items)
+    for block in (200_000, 5):
+        got = D.decontaminate(d, b, block_windows=block)
+        assert sorted([tuple(x) for x in got.collect()], key=repr) == want
+        kept = D.drop_contaminated(d, b, block_windows=block)
+        assert kept.columns == d.columns
+        assert sorted(repr(x.doc_id) for x in kept.collect()) == sorted(repr(x[0]) for x in want if not x[5])
+
+
 # ------------------------------------------------------------------ op8 --
 def brute_print(t):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
