@@ -53,6 +53,26 @@ def q_scan_csv_fallback(spark, sf):
     return _md5(R.scan_csv_fallback(spark, [scratch(spark, "missing.csv"), lone, broken, good]))
 
 
+@query("scan_csv_split", sql=SQL_DOCS_MD5)
+def q_scan_csv_split(spark, sf):
+    """The same rows by the reader that splits files with quoted newlines."""
+    path = scratch(spark, "code.csv")
+    W.write_snapshot_csv(_snippets(spark, sf), path)
+    return _md5(R.scan_csv_fallback(spark, [path], split=True))
+
+
+@query("convert_to_format", sql=SQL_DOCS_MD5)
+def q_convert_to_format(spark, sf):
+    """The first CSV of a folder tree, here a folder of part files, behind
+    files of other kinds and before another CSV."""
+    root, out = scratch(spark, "in"), scratch(spark, "canonical.csv")
+    table(spark, sf, "pages").select("url").write.text(f"{root}/a/notes")
+    W.write_snapshot_csv(_snippets(spark, sf), f"{root}/b/export.csv")
+    W.write_snapshot_csv(table(spark, sf, "benchmark"), f"{root}/c/later.csv")
+    W.convert_to_format(spark, root, out)
+    return _md5(R.read_csv_snippets(spark, out))
+
+
 @query("scan_jsonl_recursive", sql="""SELECT md5(text) AS code_md5, lang AS language FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL
 UNION ALL SELECT md5(text), role FROM conversations WHERE role IS NOT NULL AND text IS NOT NULL""")
 def q_scan_jsonl_recursive(spark, sf):
@@ -87,15 +107,20 @@ def _templates(spark, sf):
                     F.concat("text", F.lit(" "), F.element_at(ends, (F.col("item_id") % len(TEMPLATE_ENDS) + 1).cast("int"))).alias("template"))
 
 
-@query("template_expand", sql=f"""WITH r AS (
+def sql_expanded(n: str) -> str:
+    """The rows of the templates for ``n`` rows of each language."""
+    return f"""WITH r AS (
   SELECT 'b' || CAST(item_id % 4 AS VARCHAR) AS language, text, item_id % {len(TEMPLATE_ENDS)} AS kind,
          row_number() OVER (PARTITION BY item_id % 4 ORDER BY item_id) - 1 AS idx,
          count(*) OVER (PARTITION BY item_id % 4) AS n_t FROM benchmark),
 rows AS (SELECT r.*, i, ['greet', 'process', 'calculate', 'transform', 'handle'][i % 5 + 1] AS f,
            ['User', 'Product', 'Order', 'Item', 'Data'] AS c, ['x', 'value', 'data', 'input', 'item'][i % 5 + 1] AS p
-         FROM r, range({TEMPLATE_ROWS}) AS s(i) WHERE r.idx = i % r.n_t AND kind < 4)
+         FROM r JOIN (SELECT unnest(range({n})) AS i) ON r.idx = i % r.n_t WHERE kind < 4)
 SELECT md5(text || ' ' || CASE kind WHEN 0 THEN f WHEN 1 THEN c[i % 5 + 1] || ' ' || p WHEN 2 THEN c[(i + 1) % 5 + 1]
-                          ELSE '$ ' || c[i % 5 + 1] END) AS code_md5, language FROM rows""")
+                          ELSE '$ ' || c[i % 5 + 1] END) AS code_md5, language FROM rows"""
+
+
+@query("template_expand", sql=sql_expanded(str(TEMPLATE_ROWS)))
 def q_template_expand(spark, sf):
     return _md5(R.template_expand(spark, _templates(spark, sf), n_per_class=TEMPLATE_ROWS))
 

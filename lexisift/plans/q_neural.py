@@ -62,20 +62,36 @@ def q_argmax(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", argmax("embedding").alias("argmax"))
 
 
-@query("encode_fixed_length", sql=f"""WITH vocab AS ({sql_vocab(ALL)}),
+SQL_ENCODED = f"""WITH vocab AS ({sql_vocab(ALL)}),
 b AS ({ALL}),
 t AS (SELECT doc_id, unnest(regexp_extract_all(lower(clean_code), '[\\p{{L}}\\p{{N}}_]{{2,}}', 0)) AS term,
         generate_subscripts(regexp_extract_all(lower(clean_code), '[\\p{{L}}\\p{{N}}_]{{2,}}', 0), 1) - 1 AS pos FROM b),
 ids AS (SELECT t.doc_id, t.pos, coalesce(v.idx + 2, 1) AS id FROM t LEFT JOIN vocab v ON t.term = v.term WHERE t.pos < 512),
-per AS (SELECT doc_id, list(id ORDER BY pos) AS l FROM ids GROUP BY doc_id)
-SELECT b.doc_id, CAST(coalesce(len(l), 0) AS INTEGER) AS n_tokens,
+per AS (SELECT doc_id, list(id ORDER BY pos) AS l FROM ids GROUP BY doc_id),
+enc AS (SELECT b.doc_id, CAST(coalesce(len(l), 0) AS INTEGER) AS n_tokens,
   md5(array_to_string(list_concat(coalesce(l, []), list_transform(range(512 - coalesce(len(l), 0)), lambda x: 0)), ',')) AS ids_md5
-FROM b LEFT JOIN per ON b.doc_id = per.doc_id""")
+  FROM b LEFT JOIN per ON b.doc_id = per.doc_id)"""
+
+
+def _digest(enc, *more):
+    return enc.select("doc_id", F.aggregate("attention_mask", F.lit(0), lambda a, v: a + v).alias("n_tokens"),
+                      F.md5(F.array_join(F.col("input_ids").cast("array<string>"), ",")).alias("ids_md5"), *more)
+
+
+@query("encode_fixed_length", sql=f"{SQL_ENCODED} SELECT doc_id, n_tokens, ids_md5 FROM enc")
 def q_encode_fixed_length(spark, sf):
     b, m = fitted(spark, sf)
-    enc = N.encode_texts(b, m.vocabulary, "clean_code", "doc_id", 512, vocab_bound=m.max_features)
-    return enc.select("doc_id", F.aggregate("attention_mask", F.lit(0), lambda a, v: a + v).alias("n_tokens"),
-                      F.md5(F.array_join(F.col("input_ids").cast("array<string>"), ",")).alias("ids_md5"))
+    return _digest(N.encode_texts(b, m.vocabulary, "clean_code", "doc_id", 512, vocab_bound=m.max_features))
+
+
+@query("labelled_records", sql=f"""{SQL_ENCODED},
+names AS (SELECT language, CAST(row_number() OVER (ORDER BY language) - 1 AS INTEGER) AS labels FROM (SELECT DISTINCT language FROM b))
+SELECT enc.doc_id, n_tokens, ids_md5, labels FROM enc JOIN b ON enc.doc_id = b.doc_id JOIN names ON names.language = b.language""")
+def q_labelled_records(spark, sf):
+    """H8: the encodings with the index of each row's label."""
+    b, m = fitted(spark, sf)
+    return _digest(N.labelled_records(b, m.vocabulary, "clean_code", "doc_id", "language", max_length=512,
+                                      vocab_bound=m.max_features), "labels")
 
 
 @query("train_embedding_mlp", sql=f"""SELECT language AS label, count(*) AS n_test, TRUE AS known_classes, TRUE AS beats_majority,

@@ -9,7 +9,7 @@ from ..operators import models as M
 from ..sources import readers as R
 from ..sources import writers as W
 from . import pipeline as P
-from .q_io import SQL_MANUAL_NB, _md5, _samples_map, _snippets, _write_text, scratch
+from .q_io import SQL_MANUAL_NB, _md5, _samples_map, _snippets, _templates, _write_text, scratch, sql_expanded
 from .q_models import SQL_NB, test_facts
 from .q_text import RAW_LABELS, SQL_RAW_LABEL, docs
 from .registry import query, table
@@ -44,16 +44,15 @@ def q_collect_filled(spark, sf):
                                templates=templates, n_per_class=PER_CLASS))
 
 
-@query("collect_synthetic", sql=f"""SELECT md5(code) AS code_md5, language, (SELECT count(*) FROM documents) AS n_documents FROM ({SQL_SYNTHETIC})
-UNION ALL SELECT md5('int ' || {SQL_NAMES}[i % 5 + 1] || '();'), 'cpp', (SELECT count(*) FROM documents) FROM range({PER_CLASS}) r(i)""")
+@query("collect_synthetic", sql=sql_expanded("(SELECT count(*) FROM documents)"))
 def q_collect_synthetic(spark, sf):
-    """No usable snapshot (only one without the columns): all of the synthetic source."""
+    """No usable snapshot (only one without the columns): all of the synthetic
+    source, as many rows of each language as the snapshot has, from the
+    templates of a table."""
     d = _snippets(spark, sf)
     other = scratch(spark, "other.csv")
     W.write_snapshot_csv(d.withColumnRenamed("code", "text"), other)
-    templates = spark.createDataFrame(TEMPLATES, "language string, idx int, template string")
-    rows = _md5(R.collect_data(spark, "kaggle", paths=[other], templates=templates, n_per_class=PER_CLASS))
-    return rows.join(F.broadcast(d.agg(F.count("*").alias("n_documents"))))
+    return _md5(R.collect_data(spark, "kaggle", paths=[other], templates=_templates(spark, sf), n_per_class=d.count()))
 
 
 @query("assemble_sources", sql="""SELECT md5(text) AS code_md5, 'python' AS language FROM documents WHERE length(text) > 10

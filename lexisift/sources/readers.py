@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from ..functions.labels import HELLO_WORLD_TARGETS
 from ..operators import classes as K
 from . import writers as W
+from .split_csv import read_split_csv
 
 
 SNIPPET_SCHEMA = T.StructType([T.StructField("code", T.StringType()), T.StructField("language", T.StringType())])
@@ -39,11 +40,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def read_csv_snippets(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_snippets(spark: SparkSession, path: str, split: bool = False) -> DataFrame:
     """One CSV source: header, quoted fields that may hold newlines.
 
-    Quoted newlines mean that Spark cannot split the file, so one large file is
-    one task; at volume use several files, JSON lines or Parquet."""
+    Spark's own reader does not split such files, so one large file is one
+    task.  With ``split`` many tasks read it (``split_csv``); the file must then
+    quote as RFC 4180 has it."""
+    if split:
+        return read_split_csv(spark, path)
     return (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
             .option("mode", "FAILFAST").csv(path))
 
@@ -59,7 +63,7 @@ def is_unreadable(e: Exception) -> bool:
     return any(name in str(e) for name in UNREADABLE)
 
 
-def scan_csv_fallback(spark: SparkSession, paths: list[str], explicit: str | None = None) -> DataFrame | None:
+def scan_csv_fallback(spark: SparkSession, paths: list[str], explicit: str | None = None, split: bool = False) -> DataFrame | None:
     """The first path (explicit one first) that exists, parses and has
     ``code`` and ``language`` wins; a parse error moves on.  To know that it
     parses, a candidate is read once in full (both columns, nothing kept).
@@ -68,7 +72,7 @@ def scan_csv_fallback(spark: SparkSession, paths: list[str], explicit: str | Non
         if not path or not _exists(spark, path):
             continue
         try:
-            df = read_csv_snippets(spark, path)
+            df = read_csv_snippets(spark, path, split)
             if has_columns(df):
                 df.write.format("noop").mode("overwrite").save()
                 return df.select(F.col("code").cast("string"), F.col("language").cast("string"))

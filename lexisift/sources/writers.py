@@ -54,10 +54,17 @@ def load_model(loader_cls, path: str):
 def convert_to_format(spark: SparkSession, input_dir: str, output_path: str) -> str | None:
     """The first CSV found under ``input_dir`` (paths sorted, so the
     choice is deterministic) re-written under a canonical name; columns are
-    kept as they are.  ``None`` when there is no CSV."""
+    kept as they are.  A folder named ``*.csv``, as Spark writes it, is one CSV
+    with all its part files.  ``None`` when there is no CSV."""
     try:          # names only: the content column is not read
-        found = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-                 .load(input_dir).agg(F.min("path")).first())
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+                 .load(input_dir).select("path"))
+        base = input_dir.split("://")[-1].rstrip("/") + "/"
+        below = F.instr("path", base) + len(base)
+        folder = F.regexp_extract(F.expr("substring(path, below)"), r"^(.*?\.csv)/", 1)
+        named = files.withColumn("below", below).withColumn("folder", F.when(F.col("below") > len(base), folder).otherwise(""))
+        found = named.agg(F.min(F.when(F.col("folder") != "", F.concat(F.expr("substring(path, 1, below - 1)"), "folder"))
+                                .otherwise(F.col("path")))).first()
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
