@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage, join_small, release
+from ..versions import current, save_version
 from . import linear, trees
 from .blockmodels import BlockModel, blocks_of, fit_folds, fit_with_probabilities, fold_hits
 from .classes import class_index
@@ -218,26 +219,29 @@ class TrainedModels:
 
     def save_best(self, directory: str) -> str:
         """K7: ``baseline_{best}``: the MLlib model, the class table, and the
-        parameters that scoring needs (gamma, seed, sizes)."""
+        parameters that scoring needs (gamma, seed, sizes), as one version."""
         name = self._best(None)
         path = f"{directory.rstrip('/')}/baseline_{name}"
         spark = self.classes.sparkSession
-        if name in BLOCK_MODELS:
-            self.models[name].save(spark, f"{path}/model")
-        else:
-            self.models[name].write().overwrite().save(f"{path}/model")
-        self.classes.write.mode("overwrite").parquet(f"{path}/classes")
-        state = json.dumps({"name": name, "size": self.size, "gamma": self.gamma,
-                            "cfg": asdict(self.cfg)})
-        spark.createDataFrame([(state,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/state")
-        return path
+        state = json.dumps({"name": name, "size": self.size, "gamma": self.gamma, "cfg": asdict(self.cfg)})
+
+        def write(folder):
+            if name in BLOCK_MODELS:
+                self.models[name].save(spark, f"{folder}/model")
+            else:
+                self.models[name].write().overwrite().save(f"{folder}/model")
+            self.classes.write.mode("overwrite").parquet(f"{folder}/classes")
+            spark.createDataFrame([(state,)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/state")
+
+        return save_version(spark, path, write)
 
 
 LOADERS = {"LogisticRegression": LogisticRegressionModel, "NaiveBayes": NaiveBayesModel}
 
 
 def load_best(spark, path: str) -> TrainedModels:
-    """A saved best model, ready to predict."""
+    """A saved best model (its newest whole version), ready to predict."""
+    path = current(spark, path)
     state = json.loads(spark.read.text(f"{path}/state").first()[0])
     name, classes = state["name"], spark.read.parquet(f"{path}/classes")
     model = BlockModel.load(spark, f"{path}/model") if name in BLOCK_MODELS else LOADERS[name].load(f"{path}/model")

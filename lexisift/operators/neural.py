@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions.tokens import encode_ids, word_tokens
 from ..session import cut_lineage, join_small
+from ..versions import current, save_version
 from .classes import class_index
 
 
@@ -91,16 +92,18 @@ class EmbeddingClassifier:
                                                            F.col("_name").alias("prediction"))
 
     def save(self, path: str) -> str:
-        self.model.write().overwrite().save(f"{path.rstrip('/')}/pipeline")
-        self.classes.withColumn("text_col", F.lit(self.text_col)).write.mode("overwrite").parquet(f"{path.rstrip('/')}/classes")
-        return path
+        def write(folder):
+            self.model.write().overwrite().save(f"{folder}/pipeline")
+            self.classes.withColumn("text_col", F.lit(self.text_col)).write.mode("overwrite").parquet(f"{folder}/classes")
+
+        return save_version(self.classes.sparkSession, path, write)
 
 
 def load_embedding_mlp(spark, path: str) -> EmbeddingClassifier:
-    """H7: pipeline and class names of a saved classifier."""
-    classes = spark.read.parquet(f"{path.rstrip('/')}/classes")
-    return EmbeddingClassifier(PipelineModel.load(f"{path.rstrip('/')}/pipeline"), classes.drop("text_col"),
-                               classes.first()["text_col"])
+    """H7: pipeline and class names of a saved classifier (its newest whole version)."""
+    path = current(spark, path)
+    classes = spark.read.parquet(f"{path}/classes")
+    return EmbeddingClassifier(PipelineModel.load(f"{path}/pipeline"), classes.drop("text_col"), classes.first()["text_col"])
 
 
 def train_embedding_mlp(train: DataFrame, text_col: str = "clean_code", label_col: str = "language",

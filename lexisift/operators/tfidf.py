@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from ..functions.tokens import ngrams, word_tokens
 from ..session import cut_lineage, ensure_checkpoint_dir, join_small
+from ..versions import current, save_version
 
 
 def term_counts(terms: Column) -> Column:
@@ -148,16 +149,21 @@ class TfidfModel:
 
     # ------------------------------------------------------- persistence --
     def save(self, path: str) -> None:
-        """K5: vocabulary as parquet + parameters as JSON (no pickle)."""
-        self.vocabulary.write.mode("overwrite").parquet(os.path.join(path, "vocabulary"))
+        """K5: vocabulary as parquet + parameters as JSON (no pickle), as one version."""
         params = dict(n_docs=self.n_docs, size=self.size, n_min=self.n_min, n_max=self.n_max,
                       sublinear_tf=self.sublinear_tf, max_features=self.max_features)
         spark = self.vocabulary.sparkSession
-        spark.createDataFrame([(json.dumps(params),)], "params string") \
-            .coalesce(1).write.mode("overwrite").text(os.path.join(path, "params"))
+
+        def write(folder):
+            self.vocabulary.write.mode("overwrite").parquet(os.path.join(folder, "vocabulary"))
+            spark.createDataFrame([(json.dumps(params),)], "params string") \
+                .coalesce(1).write.mode("overwrite").text(os.path.join(folder, "params"))
+
+        save_version(spark, path, write)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "TfidfModel":
+        path = current(spark, path)
         params = json.loads(spark.read.text(os.path.join(path, "params")).first()[0])
         return cls(vocabulary=spark.read.parquet(os.path.join(path, "vocabulary")), **params)
 
