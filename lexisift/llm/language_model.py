@@ -43,7 +43,7 @@ END = "\n"                    # no word holds white space
 HELD_OUT = (10, 0)
 ADD = 0.1
 CHUNK = 1 << 16               # outputs computed at once
-BATCH = 1024                  # texts handled at once
+BATCH, BATCH_BYTES = 8192, 8 << 20   # texts handled at once, and their bytes
 
 
 # ------------------------------------------------------------------ tokens --
@@ -61,11 +61,17 @@ def _endings() -> np.ndarray:
     return kind
 
 
-def slices(batches):
-    """The batches in parts of at most ``BATCH`` rows."""
+def slices(batches, text: int = 0):
+    """The batches in parts of at most ``BATCH`` rows whose column ``text``
+    holds ``BATCH_BYTES`` bytes (or one longer text)."""
     for b in batches:
-        for lo in range(0, b.num_rows, BATCH):
-            yield b.slice(lo, BATCH)
+        size = pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, lo = starts_of(size), 0
+        while lo < b.num_rows:
+            hi = int(np.searchsorted(ends, ends[lo] + BATCH_BYTES, side="right")) - 1
+            hi = min(max(hi, lo + 1), lo + BATCH, b.num_rows)
+            yield b.slice(lo, hi - lo)
+            lo = hi
 
 
 def shapes_of(tokens: pa.Array) -> np.ndarray:
@@ -219,23 +225,28 @@ class Network:
 
 
 def log_softmax_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """log softmax(z)[i, at[i]] by rows; ``z`` is overwritten by the exponentials."""
-    z -= z.max(axis=1, keepdims=True)
-    own = z[np.arange(len(z)), at]
+    """log softmax(z)[at[i], i] by columns; ``z`` is overwritten by the exponentials."""
+    z -= z.max(axis=0)
+    own = z[at, np.arange(z.shape[1])]
     np.exp(z, out=z)
-    return own - np.log(z.sum(axis=1))
+    return own - np.log(z.sum(axis=0))
+
+
+def by_number(ids: np.ndarray, most: int) -> np.ndarray:
+    """Stable order of numbers below ``most`` (two bytes are sorted by radix)."""
+    return np.argsort(ids.astype(np.uint16) if most <= 1 << 16 else ids, kind="stable")
 
 
 def output_scores(net: Network, lex: Lexicon, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural log of class probability, times word probability for words."""
     cls = lex.class_of(ids)
-    out = log_softmax_at(h @ net.p["C"] + net.p["c"], cls).astype(np.float64)
-    order = np.argsort(cls, kind="stable")
+    out = log_softmax_at(net.p["C"].T @ h.T + net.p["c"][:, None], cls).astype(np.float64)
+    order = by_number(cls, lex.classes)
     bound = np.searchsorted(cls[order], np.arange(lex.word_classes + 1))
     for k in range(lex.word_classes):
         rows, words = order[bound[k]:bound[k + 1]], lex.members[k]
         if len(rows) and len(words) > 1:
-            out[rows] += log_softmax_at(h[rows] @ net.p["O"][words].T + net.p["o"][words], np.searchsorted(words, ids[rows]))
+            out[rows] += log_softmax_at(net.p["O"][words] @ h[rows].T + net.p["o"][words][:, None], np.searchsorted(words, ids[rows]))
     return out
 
 
@@ -324,24 +335,28 @@ class Trainer:
         return h
 
     def output_grad(self, h, ids):
-        p, lex, rows = self.net.p, self.lex, np.arange(len(ids))
+        p, lex = self.net.p, self.lex
         cls = lex.class_of(ids)
-        z = h @ p["C"] + p["c"]
-        z -= z.max(axis=1, keepdims=True)
-        np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
-        z[rows, cls] -= 1
-        g, dh = {"C": h.T @ z, "c": z.sum(axis=0), "O": np.zeros_like(p["O"]), "o": np.zeros_like(p["o"])}, z @ p["C"].T
-        for k in np.unique(cls[cls < lex.word_classes]):
-            mine, words = np.flatnonzero(cls == k), lex.members[k]
-            q = h[mine] @ p["O"][words].T + p["o"][words]
-            q -= q.max(axis=1, keepdims=True)
-            np.exp(q, out=q)
-            q /= q.sum(axis=1, keepdims=True)
-            q[np.arange(len(mine)), np.searchsorted(words, ids[mine])] -= 1
-            g["O"][words] = q.T @ h[mine]
-            g["o"][words] = q.sum(axis=0)
-            dh[mine] += q @ p["O"][words]
+
+        def error(z, at):
+            """softmax(z) by columns, less one where the outcome is"""
+            z -= z.max(axis=0)
+            np.exp(z, out=z)
+            z /= z.sum(axis=0)
+            z[at, np.arange(len(at))] -= 1
+            return z
+
+        z = error(p["C"].T @ h.T + p["c"][:, None], cls)
+        g, dh = {"C": (z @ h).T, "c": z.sum(axis=1), "O": np.zeros_like(p["O"]), "o": np.zeros_like(p["o"])}, z.T @ p["C"].T
+        order = by_number(cls, lex.classes)
+        bound = np.searchsorted(cls[order], np.arange(lex.word_classes + 1))
+        for k in np.flatnonzero(np.diff(bound)):
+            mine, words = order[bound[k]:bound[k + 1]], lex.members[k]
+            hid, out = h[mine], p["O"][words]
+            q = error(out @ hid.T + p["o"][words][:, None], np.searchsorted(words, ids[mine]))
+            g["O"][words] = q @ hid
+            g["o"][words] = q.sum(axis=1)
+            dh[mine] += q.T @ out
         return g, dh
 
     def update(self, grads, n):
@@ -351,8 +366,10 @@ class Trainer:
             self.net.p[k] -= np.float32(RATE) * g / np.sqrt(self.seen[k])
 
     def sparse(self, k, at, g, n):
-        order = np.argsort(at, kind="stable")
-        rows, first = np.unique(at[order], return_index=True)
+        order = by_number(at, self.net.shapes[k][0])
+        at = at[order]
+        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        rows = at[first]
         total = np.add.reduceat(g[order], first, axis=0) / np.float32(np.sqrt(n))
         self.seen[k][rows] += total * total
         self.net.p[k][rows] -= np.float32(RATE) * total / np.sqrt(self.seen[k][rows])
@@ -424,7 +441,7 @@ def score(docs: DataFrame, id_col="doc_id", text_col="text", held_out=HELD_OUT)
     def run(batches):
         words = shared.value
         own = Network(words).load(state.value)
-        for part in slices(batches):
+        for part in slices(batches, 3):
             cols = score_texts(own, words, part.column(3))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), *cols],
                                              names=["row", "doc_id", "held_out", "n", "known", "base", "score", "rare"])
