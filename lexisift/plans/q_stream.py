@@ -1,5 +1,5 @@
 """Testdata binding: the fitted scorer on a Structured Streaming source
-(``documents`` parquet files of the scale-factor folder)."""
+(the ``documents`` table of the scale-factor folder)."""
 
 from __future__ import annotations
 
@@ -18,13 +18,15 @@ SELECT doc_id, prediction FROM best"""
 
 @query("stream_score", sql=SQL_STREAM)
 def q_stream_score(spark, sf):
-    """Run twice with the same sink: the second run finds nothing new."""
+    """Run twice with the same sink: the second run finds nothing new.  The
+    table is one file or a folder of files; a streaming source takes both only
+    under a glob pattern."""
     arrays, tfidf = feature_table(spark, sf)
     trained = trained_on(arrays, tfidf, ["NaiveBayes"])
     schema = spark.read.parquet(f"{sf}/documents.parquet").schema
     sink = scratch(spark, "scored")
     for _ in range(2):
-        q = score_stream(spark, sf, schema, tfidf, trained, sink, "NaiveBayes", text_col="text",
-                         key_col="doc_id", glob="documents.parquet")
+        q = score_stream(spark, f"{sf}/{{documents}}.parquet", schema, tfidf, trained, sink, "NaiveBayes", text_col="text",
+                         key_col="doc_id")
         q.awaitTermination()
     return spark.read.parquet(f"{sink}/scores").select("doc_id", "prediction")

@@ -110,3 +110,22 @@ def test_random_fourier_features_approximate_the_kernel(spark):
     for a in range(13):
         for b in range(13):
             assert abs(z[a] @ z[b] - np.exp(-0.3 * ((x[a] - x[b]) ** 2).sum())) < 0.1
+
+
+def test_stream_score_reads_a_file_and_a_folder(spark, tmp_path):
+    from lexisift.plans.q_stream import q_stream_score
+    words = {"en": "the house and the garden", "fr": "la maison et le jardin"}
+    rows = [(i, f"{words[lang]} number{i % 7} word{i % 5}", lang, "s") for i in range(40) for lang in [("en", "fr")[i % 2]]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = []
+    for name, parts in (("file", 1), ("folder", 3)):
+        path = tmp_path / name / "documents.parquet"
+        docs.repartition(parts).write.parquet(str(path))
+        if name == "file":
+            part = next(path.glob("part-*"))
+            path = tmp_path / "one" / "documents.parquet"
+            path.parent.mkdir()
+            path.write_bytes(part.read_bytes())
+        got.append(sorted(tuple(r) for r in q_stream_score(spark, str(path.parent)).collect()))
+    assert got[0] == got[1] and [r[0] for r in got[0]] == list(range(40))
+    assert all(p == rows[i][2] for i, p in got[0])
