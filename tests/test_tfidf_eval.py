@@ -140,3 +140,62 @@ def test_term_counts(spark):
     rows = [(["b", "a", "b", "c", "a", "b"],), ([],), (["x"],)]
     got = spark.createDataFrame(rows, "t array<string>").select(TF.term_counts(F.col("t")).alias("c")).collect()
     assert [(x.term, x.tf) for x in got[0].c] == [("a", 2), ("b", 3), ("c", 1)] and got[1].c == [] and [tuple(x) for x in got[2].c] == [("x", 1)]
+
+
+def _weighed(rows, vocab, idf):
+    """(key: {term: w}) over all rows of a key, by plain Python."""
+    raw = defaultdict(list)
+    for k, t in rows:
+        for term, v in Counter(py_terms(t or "")).items():
+            if term in idf:
+                raw[k].append((term, (1 + math.log(v)) * idf[term]))
+    return {k: sorted((t, round(w / math.sqrt(sum(x * x for _, x in e)), 9)) for t, w in e) for k, e in raw.items()}
+
+
+def test_bounded_vocabulary_is_the_exact_best(spark):
+    import random
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i % 50 if i % 9 else None, " ".join(rng.choices(words, weights=[1 / (j + 1) for j in range(60)], k=rng.randrange(40)))) for i in range(60)]
+    rows += [(3, None), (4, ""), (5, "Ünder Été ünder"), (5, "été ünder"), (6, "x " * 50), (7, "big " * 5000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    df, ctf = Counter(), Counter()
+    for _, t in rows:
+        for term, v in Counter(py_terms(t or "")).items():
+            df[term] += 1
+            ctf[term] += v
+    for k, least in ((1, 1), (7, 2), (40, 3), (1000, 2), (100_000, 1)):
+        m = TF.fit_tfidf(d, "text", "doc_id", max_features=k, min_df=least)
+        kept = sorted(sorted((t for t in df if df[t] >= least), key=lambda t: (-ctf[t], t))[:k])
+        got = [(r.term, r.df, r.ctf) for r in m.vocabulary.orderBy("idx").collect()]
+        assert got == [(t, df[t], ctf[t]) for t in kept]
+    idf = {r.term: r.idf for r in m.vocabulary.collect()}
+    exp = _weighed(rows, kept, idf)
+    for model in (m, TF.TfidfModel(m.vocabulary.withColumn("idx", F.col("idx") + 5), m.n_docs, m.size + 5)):   # the second is joined
+        got = defaultdict(list)
+        for r in model.weights(d, "text", "doc_id").collect():
+            got[r.doc_id].append((r.term, round(r.w, 9)))
+        assert {k: sorted(v) for k, v in got.items()} == exp
+        arrays = {r.doc_id: r for r in model.sparse_arrays(d, "text", "doc_id").collect()}
+        assert set(arrays) == {k for k, _ in rows}
+        assert all(sorted(round(v, 9) for v in arrays[k]["values"]) == sorted(w for _, w in e) for k, e in exp.items())
+
+
+def test_ngram_counts_and_term_statistics(spark):
+    rows = [("aa bb aa bb cc",), (None,), ("",), ("aa bb",), ("zz",)]
+    d = spark.createDataFrame(rows, "text string")
+    exp = Counter(t for (x,) in rows for t in py_terms(x or ""))
+    assert {r.term: r["count"] for r in TF.ngram_counts(d, "text").collect()} == exp
+    tf = TF.term_frequency(d.withColumn("doc_id", F.lit(1)), "text", "doc_id")
+    a, b = ({tuple(r) for r in x.select("term", "df", "ctf").collect()} for x in (TF.document_frequency(tf), TF.term_statistics(d, "text")))
+    assert a == b and {t: c for t, _, c in a} == exp
+
+
+def test_unit_values_do_not_sum_the_norm_for_every_element(spark):
+    d = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(5000)))], "doc_id long, text string")
+    m = TF.fit_tfidf(d, "text", "doc_id", max_features=20_000, min_df=1)
+    import time
+    m.sparse_arrays(d, "text", "doc_id").collect()
+    t = time.time()
+    values = m.sparse_arrays(d, "text", "doc_id").first()["values"]
+    assert len(values) == 14997 and abs(sum(x * x for x in values) - 1) < 1e-9 and time.time() - t < 20
