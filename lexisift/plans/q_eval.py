@@ -9,11 +9,16 @@ table so that the oracle can rebuild it exactly:
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.tokens import WORD_TOKEN_PATTERN
+from ..functions.tokens import WORD_TOKEN_PATTERN, word_tokens
 from ..operators import classes as K
 from ..operators import evaluation as EV
+from ..operators.termblocks import blocks
 from ..session import spread
 from .q_text import docs
 from .registry import query, table
@@ -29,23 +34,25 @@ MODEL_ORDER = ["stopwords", "majority", "quality"]
 PAIR = ("en", "fr")
 
 
+def _stopword_languages(batches):
+    """The language of most stop words of each row (ties: name; no hit: en)."""
+    langs = sorted(STOPWORDS)
+    every = sorted({w for ws in STOPWORDS.values() for w in ws})
+    of = np.array([[w in STOPWORDS[lang] for lang in langs] for w in every] + [[False] * len(langs)])
+    for rest, flat, rows in blocks(batches):
+        at = pc.fill_null(pc.index_in(flat, value_set=pa.array(every)), len(every)).to_numpy()
+        hits = np.array([np.bincount(rows[of[at, k]], minlength=rest.num_rows) for k in range(len(langs))])
+        best = np.where(hits.max(0) > 0, np.array(langs, object)[hits.argmax(0)], "en")
+        yield pa.record_batch([*rest.columns, pa.array(best, pa.string())], names=[*rest.schema.names, "prediction"])
+
+
 def stopword_predictions(spark, sf):
-    """Hits are counted inside each row with one regex per language (a stop
-    word as a whole token of 2+ word characters, like the word tokeniser),
-    so there is no explode, join or shuffle; argmax by (hits desc, name)."""
+    """Hits are counted in blocks of rows inside the tasks (1-char words are
+    never tokens), so there is no explode, join or shuffle."""
     d = docs(spark, sf).transform(lambda x: spread(x, "doc_id"))
-    low = F.lower(F.coalesce(F.col("code"), F.lit("")))
-    wc = r"[\p{L}\p{N}_]"
-    scores = []
-    for lang in sorted(STOPWORDS):
-        words = [w for w in STOPWORDS[lang] if len(w) >= 2]      # 1-char words are never tokens
-        pat = rf"(?<!{wc})(?:{'|'.join(words)})(?!{wc})"
-        hits = F.size(F.regexp_extract_all(low, F.lit(pat), F.lit(0)))
-        scores.append(F.struct((-hits).alias("neg"), F.lit(lang).alias("lang")))
-    best = F.array_min(F.array(*scores))
-    pred = F.when(best["neg"] < 0, best["lang"]).otherwise(F.lit("en"))
-    return d.select(F.lit("stopwords").alias("model"), F.col("doc_id").alias("key"),
-                    F.col("language").alias("label"), pred.alias("prediction"))
+    d = d.select(F.col("doc_id").alias("key"), F.col("language").alias("label"), word_tokens("code").alias("_words"))
+    schema = T.StructType([*d.drop("_words").schema.fields, T.StructField("prediction", T.StringType())])
+    return d.mapInArrow(_stopword_languages, schema).select(F.lit("stopwords").alias("model"), "key", "label", "prediction")
 
 
 def predictions(spark, sf):

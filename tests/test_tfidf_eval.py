@@ -199,3 +199,20 @@ def test_unit_values_do_not_sum_the_norm_for_every_element(spark):
     t = time.time()
     values = m.sparse_arrays(d, "text", "doc_id").first()["values"]
     assert len(values) == 14997 and abs(sum(x * x for x in values) - 1) < 1e-9 and time.time() - t < 20
+
+
+def test_stopword_predictions_by_plain_python(spark, tmp_path):
+    from lexisift.plans import q_eval as Q
+    texts = ["the cat and le chat", "le la les", "der die und", "Que QUE que", "xthe _and", "", None, "ein y zu es", "los las, el"]
+    rows = [(i, t, "en") for i, t in enumerate(texts)] * 2
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+
+    def best(text):
+        toks = re.findall(r"\w{2,}", (text or "").lower())
+        hits = {lang: sum(t in ws for t in toks) for lang, ws in Q.STOPWORDS.items()}
+        top = min(hits, key=lambda x: (-hits[x], x))
+        return top if hits[top] else "en"
+
+    p = Q.stopword_predictions(spark, str(tmp_path))
+    assert sorted((r.key, r.prediction) for r in p.collect()) == sorted((i, best(t)) for i, t, _ in rows)
+    assert p._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1     # four passes over the text before
