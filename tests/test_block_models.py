@@ -1,6 +1,8 @@
 """Optimisers over blocks against brute force: all problems at once, pairwise
 coupling, trees against an exhaustive search, boosting against plain loops."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -31,6 +33,66 @@ def in_blocks(spark, x, y, parts):
     return B.to_blocks(frame(spark, x, y).repartition(parts, "doc_id"), fold_col="fold")
 
 
+def plain_cuts(cell, sums, size, totals, rules):
+    """``best_cuts`` with a row of sums for each cell and a search for each cell's end."""
+    group, b = cell // (T.BINS + 1), cell % (T.BINS + 1)
+    node = group // size
+    total = np.concatenate([np.cumsum(sums[::-1], axis=0)[::-1], np.zeros((1, sums.shape[1]))])
+    right = total[:-1] - total[np.searchsorted(group, group, side="right")]
+    if rules.gini:
+        right = np.rint(right)
+    right[:, -1] = np.rint(right[:, -1])
+    left = totals[node] - right
+    gain = rules.gain(left, right)
+    gain[~((left[:, -1] >= rules.min_leaf) & (right[:, -1] >= rules.min_leaf))] = -np.inf
+    heads = np.flatnonzero(np.diff(node, prepend=-1))
+    most = np.maximum.reduceat(gain, heads)
+    slack = most - T.EPS * np.maximum(1.0, np.abs(most))
+    near = np.flatnonzero(gain >= np.repeat(np.where(np.isfinite(most), slack, np.inf), np.diff(np.append(heads, len(node)))))
+    first = near[np.flatnonzero(np.diff(node[near], prepend=-1))]
+    return node[first], group[first] % size, b[first] - 1, left[first], right[first]
+
+
+@pytest.mark.parametrize("gini", [False, True])
+def test_best_cuts_as_plainly_written_and_in_less_time(gini):
+    r, size, nodes, n = np.random.default_rng(5), 10_000, 9, 1_500_000
+    every = np.arange(nodes * size * (T.BINS + 1))
+    every = every[(every % (T.BINS + 1) > 0) & (every // (size * (T.BINS + 1)) != 4)]       # node 4 has no cell
+    cell = np.sort(r.choice(every, n, replace=False))
+    sums = np.column_stack([r.integers(0, 3, n) if gini else r.normal(size=n), r.random(n), np.ones(n)])
+    sums = np.rint(sums) if gini else sums
+    totals = np.zeros((nodes, 3))
+    np.add.at(totals, cell // (size * (T.BINS + 1)), sums)
+    totals += [5, 5, 50]
+    rules, times = T.Rules(gini, 5), {}
+    for f, laid in ((plain_cuts, sums), (T.best_cuts, np.asfortranarray(sums))):
+        for _ in range(5):
+            t = time.perf_counter()
+            got = f(cell, laid, size, totals, rules)
+            times[f] = min(times.get(f, np.inf), time.perf_counter() - t)
+        if f is plain_cuts:
+            want = got
+    assert all(np.array_equal(a, b) for a, b in zip(want, got)) and len(got[0]) == nodes - 1
+    assert gini or times[T.best_cuts] < 0.75 * times[plain_cuts]
+
+
+def test_cells_of_counts_as_a_plain_loop():
+    x, y = small()
+    b = block(x, y)
+    cuts = [(np.unique(np.r_[0.0, c])[1:] + np.unique(np.r_[0.0, c])[:-1]) / 2 for c in x.T]
+    bins, dense = T.binned(b, np.cumsum([0, *map(len, cuts)]), np.concatenate(cuts))
+    row = np.tile(np.arange(120), 2)
+    node = np.concatenate([np.arange(120) % 3, 3 + np.arange(120) % 2])
+    stats = np.column_stack([np.random.default_rng(2).integers(-4, 5, 240) / 8, np.ones(240)])       # sums are exact in any order
+    cell, sums = T.cells_of(b, bins, dense, node, row, stats, 5, np.zeros(5, np.uint64), T.Rules(False, 5))
+    want = {}
+    for i in range(240):
+        for j in np.flatnonzero(dense[row[i]]):
+            at = (node[i] * 12 + j) * (T.BINS + 1) + dense[row[i], j]
+            want[at] = want.get(at, 0) + stats[i]
+    assert cell.tolist() == sorted(want) and np.array_equal(sums, [want[c] for c in sorted(want)])
+
+
 def test_block_products_and_bounds(spark, monkeypatch):
     x, y = small()
     x[3] = 0
